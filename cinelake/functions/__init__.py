@@ -4,9 +4,9 @@ from cinelake.functions.scalars import (
     binary_to_text, calendar_year, list_literal, month_label, rating_floor, rating_label,
     split_tags,
 )
-from cinelake.functions.vectors import cosine, dot, norm
+from cinelake.functions.vectors import cosine, dot, elements, norm, product, unit
 
 __all__ = [
-    "binary_to_text", "calendar_year", "cosine", "dot", "list_literal", "month_label", "norm",
-    "rating_floor", "rating_label", "split_tags",
+    "binary_to_text", "calendar_year", "cosine", "dot", "elements", "list_literal", "month_label", "norm",
+    "product", "rating_floor", "rating_label", "split_tags", "unit",
 ]

@@ -40,7 +40,7 @@ def split_tags(text: Column | str, trim: bool = False) -> Column:
     source = F.col(text) if isinstance(text, str) else text
     tags = F.split(source, ",")
     if trim:
-        tags = F.transform(tags, F.trim)
+        tags = F.transform(tags, lambda tag: F.trim(tag))
     none = F.array().cast("array<string>")
     return F.when(source == K.MISSING_TEXT, none).otherwise(tags)
 

@@ -12,22 +12,41 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Longer written-out sums no longer fit into one generated method.
-WRITTEN_OUT_WIDTH = 64
+# A longer dot product and norm make a generated method above the 8,000 bytes that the JVM is
+# willing to compile, and interpreting it is about ten times slower.
+WRITTEN_OUT_WIDTH = 24
+
+
+def elements(vector: Column, width: int) -> list[Column]:
+    """The first ``width`` elements, null beyond the end."""
+    return [F.get(vector, F.lit(i)) for i in range(width)]
+
+
+def product(left: Column, right: Column) -> Column:
+    """Element by element."""
+    return F.zip_with(left, right, lambda a, b: a * b)
 
 
 def dot(left: Column, right: Column, width: int | None = None) -> Column:
     if width and width <= WRITTEN_OUT_WIDTH:
-        return reduce(add, (left[i] * right[i] for i in range(width)))
-    return F.aggregate(
-        F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda total, x: total + x)
+        pairs = zip(elements(left, width), elements(right, width), strict=True)
+        return reduce(add, (a * b for a, b in pairs))
+    return F.aggregate(product(left, right), F.lit(0.0), lambda total, x: total + x)
 
 
 def norm(vector: Column, width: int | None = None) -> Column:
-    return F.sqrt(dot(vector, vector, width))
+    if width and width <= WRITTEN_OUT_WIDTH:
+        return F.sqrt(reduce(add, (x * x for x in elements(vector, width))))
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
+
+
+def unit(vector: Column, width: int | None = None) -> Column:
+    """The vector at length 1; a zero vector stays as it is."""
+    length = norm(vector, width)
+    return F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector)
 
 
-def cosine(left: Column, right: Column, width: int | None = None) -> Column:
-    """Cosine of two vectors as double; 0.0 when either has no length."""
-    length = norm(left, width) * norm(right, width)
-    return F.when(length > 0, dot(left, right, width) / length).otherwise(F.lit(0.0))
+def cosine(vector: Column, direction: Column, width: int | None = None) -> Column:
+    """Cosine of a vector and a unit vector as double; 0.0 for a zero vector on either side."""
+    length = norm(vector, width)
+    return F.when(length > 0, dot(vector, direction, width) / length).otherwise(F.lit(0.0))

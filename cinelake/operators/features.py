@@ -15,13 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinelake import constants as K
-from cinelake.functions import calendar_year, split_tags
+from cinelake.functions import calendar_year, elements, product, split_tags
 from cinelake.schemas import YEAR_COLUMN
 
-NUMBERS = "_numbers"
-COUNTS = "_counts"
-STATS = "_stats"
-INPUTS = ("popularity", "release_date", "vote_average", "vote_count", "genres")
+INPUTS = "inputs"
+FACTORS = "factors"
 
 
 @dataclass(frozen=True)
@@ -81,45 +79,48 @@ def incomplete_films(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFra
 
 
 def hashed_features(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFrame:
-    """Complete films with their weighted numbers and tag counts per slot, both as arrays."""
+    """Complete films as ``(id, release_year, inputs)``.
+
+    ``inputs`` is one array: the weighted numbers, then the tag count of every slot.
+    """
     complete = _with_year(features).where(_is_complete(spec))
     hasher = HashingTF(numFeatures=spec.slots, inputCol="genres", outputCol="_tf")
     weights = {n: 1.0 for n in spec.weights} if spec.weights_after_scaling else spec.weights
     numbers = F.array(*(F.col(n).cast("double") * F.lit(w) for n, w in weights.items()))
     return hasher.transform(complete).select(
-        "id", YEAR_COLUMN, numbers.alias(NUMBERS), vector_to_array("_tf").alias(COUNTS))
+        "id", YEAR_COLUMN, F.concat(numbers, vector_to_array("_tf")).alias(INPUTS))
 
 
 def _inverse_frequency(n: Column, films_with: Column) -> Column:
     return F.log((n + 1) / (films_with + 1))
 
 
-def _scale(numbers: Column, weight: float) -> Column:
+def _scale(number: Column, weight: float) -> Column:
     """Factor that brings a number to unit sample deviation, or 0.0 when it is constant.
 
     A merged deviation of a constant is not reliably zero, so constants are told by their range.
     """
-    spread = F.stddev_samp(numbers)
-    constant = (F.min(numbers) == F.max(numbers)) | (spread == 0)
+    spread = F.stddev_samp(number)
+    constant = (F.min(number) == F.max(number)) | (spread == 0)
     return F.when(constant, F.lit(0.0)).otherwise(F.lit(weight) / spread)
 
 
 def _statistics(spec: VectorSpec) -> list[Column]:
+    """Aggregates over hashed films: their number and one factor per input."""
     n = F.count(F.lit(1))
-    final = list(spec.weights.values()) if spec.weights_after_scaling else [1.0] * len(spec.weights)
-    return [
-        n.alias("films"),
-        F.array(*(_scale(F.col(NUMBERS)[i], w) for i, w in enumerate(final))).alias("scale"),
-        F.array(*(
-            _inverse_frequency(n, F.count_if(F.col(COUNTS)[j] > 0)) for j in range(spec.slots)
-        )).alias("idf"),
-    ]
+    weights = spec.weights.values() if spec.weights_after_scaling else [1.0] * len(spec.weights)
+    inputs = elements(F.col(INPUTS), spec.width)
+    numbers, counts = inputs[:len(spec.weights)], inputs[len(spec.weights):]
+    factors = [_scale(x, w) for x, w in zip(numbers, weights, strict=True)]
+    factors += [_inverse_frequency(n, F.count_if(x > 0)) for x in counts]
+    return [n.alias("films"), F.array(*factors).alias(FACTORS)]
 
 
 def fit(hashed: DataFrame, by: str | None = YEAR_COLUMN, spec: VectorSpec = DEFAULT) -> DataFrame:
-    """Statistics ``(films, scale, idf)``: one row per ``by`` group, or one over all films.
+    """Statistics ``(films, factors)``: one row per ``by`` group, or one over all films.
 
-    No films give no rows.
+    ``factors`` holds the scale of every number, then the inverse document frequency of every
+    slot. No films give no rows.
     """
     if by is None:
         return hashed.agg(*_statistics(spec)).where("films > 0")
@@ -128,18 +129,16 @@ def fit(hashed: DataFrame, by: str | None = YEAR_COLUMN, spec: VectorSpec = DEFA
 
 def transform(
     hashed: DataFrame, stats: DataFrame, by: str | None = YEAR_COLUMN,
-    spec: VectorSpec = DEFAULT, output: str = "movie_vector",
+    output: str = "movie_vector",
 ) -> DataFrame:
-    """``(id, release_year, vector)`` from hashed films and the statistics of their group."""
+    """``(id, release_year, vector)``: inputs times the factors of their group."""
     if by is None:
-        packed = stats.select(F.struct("scale", "idf")).scalar()
-        fitted = hashed.withColumn(STATS, packed).where(F.col(STATS).isNotNull())
+        fitted = hashed.withColumn(FACTORS, stats.select(FACTORS).scalar())
+        fitted = fitted.where(F.col(FACTORS).isNotNull())
     else:
-        packed = stats.select(by, F.struct("scale", "idf").alias(STATS))
-        fitted = hashed.join(F.broadcast(packed), by)
-    scaled = [F.col(NUMBERS)[i] * F.col(STATS)["scale"][i] for i in range(len(spec.weights))]
-    weighted = [F.col(COUNTS)[j] * F.col(STATS)["idf"][j] for j in range(spec.slots)]
-    return fitted.select("id", YEAR_COLUMN, F.array(*scaled, *weighted).alias(output))
+        fitted = hashed.join(F.broadcast(stats.select(by, FACTORS)), by)
+    return fitted.select(
+        "id", YEAR_COLUMN, product(F.col(INPUTS), F.col(FACTORS)).alias(output))
 
 
 def fit_vectors(
@@ -148,14 +147,17 @@ def fit_vectors(
 ) -> DataFrame:
     """Vectors of all complete films, fitted within ``by`` (``None``: over all films at once)."""
     hashed = hashed_features(features, spec)
-    return transform(hashed, fit(hashed, by, spec), by, spec, output)
+    return transform(hashed, fit(hashed, by, spec), by, output)
+
+
+def _means(column: str, width: int) -> Column:
+    return F.array(*(F.avg(x) for x in elements(F.col(column), width)))
 
 
 def mean_vector(vectors: DataFrame, column: str, width: int) -> DataFrame:
     """Element-wise mean as one row ``user_vector``; no vectors give no row."""
-    means = F.array(*(F.avg(F.col(column)[i]) for i in range(width)))
     return (
-        vectors.agg(means.alias("user_vector"), F.count(F.lit(1)).alias("_n"))
+        vectors.agg(_means(column, width).alias("user_vector"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 0").select("user_vector"))
 
 
@@ -165,15 +167,9 @@ def user_profile(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFrame:
     Every element of a vector is an input times a fitted factor, so the mean vector is the mean
     input times that factor, and fitting and averaging are one aggregate over one pass.
     """
-    hashed = hashed_features(features, spec)
-    averages = [
-        F.array(*(F.avg(F.col(NUMBERS)[i]) for i in range(len(spec.weights)))).alias("_number"),
-        F.array(*(F.avg(F.col(COUNTS)[j]) for j in range(spec.slots))).alias("_count"),
-    ]
-    fitted = hashed.agg(*_statistics(spec), *averages).where("films > 0")
-    mean = [F.col("_number")[i] * F.col("scale")[i] for i in range(len(spec.weights))]
-    mean += [F.col("_count")[j] * F.col("idf")[j] for j in range(spec.slots)]
-    return fitted.select(F.array(*mean).alias("user_vector"))
+    means = _means(INPUTS, spec.width).alias("_means")
+    fitted = hashed_features(features, spec).agg(*_statistics(spec), means).where("films > 0")
+    return fitted.select(product(F.col("_means"), F.col(FACTORS)).alias("user_vector"))
 
 
 def profile_in_catalogue_space(
@@ -181,5 +177,5 @@ def profile_in_catalogue_space(
 ) -> DataFrame:
     """Mean of the favourites' vectors under statistics fitted on the whole catalogue."""
     stats = fit(hashed_features(catalogue, spec), None, spec)
-    vectors = transform(hashed_features(favourites, spec), stats, None, spec)
+    vectors = transform(hashed_features(favourites, spec), stats, None)
     return mean_vector(vectors, "movie_vector", spec.width)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake import constants as K
-from cinelake.functions import cosine
+from cinelake.functions import cosine, unit
 from cinelake.operators.features import DEFAULT
 
 SCORE = "cosine_similarity"
@@ -18,18 +18,18 @@ def score_films(
 ) -> DataFrame:
     """``(id, cosine_similarity)`` of every film.
 
-    The one-row profile enters as a scalar subquery, so no join takes place, and a profile of
-    more than one row is an error. Without a profile nothing is scored. ``exclude`` holds films,
+    The profile is brought to unit length once and enters as a scalar subquery, so no join takes
+    place, and a profile of more than one row is an error. Without a profile nothing is scored. ``exclude`` holds films,
     such as the favourites themselves, that are left out. Scores are single precision unless
     ``as_double`` is set.
     """
     if exclude is not None:
         vectors = vectors.join(exclude.select("id").distinct(), "id", "left_anti")
-    profile = F.col("user_vector")
-    score = cosine(F.col("movie_vector"), profile, width)
+    direction = user.select(unit(F.col("user_vector"), width)).scalar()
+    score = cosine(F.col("movie_vector"), F.col("_direction"), width)
     return (
-        vectors.select("id", "movie_vector", user.select("user_vector").scalar().alias("user_vector"))
-        .where(profile.isNotNull())
+        vectors.select("id", "movie_vector", direction.alias("_direction"))
+        .where(F.col("_direction").isNotNull())
         .select("id", score.cast("double" if as_double else "float").alias(SCORE)))
 
 

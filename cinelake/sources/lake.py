@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.schemas import DATASETS, YEAR_COLUMN, Dataset, assert_schema
+from cinelake.schemas import DATASETS, YEAR_COLUMN, assert_schema
 
 
 @dataclass(frozen=True)
@@ -67,10 +67,8 @@ class Lake:
 
     def read(self, name: str, years: Iterable[int] | None = None) -> DataFrame:
         """A dataset, cut to ``years`` by partition pruning when they are given."""
-        dataset: Dataset = DATASETS[name]
-        df = self.spark.read.schema(dataset.stored_schema).parquet(self.path(name))
-        if years is None:
-            return df
-        if not dataset.by_year:
+        dataset = DATASETS[name]
+        if years is not None and not dataset.by_year:
             raise ValueError(f"{name} is not stored by year")
-        return df.where(F.col(YEAR_COLUMN).isin(list(years)))
+        df = self.spark.read.schema(dataset.stored_schema).parquet(self.path(name))
+        return df if years is None else df.where(F.col(YEAR_COLUMN).isin(list(years)))

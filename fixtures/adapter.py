@@ -13,8 +13,6 @@ from cinelake import schemas
 from cinelake.operators.clean import clean_movies
 from cinelake.operators.features import favourite_features, film_features, user_profile
 from cinelake.operators.tracks import favourite_track
-from cinelake.session import scratch_folder
-from cinelake.sources import Lake
 
 # Genre code and hash slot (20 slots) of each tag in the test catalogue. LARGE has
 # a code but no name in the lookup.
@@ -84,13 +82,6 @@ class Inputs:
     def movies_cleaned(self) -> DataFrame:
         return clean_movies(self.movies_raw)
 
-    @cached_property
-    def staged_cleaned(self) -> DataFrame:
-        """The cleaned catalogue as the lake holds it, for queries that read it several times."""
-        lake = Lake(self.spark, scratch_folder(self.spark, "lake"))
-        lake.write(self.movies_cleaned, "silver.movies_cleaned")
-        return lake.read("silver.movies_cleaned")
-
     @cached_property
     def genre_track(self) -> DataFrame:
         named = [(c, t) for t, c in TAG_CODES.items() if t != UNNAMED_TAG]

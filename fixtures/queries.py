@@ -260,13 +260,16 @@ def q_my_features(i: Inputs) -> DataFrame:
 # Vectors and scores
 
 def q_hashed_tf(i: Inputs) -> DataFrame:
-    hashed = features.hashed_features(i.film_features).select("id", features.COUNTS)
-    return long_form(hashed, features.COUNTS, first_dim=len(K.FEATURE_WEIGHTS))
+    n = len(K.FEATURE_WEIGHTS)
+    counts = F.slice(features.INPUTS, n + 1, K.TAG_SLOTS).alias("counts")
+    hashed = features.hashed_features(i.film_features).select("id", counts)
+    return long_form(hashed, "counts", first_dim=n)
 
 
 def q_idf_by_year(i: Inputs) -> DataFrame:
     stats = features.fit(features.hashed_features(i.film_features))
-    return stats.select("release_year", "films", F.posexplode("idf").alias("slot", "idf")).select(
+    idf = F.slice(features.FACTORS, len(K.FEATURE_WEIGHTS) + 1, K.TAG_SLOTS)
+    return stats.select("release_year", "films", F.posexplode(idf).alias("slot", "idf")).select(
         "release_year", "films", "slot", F.round("idf", DIGITS).alias("idf"))
 
 

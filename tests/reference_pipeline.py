@@ -1,0 +1,28 @@
+"""The same vectors from stock MLlib estimators, one fit per group; a second oracle."""
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import IDF, HashingTF, StandardScaler, VectorAssembler
+from pyspark.sql import functions as F
+
+NUMBERS = ["popularity", "release_year", "vote_average", "vote_count"]
+
+
+def mllib_vectors(films, weights, slots=20):
+    """``{id: vector}`` of one group of complete films."""
+    for name, weight in zip(NUMBERS, weights, strict=True):
+        films = films.withColumn(f"w_{name}", F.col(name) * F.lit(weight))
+    stages = [
+        HashingTF(numFeatures=slots, inputCol="genres", outputCol="tf"),
+        IDF(inputCol="tf", outputCol="tfidf"),
+        VectorAssembler(inputCols=[f"w_{n}" for n in NUMBERS], outputCol="numbers"),
+        StandardScaler(inputCol="numbers", outputCol="scaled"),
+        VectorAssembler(inputCols=["scaled", "tfidf"], outputCol="vector"),
+    ]
+    out = Pipeline(stages=stages).fit(films).transform(films)
+    return {r["id"]: r["vector"].toArray() for r in out.select("id", "vector").collect()}
+
+
+def numpy_cosine(user, film):
+    lengths = np.linalg.norm(user) * np.linalg.norm(film)
+    return float(np.dot(user, film) / lengths) if lengths else 0.0
