@@ -15,17 +15,15 @@ from cinelake import schemas
 from cinelake.operators import clean, features, recommend, tracks
 from cinelake.operators.features import DEFAULT, VectorSpec
 from cinelake.plans import marts
-from cinelake.sources import (
-    JdbcWarehouse, Lake, ParquetWarehouse, Profile, extract_years, publish,
-)
+from cinelake.sources import Lake, Profile, Warehouse, extract_years, publish
 
 Years = Iterable[int] | None
 
 
 class Lakehouse:
     def __init__(
-        self, spark: SparkSession, root: str, warehouse: JdbcWarehouse | ParquetWarehouse,
-        last_year: int, first_year: int = K.FIRST_YEAR, spec: VectorSpec = DEFAULT,
+        self, spark: SparkSession, root: str, warehouse: Warehouse, last_year: int,
+        first_year: int = K.FIRST_YEAR, spec: VectorSpec = DEFAULT,
         trim_tags: bool = False, fit_by_year: bool = True, exclude_seen: bool = False,
     ) -> None:
         self.spark = spark
@@ -53,12 +51,13 @@ class Lakehouse:
 
     def silver_movies_cleaned(self, years: Years = None) -> Profile:
         films = clean.clean_movies(self.lake.read("bronze.movies", years))
-        return self.lake.write(films, "silver.movies_cleaned")
+        return self.lake.write(films, "silver.movies_cleaned", arrives_by_year=True)
 
     def silver_movies_vectors(self, years: Years = None) -> Profile:
         films = self.lake.read("silver.movies_cleaned", years)
         return self.lake.write(
-            features.film_features(films, self.trim_tags), "silver.movies_vectors")
+            features.film_features(films, self.trim_tags), "silver.movies_vectors",
+            arrives_by_year=True)
 
     def silver_favorite_track(self) -> Profile:
         track = tracks.favourite_track(
@@ -93,7 +92,8 @@ class Lakehouse:
         films = self.lake.read("silver.movies_vectors", years)
         by = schemas.YEAR_COLUMN if self.fit_by_year else None
         return self.lake.write(
-            features.fit_vectors(films, by, self.spec), "gold.movies_vector")
+            features.fit_vectors(films, by, self.spec), "gold.movies_vector",
+            arrives_by_year=True)
 
     def gold_recommendations(self) -> Profile:
         seen = self.lake.read("silver.favorite_track") if self.exclude_seen else None

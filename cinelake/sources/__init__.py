@@ -7,12 +7,12 @@ from cinelake.sources.relational import (
     extract_year, extract_years, jdbc_options, read_query, read_table, read_years, year_predicates,
 )
 from cinelake.sources.warehouse import (
-    JdbcWarehouse, ParquetWarehouse, as_table, as_view, publish,
+    CatalogWarehouse, JdbcWarehouse, ParquetWarehouse, Warehouse, as_table, as_view, publish,
 )
 
 __all__ = [
-    "JdbcWarehouse", "Lake", "ParquetWarehouse", "Profile", "as_table", "as_view", "extract_year",
-    "extract_years", "jdbc_options", "page_results", "publish", "read_pages",
+    "CatalogWarehouse", "JdbcWarehouse", "Lake", "ParquetWarehouse", "Profile", "Warehouse",
+    "as_table", "as_view", "extract_year", "extract_years", "jdbc_options", "page_results", "publish", "read_pages",
     "read_positional_csv", "read_query", "read_table", "read_years", "snapshot",
     "year_predicates",
 ]

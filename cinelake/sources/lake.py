@@ -34,36 +34,31 @@ class Lake:
         dataset = DATASETS[name]
         return f"{self.root}/{dataset.layer}/{dataset.table}"
 
-    def write(self, df: DataFrame, name: str) -> Profile:
+    def write(self, df: DataFrame, name: str, arrives_by_year: bool = False) -> Profile:
         """Overwrite a dataset, or only the years that ``df`` holds when it is yearly.
 
         Rows are counted while they are written. Nothing is written for an empty frame.
+        ``arrives_by_year`` says that ``df`` is a narrow transformation of a yearly dataset: its
+        tasks hold few years each, so the rows are written where they are, without a shuffle.
         """
         dataset = DATASETS[name]
         rows = assert_schema(df, dataset.stored_schema)
+        columns = tuple(rows.columns)
+        if not dataset.by_year and rows.isEmpty():
+            return Profile(name, 0, columns, written=False)
         counted = Observation()
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+        if dataset.by_year and not arrives_by_year:
+            # Brings a year's rows into few files; adaptive execution cuts a year that is too
+            # big for one task into several.
+            rows = rows.hint("rebalance", YEAR_COLUMN)
+        writer = rows.write.mode("overwrite")
         if dataset.by_year:
-            # The rebalance groups a year's rows into few files, and adaptive execution cuts a
-            # year that is too big for one task into several. Dynamic overwrite of no rows
-            # touches no partition.
-            (
-                rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-                .hint("rebalance", YEAR_COLUMN)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(YEAR_COLUMN)
-                .parquet(self.path(name))
-            )
-        elif rows.isEmpty():
-            return Profile(name, 0, tuple(rows.columns), written=False)
-        else:
-            (
-                rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-                .write.mode("overwrite")
-                .parquet(self.path(name))
-            )
+            # A dynamic overwrite of no rows touches no partition.
+            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR_COLUMN)
+        writer.parquet(self.path(name))
         n = counted.get["rows"]
-        return Profile(name, n, tuple(rows.columns), written=n > 0)
+        return Profile(name, n, columns, written=n > 0)
 
     def read(self, name: str, years: Iterable[int] | None = None) -> DataFrame:
         """A dataset, cut to ``years`` by partition pruning when they are given."""

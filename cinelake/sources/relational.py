@@ -47,12 +47,24 @@ def jdbc_options(
     return options
 
 
-def year_predicates(first: int, last: int, column: str = "release_date") -> list[str]:
-    """One condition per year; each becomes one task of a parallel JDBC read."""
-    return [
+def year_predicates(
+    first: int, last: int, column: str = "release_date", key: str = "id", splits: int = 1,
+) -> list[str]:
+    """Conditions that together cover every year once; each becomes one task of a JDBC read.
+
+    A year is one condition, or ``splits`` conditions that share its rows out by key, so that no
+    year, and no day within it, is more than one task can read.
+    """
+    years = [
         f"{column} >= '{y:04d}-01-01' AND {column} < '{y + 1:04d}-01-01'"
         for y in range(first, last + 1)
     ]
+    if splits == 1:
+        return years
+    return [
+        f"{year} AND ABS(MOD(COALESCE({key}, 0), {splits})) = {part}"
+        for year in years for part in range(splits)
+    ]
 
 
 def read_table(spark: SparkSession, options: dict[str, str], table: str) -> DataFrame:
@@ -69,10 +81,10 @@ def read_query(spark: SparkSession, options: dict[str, str], sql: str) -> DataFr
 
 def read_years(
     spark: SparkSession, options: dict[str, str], table: str, last: int,
-    first: int = K.FIRST_YEAR, column: str = "release_date",
+    first: int = K.FIRST_YEAR, column: str = "release_date", key: str = "id", splits: int = 1,
 ) -> DataFrame:
-    """All years of a table in one job with one task per year."""
+    """All years of a table in one job, with ``splits`` tasks per year."""
     properties = {k: v for k, v in options.items() if k != "url"}
     return binary_to_text(spark.read.jdbc(
-        options["url"], table, predicates=year_predicates(first, last, column),
+        options["url"], table, predicates=year_predicates(first, last, column, key, splits),
         properties=properties))

@@ -8,7 +8,7 @@ from cinelake.operators import quality
 from cinelake.operators.clean import with_year
 from cinelake.plans.lakehouse import Lakehouse
 from cinelake.session import scratch_folder
-from cinelake.sources import Lake, ParquetWarehouse, as_table, publish
+from cinelake.sources import CatalogWarehouse, Lake, ParquetWarehouse, as_table, publish
 from fixtures.adapter import LAST_YEAR, Inputs
 from tests.conftest import formatted_plan, plan
 from tests.test_clean import films
@@ -131,6 +131,45 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     assert "SortMergeJoin" in text and "Exchange" not in text
 
 
+def test_models_on_bucketed_tables_need_no_shuffle_on_id(spark, tmp_path):
+    house = Lakehouse(
+        spark, f"{tmp_path}/lake",
+        CatalogWarehouse(f"{tmp_path}/wh", "default", buckets=4), last_year=2000)
+    stored = spark.range(50).selectExpr(
+        "id", "'t' AS title", "'o' AS overview", "DATE'1999-01-01' AS release_date",
+        "1 AS runtime", "'g' AS genres")
+    house.lake.write(stored, "gold.movies_infor")
+    house.lake.write(
+        stored.selectExpr("id", "1.5D AS vote_average", "id AS vote_count"), "gold.movies_rating")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        house.publish("movies_infor")
+        house.publish("movies_rating")
+        model = house.infor_rating()
+        assert "Exchange" not in plan(model)
+        assert model.count() == 50
+        house.publish("movies_rating")  # once more, over the table that is there
+        assert house.infor_rating().count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE default.movies_infor")
+        spark.sql("DROP TABLE default.movies_rating")
+
+
+def test_films_read_by_year_are_written_where_they_are(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path))
+    lake.write(some_films(spark), "bronze.movies")
+    hints = []
+    monkeypatch.setattr(
+        type(lake.read("bronze.movies")), "hint",
+        lambda self, *a, **k: hints.append(a) or self)
+    lake.write(lake.read("bronze.movies", years=[1990]).withColumn("runtime", F.lit(1)),
+               "bronze.movies", arrives_by_year=True)
+    assert hints == []
+    assert runtimes(lake.read("bronze.movies")) == {(1990, 1), (1991, 100), (1992, 100)}
+
+
 def test_lakehouse_runs_and_reworks_a_year(spark, sf_dir, tmp_path):
     i = Inputs(spark, sf_dir)
     house = Lakehouse(

@@ -80,11 +80,23 @@ def test_partition_domain_starts_in_1920(spark):
     assert {r.id for r in extract_years(df, 2020).collect()} == {2}
 
 
+def test_split_years_cover_every_row_once(spark):
+    rows = [(i, dt.date(1999 + i % 2, 1, 1)) for i in range(-20, 20)] + [(None, dt.date(1999, 1, 1))]
+    df = spark.createDataFrame(rows, "id bigint, release_date date")
+    parts = [df.where(p).collect() for p in year_predicates(1999, 2000, splits=3)]
+    assert sorted(map(str, sum(parts, []))) == sorted(map(str, df.collect()))
+
+
 def test_jdbc_settings():
     assert year_predicates(1999, 2000) == [
         "release_date >= '1999-01-01' AND release_date < '2000-01-01'",
         "release_date >= '2000-01-01' AND release_date < '2001-01-01'",
     ]
+    split = year_predicates(1999, 2000, splits=3)
+    assert len(split) == 6
+    assert split[4] == (
+        "release_date >= '2000-01-01' AND release_date < '2001-01-01' "
+        "AND ABS(MOD(COALESCE(id, 0), 3)) = 1")
     options = jdbc_options("jdbc:x://host/db", user="u", password="p")
     assert options == {
         "url": "jdbc:x://host/db", "fetchsize": "10000", "user": "u", "password": "p"}
