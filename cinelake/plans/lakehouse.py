@@ -15,7 +15,7 @@ from cinelake import schemas
 from cinelake.operators import clean, features, recommend, tracks
 from cinelake.operators.features import DEFAULT, VectorSpec
 from cinelake.plans import marts
-from cinelake.sources import Lake, Profile, Warehouse, extract_years, publish
+from cinelake.sources import Lake, Profile, Warehouse, as_view, extract_years, publish
 
 Years = Iterable[int] | None
 
@@ -23,9 +23,11 @@ Years = Iterable[int] | None
 class Lakehouse:
     def __init__(
         self, spark: SparkSession, root: str, warehouse: Warehouse, last_year: int,
-        first_year: int = K.FIRST_YEAR, spec: VectorSpec = DEFAULT,
-        trim_tags: bool = False, fit_by_year: bool = True, exclude_seen: bool = False,
+        first_year: int = K.FIRST_YEAR, spec: VectorSpec = DEFAULT, trim_tags: bool = False,
+        fit_by_year: bool = True, shared_space: bool = False, exclude_seen: bool = False,
     ) -> None:
+        """``fit_by_year=False`` fits all years together, ``shared_space`` gives the profile the
+        statistics of the whole catalogue, and ``exclude_seen`` leaves favourites unscored."""
         self.spark = spark
         self.lake = Lake(spark, root)
         self.warehouse = warehouse
@@ -33,6 +35,7 @@ class Lakehouse:
         self.spec = spec
         self.trim_tags = trim_tags
         self.fit_by_year = fit_by_year
+        self.shared_space = shared_space
         self.exclude_seen = exclude_seen
 
     # Bronze: sources as they are.
@@ -84,7 +87,12 @@ class Lakehouse:
 
     def gold_my_vector(self) -> Profile:
         mine = self.lake.read("silver.my_vector")
-        return self.lake.write(features.user_profile(mine, self.spec), "gold.my_vector")
+        if self.shared_space:
+            catalogue = self.lake.read("silver.movies_vectors")
+            profile = features.profile_in_catalogue_space(mine, catalogue, self.spec)
+        else:
+            profile = features.user_profile(mine, self.spec)
+        return self.lake.write(profile, "gold.my_vector")
 
     def gold_movies_vector(self, years: Years = None) -> Profile:
         if years is not None and not self.fit_by_year:
@@ -111,11 +119,25 @@ class Lakehouse:
     def _table(self, name: str) -> DataFrame:
         return self.warehouse.load(self.spark, name)
 
+    def marts_infor_rating(self) -> Profile:
+        """The joined model as a table, so that its readers do not join again."""
+        model = marts.infor_rating(self._table("movies_infor"), self._table("movies_rating"))
+        return self.lake.write(model, "marts.infor_rating")
+
+    def marts_recommendations(self, k: int = K.TOP_FILMS) -> Profile:
+        ranking = marts.recommendations(self.infor_rating(), self._table("recommendations"), k)
+        return self.lake.write(ranking, "marts.recommendations")
+
+    def dashboard_views(self) -> None:
+        as_view(self.voting_distribution(), "voting_distribution")
+        as_view(self.monthly_release_movies(), "monthly_release_movies")
+
     def infor_rating(self) -> DataFrame:
-        return marts.infor_rating(self._table("movies_infor"), self._table("movies_rating"))
+        return self.lake.read("marts.infor_rating")
 
-    def recommendations(self, k: int = K.TOP_FILMS) -> DataFrame:
-        return marts.recommendations(self.infor_rating(), self._table("recommendations"), k)
+    def recommendations(self) -> DataFrame:
+        """The stored ranking; ``marts.recommendations`` returns it in order."""
+        return self.lake.read("marts.recommendations")
 
     def voting_distribution(self) -> DataFrame:
         return marts.voting_distribution(self.infor_rating())
@@ -129,7 +151,7 @@ class Lakehouse:
     def run(
         self, movies: DataFrame, genre_track: DataFrame, favourites: DataFrame,
     ) -> list[Profile]:
-        """Build every dataset and publish every warehouse table; returns the write profiles."""
+        """Build every dataset, warehouse table and model; returns the write profiles."""
         profiles = [
             self.bronze_movies(movies),
             self.bronze_genre_track(genre_track),
@@ -147,4 +169,6 @@ class Lakehouse:
         ]
         for table in schemas.WAREHOUSE:
             self.publish(table)
+        profiles += [self.marts_infor_rating(), self.marts_recommendations()]
+        self.dashboard_views()
         return profiles

@@ -90,6 +90,8 @@ DATASETS = {
         Dataset("gold", "my_vector", USER_VECTOR),
         Dataset("gold", "movies_vector", MOVIE_VECTORS, by_year=True),
         Dataset("gold", "recommendations", SCORES),
+        Dataset("marts", "infor_rating", INFOR_RATING),
+        Dataset("marts", "recommendations", INFOR_RATING),
     )
 }
 

@@ -13,7 +13,9 @@ from cinelake.operators.dedupe import first_per_key
 QUOTE = '"'
 
 
-def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
+def has_line_breaks_in_fields(
+    spark: SparkSession, path: str, line_separator: str | None = None,
+) -> bool:
     """Whether any record may run over several lines.
 
     A record that does so opens a quote on its first line and leaves it open, so that line holds
@@ -21,7 +23,8 @@ def has_line_breaks_in_fields(spark: SparkSession, path: str) -> bool:
     """
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit(QUOTE), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    lines = spark.read.text(path, lineSep=line_separator)
+    return not lines.where(quotes % 2 == 1).isEmpty()
 
 
 def _file_order() -> list:
@@ -47,19 +50,24 @@ def read_positional_csv(
     schema: StructType,
     key: str | None = None,
     multi_line: bool | None = None,
+    line_separator: str | None = None,
     blanks_as_defaults: bool = False,
 ) -> DataFrame:
     """Read comma-separated files with one header row, naming columns by position.
 
     ``key`` makes that column a primary key: rows without it are dropped and the first row of
-    each value, in file order, wins. Files are split among tasks unless a field may hold a line
-    break, which is looked up when ``multi_line`` is not given. ``blanks_as_defaults`` reads a
-    blank field as the loader of a relational server would.
+    each value, in file order, wins. ``blanks_as_defaults`` reads a blank field as the loader of
+    a relational server would.
+
+    Files are split among tasks unless a field may hold a record separator, which is looked up
+    when ``multi_line`` is not given; then a file is one task. Where records end in ``\\r\\n``
+    and fields hold ``\\n`` only, ``line_separator="\\r\\n"`` keeps files splittable.
     """
     if multi_line is None:
-        multi_line = has_line_breaks_in_fields(spark, path)
+        multi_line = has_line_breaks_in_fields(spark, path, line_separator)
+    reader = spark.read if line_separator is None else spark.read.option("lineSep", line_separator)
     rows = (
-        spark.read.schema(schema)
+        reader.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
         .option("quote", QUOTE)

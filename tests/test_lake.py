@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cinelake import schemas
 from cinelake.operators import quality
 from cinelake.operators.clean import with_year
+from cinelake.plans import marts
 from cinelake.plans.lakehouse import Lakehouse
 from cinelake.session import scratch_folder
 from cinelake.sources import CatalogWarehouse, Lake, ParquetWarehouse, as_table, publish
@@ -146,11 +147,12 @@ def test_models_on_bucketed_tables_need_no_shuffle_on_id(spark, tmp_path):
     try:
         house.publish("movies_infor")
         house.publish("movies_rating")
-        model = house.infor_rating()
+        model = marts.infor_rating(
+            house.warehouse.load(spark, "movies_infor"), house.warehouse.load(spark, "movies_rating"))
         assert "Exchange" not in plan(model)
         assert model.count() == 50
         house.publish("movies_rating")  # once more, over the table that is there
-        assert house.infor_rating().count() == 50
+        assert house.marts_infor_rating().row_count == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         spark.sql("DROP TABLE default.movies_infor")
@@ -193,3 +195,18 @@ def test_lakehouse_runs_and_reworks_a_year(spark, sf_dir, tmp_path):
     assert {r.release_year for r in house.search(years=(1998, 1998)).collect()} == {1998}
     assert house.voting_distribution().count() > 0
     assert house.monthly_release_movies().count() > 0
+    assert spark.table("voting_distribution").count() == house.voting_distribution().count()
+
+
+def test_lakehouse_options(spark, sf_dir, tmp_path):
+    i = Inputs(spark, sf_dir)
+    house = Lakehouse(
+        spark, f"{tmp_path}/lake", ParquetWarehouse(f"{tmp_path}/wh"), last_year=LAST_YEAR,
+        fit_by_year=False, shared_space=True, exclude_seen=True, trim_tags=True)
+    profiles = {p.table: p.row_count for p in house.run(i.movies_raw, i.genre_track, i.favourites)}
+    seen = profiles["silver.favorite_track"]
+    assert profiles["gold.recommendations"] == profiles["gold.movies_vector"] - seen
+    best = house.lake.read("gold.recommendations").agg(F.max("cosine_similarity")).first()[0]
+    assert best > 0.9  # in one space, films like the favourites score near 1
+    with pytest.raises(ValueError):
+        house.gold_movies_vector(years=[1998])

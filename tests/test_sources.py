@@ -37,6 +37,16 @@ def test_line_breaks_in_fields_are_found_by_themselves(spark, tmp_path):
         (1, "two\nlines"), (2, 'x "y" z')]
 
 
+def test_a_record_separator_of_its_own_keeps_files_splittable(spark, tmp_path):
+    folder = tmp_path / "crlf"
+    folder.mkdir()
+    (folder / "part.csv").write_bytes(b'a,b\r\n1,"two\nlines"\r\n2,x\r\n')
+    assert has_line_breaks_in_fields(spark, str(folder))
+    assert not has_line_breaks_in_fields(spark, str(folder), "\r\n")
+    rows = read_positional_csv(spark, str(folder), PAIR, line_separator="\r\n").collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, "x")]
+
+
 def test_first_row_of_a_key_wins_and_missing_keys_go(spark, tmp_path):
     path = write(tmp_path / "k", "a,b\n1,first\n2,only\n1,second\n,none\n1,third\n")
     rows = read_positional_csv(spark, path, PAIR, key="id").collect()
