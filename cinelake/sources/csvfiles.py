@@ -9,31 +9,49 @@ from pyspark.sql.types import (
 )
 
 from cinelake.operators.dedupe import first_per_key
+from cinelake.sources.csvrecords import odd_quotes, read_records
 
 QUOTE = '"'
+OPTIONS = {"quote": QUOTE, "escape": QUOTE}
+PLACE = "_place"
 
 
 def has_line_breaks_in_fields(
-    spark: SparkSession, path: str, line_separator: str | None = None,
+    spark: SparkSession, path: str, line_separator: str = "\n",
 ) -> bool:
     """Whether any record may run over several lines.
 
     A record that does so opens a quote on its first line and leaves it open, so that line holds
     an odd number of quotes. Looking for such a line is a plain splittable text scan.
     """
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit(QUOTE), F.lit("")))
     lines = spark.read.text(path, lineSep=line_separator)
-    return not lines.where(quotes % 2 == 1).isEmpty()
+    return not lines.where(odd_quotes(F.col("value"), QUOTE)).isEmpty()
 
 
-def _file_order() -> list:
-    """Columns that give every record its place: file, split in the file, place in the split."""
-    return [
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
-    ]
+def _split_lines(
+    spark: SparkSession, path: str, schema: StructType, separator: str,
+) -> DataFrame:
+    """Records of one line each, with their file, split and place in the split."""
+    rows = (
+        spark.read.schema(schema).options(**OPTIONS)
+        .option("header", True).option("enforceSchema", True).option("lineSep", separator)
+        .csv(path))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"))
+    return rows.select("*", place.alias(PLACE))
+
+
+def _split_records(
+    spark: SparkSession, path: str, schema: StructType, separator: str,
+) -> DataFrame:
+    """Records of any number of lines, likewise."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = F.from_csv("record", columns, {**OPTIONS, "multiLine": "true"})
+    return (
+        read_records(spark, path, QUOTE, separator)
+        .select(parsed.alias("row"), F.col("place").alias(PLACE)).select("row.*", PLACE))
 
 
 def _fill_blanks(df: DataFrame) -> DataFrame:
@@ -50,7 +68,7 @@ def read_positional_csv(
     schema: StructType,
     key: str | None = None,
     multi_line: bool | None = None,
-    line_separator: str | None = None,
+    line_separator: str = "\n",
     blanks_as_defaults: bool = False,
 ) -> DataFrame:
     """Read comma-separated files with one header row, naming columns by position.
@@ -59,24 +77,14 @@ def read_positional_csv(
     each value, in file order, wins. ``blanks_as_defaults`` reads a blank field as the loader of
     a relational server would.
 
-    Files are split among tasks unless a field may hold a record separator, which is looked up
-    when ``multi_line`` is not given; then a file is one task. Where records end in ``\\r\\n``
-    and fields hold ``\\n`` only, ``line_separator="\\r\\n"`` keeps files splittable.
+    Files are split among tasks. Fields that hold line breaks need a more costly way of finding
+    records; whether any may is looked up when ``multi_line`` is not given.
     """
     if multi_line is None:
         multi_line = has_line_breaks_in_fields(spark, path, line_separator)
-    reader = spark.read if line_separator is None else spark.read.option("lineSep", line_separator)
-    rows = (
-        reader.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", QUOTE)
-        .option("escape", QUOTE)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    read = _split_records if multi_line else _split_lines
+    rows = read(spark, path, schema, line_separator)
     if key:
-        place = "_place"
-        placed = rows.select("*", F.struct(*_file_order()).alias(place))
-        rows = first_per_key(placed.where(F.col(key).isNotNull()), [key], [place]).drop(place)
+        rows = first_per_key(rows.where(F.col(key).isNotNull()), [key], [PLACE])
+    rows = rows.drop(PLACE)
     return _fill_blanks(rows) if blanks_as_defaults else rows

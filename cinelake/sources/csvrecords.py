@@ -1,0 +1,92 @@
+"""Records of CSV files whose fields hold line breaks, without reading a file in one task.
+
+A line starts a record when an even number of quotes lies before it in its file. Quotes are
+counted per split of the file, splits are chained by one row each, and lines are numbered within
+their split, so no group is larger than a split. Only lines of records that do run over several
+lines are grouped again, by record.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import functions as F
+
+from cinelake.session import scratch_folder
+
+SPLIT = ("file", "block")
+
+
+def _earlier_splits() -> WindowSpec:
+    in_file = Window.partitionBy("file").orderBy("block")
+    return in_file.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _lines_until(last: int) -> WindowSpec:
+    in_split = Window.partitionBy(*SPLIT).orderBy("line")
+    return in_split.rowsBetween(Window.unboundedPreceding, last)
+
+
+def odd_quotes(line: Column, quote: str) -> Column:
+    """Whether a line holds an odd number of quotes."""
+    return (F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))) % 2 == 1
+
+
+def _lines(spark: SparkSession, path: str, quote: str, separator: str) -> DataFrame:
+    """Lines with their file, split and place in the split.
+
+    Where splits fall may differ from one scan to the next, so the lines are written once to the
+    shared scratch folder and read from there.
+    """
+    folder = scratch_folder(spark, "csv-lines")
+    spark.read.text(path, lineSep=separator).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+        odd_quotes(F.col("value"), quote).cast("int").alias("odd"),
+    ).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Add whether a line opens a record, and the block and number of the record it is part of."""
+    open_before = lines.groupBy(*SPLIT).agg(F.sum("odd").alias("odds")).select(
+        *SPLIT, F.coalesce(F.sum("odds").over(_earlier_splits()), F.lit(0)).alias("carried"))
+    quotes = F.col("carried") + F.coalesce(F.sum("odd").over(_lines_until(-1)), F.lit(0))
+    opened = lines.join(open_before, [*SPLIT]).withColumn("opens", quotes % 2 == 0)
+    numbered = opened.withColumn("record", F.sum(F.col("opens").cast("int")).over(_lines_until(0)))
+    # Lines before the first record of a split belong to the last record of an earlier one.
+    last = F.struct(F.col("block").alias("of_block"), F.col("records").alias("of_record"))
+    owners = numbered.groupBy(*SPLIT).agg(F.max("record").alias("records")).select(
+        *SPLIT,
+        F.last(F.when(F.col("records") > 0, last), True).over(_earlier_splits()).alias("owner"))
+    own = F.struct(F.col("block").alias("of_block"), F.col("record").alias("of_record"))
+    return numbered.join(owners, [*SPLIT]).select(
+        "file", "block", "line", "value", "odd", "opens",
+        F.when(F.col("record") > 0, own).otherwise(F.col("owner")).alias("owner"),
+    ).select("*", "owner.*").drop("owner")
+
+
+def read_records(
+    spark: SparkSession, path: str, quote: str = '"', separator: str = "\n",
+) -> DataFrame:
+    """``(record, place)``: the text of every record but each file's first, and its order."""
+    lines = _numbered(_lines(spark, path, quote, separator))
+    whole = F.col("opens") & (F.col("odd") == 0)
+    single = lines.where(whole).select(
+        "file", "of_block", "of_record", F.col("value").alias("record"),
+        F.struct("file", "block", "line").alias("place"))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    joined = (
+        lines.where(~whole).groupBy("file", "of_block", "of_record").agg(pieces.alias("pieces"))
+        .select(
+            "file", "of_block", "of_record",
+            F.array_join(F.transform("pieces", lambda p: p["value"]), separator).alias("record"),
+            F.struct(
+                F.col("file"), F.col("pieces")[0]["block"].alias("block"),
+                F.col("pieces")[0]["line"].alias("line")).alias("place")))
+    is_header = (F.col("of_block") == 0) & (F.col("of_record") == 1)
+    text = F.regexp_replace("record", "\r\\z", "")
+    return (
+        single.unionByName(joined).where(~is_header)
+        .select(text.alias("record"), "place").where(F.trim("record") != ""))

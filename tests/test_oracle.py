@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from fixtures.compare import connect, differences
-from tests.conftest import SF_DIR
+from tests.conftest import SF_DIR, plan
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,9 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_equals_sql(spark, database, name):
     df = contract.queries()[name](spark, SF_DIR)
+    text = plan(df)
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in text
     assert differences(df, database, contract.oracle_sql()[name]) == ""
 
 

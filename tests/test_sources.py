@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,10 +35,38 @@ def test_line_breaks_in_fields_are_found_by_themselves(spark, tmp_path):
     flat = write(tmp_path / "f", 'a,b\n1,"one ""line"""\n')
     assert has_line_breaks_in_fields(spark, broken)
     assert not has_line_breaks_in_fields(spark, flat)
-    assert [tuple(r) for r in read_positional_csv(spark, broken, PAIR).collect()] == [
+    assert sorted(tuple(r) for r in read_positional_csv(spark, broken, PAIR).collect()) == [
         (1, "two\nlines"), (2, 'x "y" z')]
 
 
+@pytest.mark.parametrize("split_bytes", [700, 4096, 1 << 27])
+def test_records_over_many_splits_equal_the_whole_file_reader(spark, tmp_path, split_bytes):
+    """Records that end in another split than they start in, or span several of them."""
+    rng = random.Random(5)
+    words = ["plain", 'quo"te', "com,ma", "line\nbreak", "\n\n", "", "é", '""', "x" * 900 + "\n"]
+    rows = [(n % 90, "".join(rng.choices(words, k=rng.randint(0, 6)))) for n in range(400)]
+    folder = f"{tmp_path}/many"
+    spark.createDataFrame(rows, PAIR).coalesce(2).write.option("header", True).option(
+        "escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(folder)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        found = read_positional_csv(spark, folder, PAIR)
+        first = read_positional_csv(spark, folder, PAIR, key="id")
+        found, first = found.collect(), dict(tuple(r) for r in first.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    whole = spark.read.schema(PAIR).option("header", True).option("multiLine", True).option(
+        "escape", '"').csv(folder).collect()
+    rows = [(i, name or None) for i, name in rows]  # an empty field is null to the CSV reader
+    assert Counter(map(tuple, whole)) == Counter(rows)
+    assert Counter(map(tuple, found)) == Counter(rows)
+    expected = {}
+    for i, name in rows:
+        expected.setdefault(i, name)
+    assert first == expected
+
+
 def test_a_record_separator_of_its_own_keeps_files_splittable(spark, tmp_path):
     folder = tmp_path / "crlf"
     folder.mkdir()
