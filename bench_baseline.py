@@ -10,16 +10,14 @@ import json
 import os
 import time
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, StandardScaler, VectorAssembler
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from cinelake import constants as K
 from cinelake.plans.lakehouse import Lakehouse
 from cinelake.session import local_session, scratch_folder
 from cinelake.sources import ParquetWarehouse
 from fixtures.adapter import LAST_YEAR, Inputs
+from tests.mllib_oracle import mllib_frame
 
 
 def fit_each_year(house: Lakehouse, target: str) -> None:
@@ -28,17 +26,7 @@ def fit_each_year(house: Lakehouse, target: str) -> None:
     years = sorted(r[0] for r in films.select("release_year").distinct().collect())
     for year in years:
         one = films.where(F.col("release_year") == year)
-        for name, weight in K.FEATURE_WEIGHTS.items():
-            one = one.withColumn(f"w_{name}", F.col(name) * weight)
-        stages = [
-            HashingTF(numFeatures=K.TAG_SLOTS, inputCol="genres", outputCol="tf"),
-            IDF(inputCol="tf", outputCol="tfidf"),
-            VectorAssembler(inputCols=[f"w_{n}" for n in K.FEATURE_WEIGHTS], outputCol="numbers"),
-            StandardScaler(inputCol="numbers", outputCol="scaled"),
-            VectorAssembler(inputCols=["scaled", "tfidf"], outputCol="movie_vector"),
-        ]
-        vectors = Pipeline(stages=stages).fit(one).transform(one).select("id", "movie_vector")
-        vectors.write.mode("overwrite").parquet(f"{target}/{year}")
+        mllib_frame(one).write.mode("overwrite").parquet(f"{target}/{year}")
 
 
 def score_in_python(house: Lakehouse, vectors: str, target: str) -> None:
@@ -52,7 +40,7 @@ def score_in_python(house: Lakehouse, vectors: str, target: str) -> None:
         return float((values * user).sum() / (own * length)) if own and length else 0.0
 
     films = house.spark.read.parquet(f"{vectors}/*")
-    films.select("id", cosine("movie_vector").alias("s")).write.mode("overwrite").parquet(target)
+    films.select("id", cosine("vector").alias("s")).write.mode("overwrite").parquet(target)
 
 
 def seconds(action) -> float:

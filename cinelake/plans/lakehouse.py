@@ -65,7 +65,7 @@ class Lakehouse:
     def silver_favorite_track(self) -> Profile:
         track = tracks.favourite_track(
             self.lake.read("bronze.favorite_movies"), self.lake.read("bronze.genre_track"))
-        return self.lake.write(track, "silver.favorite_track")
+        return self.lake.write(track, "silver.favorite_track", costly=True)
 
     def silver_my_vector(self) -> Profile:
         track = self.lake.read("silver.favorite_track")
@@ -92,7 +92,7 @@ class Lakehouse:
             profile = features.profile_in_catalogue_space(mine, catalogue, self.spec)
         else:
             profile = features.user_profile(mine, self.spec)
-        return self.lake.write(profile, "gold.my_vector")
+        return self.lake.write(profile, "gold.my_vector", costly=True)
 
     def gold_movies_vector(self, years: Years = None) -> Profile:
         if years is not None and not self.fit_by_year:

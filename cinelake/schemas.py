@@ -61,12 +61,16 @@ YEAR_COLUMN = "release_year"
 
 @dataclass(frozen=True)
 class Dataset:
-    """Where a dataset lives in the lake and what it holds."""
+    """Where a dataset lives in the lake and what it holds.
+
+    ``keeps_last`` says that an empty result leaves the previous one in place.
+    """
 
     layer: str
     table: str
     schema: StructType
     by_year: bool = False
+    keeps_last: bool = True
 
     @property
     def stored_schema(self) -> StructType:
@@ -90,8 +94,8 @@ DATASETS = {
         Dataset("gold", "my_vector", USER_VECTOR),
         Dataset("gold", "movies_vector", MOVIE_VECTORS, by_year=True),
         Dataset("gold", "recommendations", SCORES),
-        Dataset("marts", "infor_rating", INFOR_RATING),
-        Dataset("marts", "recommendations", INFOR_RATING),
+        Dataset("marts", "infor_rating", INFOR_RATING, keeps_last=False),
+        Dataset("marts", "recommendations", INFOR_RATING, keeps_last=False),
     )
 }
 

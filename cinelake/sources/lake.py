@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.schemas import DATASETS, YEAR_COLUMN, assert_schema
+from cinelake.session import scratch_folder
 
 
 @dataclass(frozen=True)
@@ -34,18 +35,28 @@ class Lake:
         dataset = DATASETS[name]
         return f"{self.root}/{dataset.layer}/{dataset.table}"
 
-    def write(self, df: DataFrame, name: str, arrives_by_year: bool = False) -> Profile:
+    def write(
+        self, df: DataFrame, name: str, arrives_by_year: bool = False, costly: bool = False,
+    ) -> Profile:
         """Overwrite a dataset, or only the years that ``df`` holds when it is yearly.
 
-        Rows are counted while they are written. Nothing is written for an empty frame.
-        ``arrives_by_year`` says that ``df`` is a narrow transformation of a yearly dataset: its
-        tasks hold few years each, so the rows are written where they are, without a shuffle.
+        Rows are counted while they are written. An empty frame is not written where the dataset
+        keeps its last content; a yearly one always does. ``arrives_by_year`` says that ``df`` is
+        a narrow transformation of a yearly dataset: its tasks hold few years each, so the rows
+        are written where they are, without a shuffle. ``costly`` says that finding out whether
+        ``df`` is empty takes as long as computing it; it is then computed once, into the shared
+        scratch folder.
         """
         dataset = DATASETS[name]
         rows = assert_schema(df, dataset.stored_schema)
         columns = tuple(rows.columns)
-        if not dataset.by_year and rows.isEmpty():
-            return Profile(name, 0, columns, written=False)
+        if dataset.keeps_last and not dataset.by_year:
+            if costly:
+                folder = scratch_folder(self.spark, dataset.table)
+                rows.write.parquet(folder)
+                rows = self.spark.read.schema(dataset.stored_schema).parquet(folder)
+            if rows.isEmpty():
+                return Profile(name, 0, columns, written=False)
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         if dataset.by_year and not arrives_by_year:
@@ -58,7 +69,7 @@ class Lake:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR_COLUMN)
         writer.parquet(self.path(name))
         n = counted.get["rows"]
-        return Profile(name, n, columns, written=n > 0)
+        return Profile(name, n, columns, written=n > 0 or not dataset.keeps_last)
 
     def read(self, name: str, years: Iterable[int] | None = None) -> DataFrame:
         """A dataset, cut to ``years`` by partition pruning when they are given."""

@@ -51,6 +51,17 @@ def test_empty_frames_are_not_written(spark, tmp_path):
     assert lake.write(genres, "bronze.genre_track").written
     assert not lake.write(genres.where("false"), "bronze.genre_track").written
     assert lake.read("bronze.genre_track").count() == 1
+    assert not lake.write(genres.where("false"), "bronze.genre_track", costly=True).written
+    assert lake.write(genres.withColumn("id", F.lit(2)), "bronze.genre_track", costly=True).written
+    assert lake.read("bronze.genre_track").first().id == 2
+
+
+def test_models_are_replaced_even_by_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    model = spark.createDataFrame([(1, "t", "o", 1999, 90, "g", 5.0)], schemas.INFOR_RATING)
+    assert lake.write(model, "marts.infor_rating").row_count == 1
+    assert lake.write(model.where("false"), "marts.infor_rating").written
+    assert lake.read("marts.infor_rating").isEmpty()
 
 
 def test_years_prune_partitions(spark, tmp_path):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cinelake.operators.recommend import score_films, top_films
 from tests.conftest import plan
-from tests.reference_pipeline import numpy_cosine
+from tests.mllib_oracle import numpy_cosine
 
 FILMS = "id bigint, title string"
 SCORES = "id bigint, cosine_similarity float"
