@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake.functions import cosine, unit
-from cinelake.operators.features import DEFAULT
 
 SCORE = "cosine_similarity"
 # A row of a ranking is an id and a score, so this many are a few hundred kilobytes.
@@ -15,14 +14,15 @@ BROADCAST_ROWS = 10_000
 
 
 def score_films(
-    vectors: DataFrame, user: DataFrame, width: int | None = DEFAULT.width,
+    vectors: DataFrame, user: DataFrame, width: int | None = None,
     exclude: DataFrame | None = None, as_double: bool = False,
 ) -> DataFrame:
     """``(id, cosine_similarity)`` of every film.
 
     The profile is brought to unit length once and enters as a scalar subquery, so no join takes
     place, and a profile of more than one row is an error. Without a profile nothing is scored. ``exclude`` holds films,
-    such as the favourites themselves, that are left out. Scores are single precision unless
+    such as the favourites themselves, that are left out. A ``width`` promises vectors of that
+    length and makes scoring faster. Scores are single precision unless
     ``as_double`` is set.
     """
     if exclude is not None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake import schemas
@@ -40,9 +41,15 @@ class Lakehouse:
 
     # Bronze: sources as they are.
 
-    def bronze_movies(self, movies: DataFrame) -> Profile:
-        films = extract_years(movies, self.last_year, self.first_year)
-        return self.lake.write(clean.with_year(films), "bronze.movies")
+    def bronze_movies(self, movies: DataFrame, years: Years = None) -> Profile:
+        first, last = self.first_year, self.last_year
+        if years is not None:
+            years = [y for y in years if first <= y <= last]
+            first, last = min(years, default=first), max(years, default=first)
+        films = clean.with_year(extract_years(movies, last, first))
+        if years is not None:
+            films = films.where(F.col(schemas.YEAR_COLUMN).isin(years))
+        return self.lake.write(films, "bronze.movies")
 
     def bronze_genre_track(self, genre_track: DataFrame) -> Profile:
         return self.lake.write(genre_track, "bronze.genre_track")

@@ -54,6 +54,11 @@ def long_form(df: DataFrame, vector: str, digits: int = DIGITS, first_dim: int =
         *others, (F.col("dim") + first_dim).alias("dim"), F.round("x", digits).alias("x"))
 
 
+def score(i: Inputs, **options) -> DataFrame:
+    vectors = features.fit_vectors(i.film_features)
+    return recommend.score_films(vectors, i.user_vector, features.DEFAULT.width, **options)
+
+
 def rounded_scores(scores: DataFrame) -> DataFrame:
     return scores.select("id", F.round("cosine_similarity", SCORE_DIGITS).alias("cosine_similarity"))
 
@@ -175,13 +180,12 @@ def q_snapshot_fallback(i: Inputs) -> DataFrame:
 
 def q_warehouse_publish(i: Inputs) -> DataFrame:
     warehouse = ParquetWarehouse(scratch_folder(i.spark, "warehouse"))
-    scores = recommend.score_films(features.fit_vectors(i.film_features), i.user_vector)
     tables = {
         "movies_infor": marts.movies_infor(i.movies_cleaned),
         "movies_rating": marts.movies_rating(i.movies_cleaned),
         "movies_genres": marts.movies_genres(i.movies_cleaned),
         "favorite_track": i.favorite_track,
-        "recommendations": scores,
+        "recommendations": score(i),
     }
     lines = []
     for name, df in tables.items():
@@ -306,19 +310,15 @@ def q_user_vector_catalogue(i: Inputs) -> DataFrame:
 
 
 def q_cosine_scores(i: Inputs) -> DataFrame:
-    return rounded_scores(recommend.score_films(
-        features.fit_vectors(i.film_features), i.user_vector, as_double=True))
+    return rounded_scores(score(i, as_double=True))
 
 
 def q_cosine_scores_unseen(i: Inputs) -> DataFrame:
-    return rounded_scores(recommend.score_films(
-        features.fit_vectors(i.film_features), i.user_vector, exclude=i.favorite_track,
-        as_double=True))
+    return rounded_scores(score(i, exclude=i.favorite_track, as_double=True))
 
 
 def q_recommendations(i: Inputs) -> DataFrame:
-    scores = recommend.score_films(features.fit_vectors(i.film_features), i.user_vector)
-    return portable(marts.recommendations(_infor_rating(i), scores))
+    return portable(marts.recommendations(_infor_rating(i), score(i)))
 
 
 def q_lakehouse(i: Inputs) -> DataFrame:

@@ -35,6 +35,36 @@ def test_a_year_is_overwritten_alone(spark, tmp_path):
     assert lake.read("bronze.movies").count() == 30
 
 
+def test_a_hot_year_is_written_by_several_tasks(spark, tmp_path):
+    """Five sixths of the rows in one year."""
+    lake = Lake(spark, str(tmp_path))
+    row = some_films(spark).where("id = 0").drop("id", "release_year")
+    many = spark.range(60_000).join(row).selectExpr(
+        "*", "CAST(IF(id % 6 = 0, 1991, 1990) AS int) AS release_year",
+        "md5(CAST(id AS string)) AS noise").withColumn("overview", F.col("noise")).drop("noise")
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "200k")
+    try:
+        lake.write(many.repartition(12), "bronze.movies")
+    finally:
+        spark.conf.set(setting, before)
+    hot = [f for f in lake.read("bronze.movies").inputFiles() if "release_year=1990" in f]
+    assert len(hot) > 1
+    assert lake.read("bronze.movies").groupBy("release_year").count().collect() in (
+        [(1990, 50_000), (1991, 10_000)], [(1991, 10_000), (1990, 50_000)])
+
+
+def test_bronze_takes_only_the_given_years_of_the_domain(spark, tmp_path):
+    house = Lakehouse(
+        spark, str(tmp_path), ParquetWarehouse(f"{tmp_path}/wh"), first_year=1991, last_year=2000)
+    movies = some_films(spark).drop("release_year")
+    assert house.bronze_movies(movies, years=[1990, 1992]).row_count == 10
+    assert not house.bronze_movies(movies, years=[1990]).written
+    assert runtimes(house.lake.read("bronze.movies")) == {(1992, 100)}
+    assert house.bronze_movies(movies).row_count == 20
+
+
 def test_running_a_year_twice_changes_nothing(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     for _ in range(2):
