@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import cascade, pieces, tokens, toxicity
+from cinelake.llm import cascade, jaccard, pieces, substrings, tokens, toxicity
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -27,6 +27,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), model_path())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.verdicts(table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op7_quality_rules, op9_toxicity, op10_sentencepiece)
+    f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_ngram_jaccard, op7_quality_rules, op9_toxicity, op10_sentencepiece)
 }
 
 ORACLES: dict[str, str] = {}

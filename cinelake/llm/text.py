@@ -49,16 +49,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def chained(parts: Iterable[np.ndarray], seed: int) -> np.ndarray:
+    """One hash per row over columns of numbers."""
+    out = np.uint64(seed)
+    for values in parts:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + values)
+    return out
+
+
 def shingles(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` values; of the whole sequence if it is shorter and not empty."""
     width = min(width, len(values))
     if not width:
         return values
     count = len(values) - width + 1
-    out = np.full(count, width, dtype=np.uint64)
-    for k in range(width):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + values[k:k + count])
-    return out
+    with np.errstate(over="ignore"):
+        return chained((values[k:k + count] for k in range(width)), width)
 
 
 def sequence_key(tokens: list[bytes]) -> str:
