@@ -7,9 +7,10 @@ therefore emit every pair of that longer prefix as one key; large sets, and the
 match a large one, go into the inverted list of each shingle of the shorter prefix. The size where
 one way gives way to the other has the least estimated cost over the histogram of sizes.
 
-Lists are not expanded into pairs. Each list is first compared with its smallest and its largest class; what
-is linked becomes one component. Only pairs of a list that are still in different components are
-then compared, so no link between components is lost. Every candidate is verified on whole sets.
+Lists are not expanded into pairs. Each list is first compared with its smallest and its largest
+class; what is linked becomes one component. While the pairs of a list that are still in different
+components outnumber its entries, further classes serve as hubs. Then those pairs are compared, all
+of them, so no link between components is lost. Every candidate is verified on whole sets.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ PERCENT = 80
 SKETCH = 1 << 18
 #: Bits of the filter of classes that have candidates: 8 MB whatever the data. It passes too many, never too few.
 FILTER_BITS = 1 << 26
+#: Parity bits kept per class: sets that differ in few shingles differ in few of them.
+PARITY = 256
+BITS = [f"w{k}" for k in range(PARITY // 64)]
+#: Pairs across components that lists may expand to, per entry, before further hubs are tried first.
+LINEAR = 4
 #: Cost of scanning an inverted list per entry, against emitting one subset.
 SCAN_COST = 4.0
 
@@ -106,7 +112,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def _sizes(read: DataFrame) -> DataFrame:
-    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64())])
+    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((w, pa.int64()) for w in BITS)])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -114,11 +120,12 @@ def _sizes(read: DataFrame) -> DataFrame:
         def rows():
             for key, body in table_rows(parts, "id", "text"):
                 found = shingle_set(body, cache)
-                yield key, len(found), class_of(found)
+                odd = np.bincount((found >> np.uint64(40)).astype(np.int64) % PARITY, minlength=PARITY) & 1
+                yield key, len(found), class_of(found), *np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
         return batches(rows(), out)
 
-    return read.mapInArrow(run, "doc_id long, n long, cid long")
+    return read.mapInArrow(run, "doc_id long, n long, cid long, " + ", ".join(f"{w} long" for w in BITS))
 
 
 def _sketch(read: DataFrame) -> np.ndarray:
@@ -162,9 +169,10 @@ def _lists(read: DataFrame, info: DataFrame) -> DataFrame:
         if held:
             yield packed()
 
-    posted = read.select("text").mapInArrow(run, "key long, cid long, n long").repartition("key")
-    shared = posted.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low <> high")
-    return posted.join(shared.select("key"), "key").distinct()
+    # Both sides read the same columns of the same rows, so they share one exchange.
+    posted = read.select("text").mapInArrow(run, "key long, cid long, n long").where("key is not null").repartition("key")
+    shared = posted.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.max("n").alias("most"))
+    return posted.join(shared.where("low <> high and most > 0").select("key"), "key").distinct()
 
 
 def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -202,13 +210,27 @@ def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
         return batches(rows(), schema, lambda row: 8 * len(row[1]))
 
     found = read.select("text").mapInArrow(run, "cid long, items array<long>")
-    return found.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.first("items").alias("items"))
+    return found.groupBy("cid").agg(F.first("items").alias("items"))
+
+
+def _possible(x: str, y: str):
+    """Whether two classes can link, by their sizes and parities.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in BITS), F.lit(0))
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    overlap = F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (apart <= n + m - 2 * overlap)
+
+
+def _pair(x: str, y: str):
+    return F.least(f"{x}.cid", f"{y}.cid").alias("a"), F.greatest(f"{x}.cid", f"{y}.cid").alias("b")
 
 
 def _verified(read: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough."""
-    pairs = stored(pairs.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    pairs = stored(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = stored(_sets(read, wanted), "sets")
     left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
@@ -220,19 +242,40 @@ def _verified(read: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _linked(read: DataFrame, info: DataFrame) -> DataFrame:
     lists = stored(_lists(read, info), "lists")
-    ends = lists.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("low"), F.max(F.struct("cid", "n")).alias("high"))
-    member = lists.join(ends, "key")
-    stars = [member.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col(f"{end}.cid").alias("b"), F.col(f"{end}.n").alias("nb"))
-             .where("a <> b") for end in ("low", "high")]
-    links = _verified(read, stars[0].unionAll(stars[1]))
-    labels = components(links)
+    of_class = info.join(lists.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
+        *(F.first(w).alias(w) for w in BITS))
+    lists = stored(lists.join(of_class, "cid"), "lists")
+    links, labels, before, turn = None, None, None, 0
+    while True:
+        hubs = ((F.min, F.col("cid")), (F.max, F.col("cid"))) if not turn else ((F.min, F.xxhash64("cid", F.lit(turn))),)
+        known = lists if labels is None else _open(lists, labels)
+        if labels is not None:
+            known = stored(known, "open")
+            groups = known.groupBy("key", "label").count().groupBy("key").agg(
+                F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("within"))
+            rows, crossing = groups.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()
+            if not rows:
+                return labels
+            if crossing <= LINEAR * rows or (before is not None and crossing > 0.9 * before):
+                break
+            before = crossing
+        stars = None
+        for pick, order in hubs:
+            hub = known.groupBy("key").agg(pick(F.struct(order.alias("o"), "cid", "n", *BITS)).alias("hub")).select("key", "hub.*")
+            star = known.alias("x").join(hub.alias("y"), "key").where("x.cid <> y.cid").where(_possible("x", "y")).select(*_pair("x", "y"))
+            stars = star if stars is None else stars.unionAll(star)
+        found = _verified(read, stars)
+        links = found if links is None else links.unionAll(found)
+        labels = stored(components(links), "labels")
+        turn += 1
+    x, y = known.alias("x"), known.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _possible("x", "y"))
+    return components(links.unionAll(_verified(read, pairs.select(*_pair("x", "y")))))
+
+
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists that still hold different components, with each entry's component."""
     known = lists.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
-        "key", "cid", "n", F.coalesce("label", "cid").alias("label"))
-    open_keys = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    rest = stored(known.join(open_keys, "key"), "open")
-    if rest.isEmpty():
-        return labels
-    other = rest.select("key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("label").alias("other"))
-    pairs = rest.join(other, "key").where("label < other").select(F.col("cid").alias("a"), F.col("n").alias("na"), "b", "nb")
-    more = _verified(read, pairs.join(links.select(*(F.col(c) for c in "ab")), ["a", "b"], "left_anti"))
-    return components(links.unionAll(more)) if not more.isEmpty() else labels
+        "key", "cid", "n", *BITS, F.coalesce("label", "cid").alias("label"))
+    several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    return known.join(several, "key")

@@ -91,13 +91,14 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", kept
     other. An empty table gives none.
     """
     read = inputs(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
-    found = stored(_anchored(read), "anchors").repartition("prefix")
+    found = stored(_anchored(read), "anchors")
+    anchored = found.where("prefix is not null").repartition("prefix")
     texts = stored(found.where("prefix is null").select("doc_id", "sid").distinct().join(
         found.where("prefix is null").groupBy("sid").agg(F.min("doc_id").alias("first")), "sid"), "texts")
-    census = found.where("prefix is not null").groupBy("prefix").agg(
+    census = anchored.groupBy("prefix").agg(
         F.min("sid").alias("x"), F.max("sid").alias("y"), F.count("*").alias("n")).where("x <> y").select("prefix", "n")
     first_texts = texts.where("doc_id = first").select("doc_id", "sid")
-    shared = found.where("prefix is not null").join(census, "prefix").join(first_texts, ["doc_id", "sid"])
+    shared = anchored.join(census, "prefix").join(first_texts, ["doc_id", "sid"])
     wanted = stored(shared.groupBy("doc_id", "sid").agg(
         F.collect_list(F.struct("prefix", "first", "last", "n")).alias("anchors")), "wanted")
     total = wanted.agg(F.sum(F.size("anchors"))).first()[0] or 0
