@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import cascade, jaccard, pieces, substrings, tokens, toxicity
+from cinelake.llm import (
+    cascade, jaccard, langid, mixing, neighbours, pieces, secret_scan, substrings, tokens, toxicity,
+)
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -31,14 +33,30 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), every=50)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
@@ -49,8 +67,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_pieces", "ids", "round_trip", F.sha2("text", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_ngram_jaccard, op7_quality_rules, op9_toxicity, op10_sentencepiece)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_token_counts, op2_substring_dedup, op3_mixing, op4_ngram_jaccard, op5_secret_scans, op6_nearest_neighbours,
+    op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece)}
 
 ORACLES: dict[str, str] = {}
