@@ -36,6 +36,8 @@ FILTER_BITS = 1 << 26
 #: Parity bits kept per class: sets that differ in few shingles differ in few of them.
 PARITY = 256
 BITS = [f"w{k}" for k in range(PARITY // 64)]
+#: Parity bits that candidate pairs are looked at with before whole sets travel.
+WIDE = 2048
 #: Pairs across components that lists may expand to, per entry, before further hubs are tried first.
 LINEAR = 4
 #: Cost of scanning an inverted list per entry, against emitting one subset.
@@ -52,6 +54,12 @@ def class_of(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64))
 
 
+def parity(found: np.ndarray, bits: int) -> np.ndarray:
+    """Whether an odd number of shingles falls on each bit, packed into longs."""
+    odd = np.bincount((found >> np.uint64(40)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def needed(size: int) -> int:
     """Least overlap of a set of this size with any set it links to."""
     return -(-PERCENT * size // 100)
@@ -112,7 +120,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
 
 def _sizes(read: DataFrame) -> DataFrame:
-    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((w, pa.int64()) for w in BITS)])
+    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((w, pa.int64()) for w in BITS), ("wide", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -120,12 +128,11 @@ def _sizes(read: DataFrame) -> DataFrame:
         def rows():
             for key, body in table_rows(parts, "id", "text"):
                 found = shingle_set(body, cache)
-                odd = np.bincount((found >> np.uint64(40)).astype(np.int64) % PARITY, minlength=PARITY) & 1
-                yield key, len(found), class_of(found), *np.packbits(odd.astype(bool)).view(np.int64).tolist()
+                yield key, len(found), class_of(found), *parity(found, PARITY).tolist(), parity(found, WIDE)
 
-        return batches(rows(), out)
+        return batches(rows(), out, lambda row: 400)
 
-    return read.mapInArrow(run, "doc_id long, n long, cid long, " + ", ".join(f"{w} long" for w in BITS))
+    return read.mapInArrow(run, "doc_id long, n long, cid long, " + ", ".join(f"{w} long" for w in BITS) + ", wide array<long>")
 
 
 def _sketch(read: DataFrame) -> np.ndarray:
@@ -213,6 +220,11 @@ def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("cid").agg(F.first("items").alias("items"))
 
 
+def _overlap(total):
+    """Least overlap of two linked sets, by the sum of their sizes."""
+    return F.ceil(total * PERCENT / (100 + PERCENT) - 1e-9)
+
+
 def _possible(x: str, y: str):
     """Whether two classes can link, by their sizes and parities.
 
@@ -220,17 +232,19 @@ def _possible(x: str, y: str):
     """
     apart = sum((F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in BITS), F.lit(0))
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    overlap = F.ceil((n + m) * PERCENT / (100 + PERCENT) - 1e-9)
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (apart <= n + m - 2 * overlap)
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (apart <= n + m - 2 * _overlap(n + m))
 
 
 def _pair(x: str, y: str):
     return F.least(f"{x}.cid", f"{y}.cid").alias("a"), F.greatest(f"{x}.cid", f"{y}.cid").alias("b")
 
 
-def _verified(read: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough."""
-    pairs = stored(pairs.distinct(), "pairs")
+def _verified(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets overlap enough; the wide parities rule out most others first."""
+    side = lambda c, n, w: classes.select(F.col("cid").alias(c), F.col("n").alias(n), F.col("wide").alias(w))
+    wide = pairs.distinct().join(side("a", "m", "p"), "a").join(side("b", "n", "q"), "b")
+    apart = F.aggregate(F.zip_with("p", "q", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
+    pairs = stored(wide.where(apart <= F.col("m") + F.col("n") - 2 * _overlap(F.col("m") + F.col("n"))).select("a", "b"), "pairs")
     wanted = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
     sets = stored(_sets(read, wanted), "sets")
     left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
@@ -242,9 +256,9 @@ def _verified(read: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _linked(read: DataFrame, info: DataFrame) -> DataFrame:
     lists = stored(_lists(read, info), "lists")
-    of_class = info.join(lists.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
-        *(F.first(w).alias(w) for w in BITS))
-    lists = stored(lists.join(of_class, "cid"), "lists")
+    classes = stored(info.join(lists.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
+        *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))), "classes")
+    lists = stored(lists.join(classes.select("cid", *BITS), "cid"), "lists")
     links, labels, before, turn = None, None, None, 0
     while True:
         hubs = ((F.min, F.col("cid")), (F.max, F.col("cid"))) if not turn else ((F.min, F.xxhash64("cid", F.lit(turn))),)
@@ -264,13 +278,13 @@ def _linked(read: DataFrame, info: DataFrame) -> DataFrame:
             hub = known.groupBy("key").agg(pick(F.struct(order.alias("o"), "cid", "n", *BITS)).alias("hub")).select("key", "hub.*")
             star = known.alias("x").join(hub.alias("y"), "key").where("x.cid <> y.cid").where(_possible("x", "y")).select(*_pair("x", "y"))
             stars = star if stars is None else stars.unionAll(star)
-        found = _verified(read, stars)
+        found = _verified(read, stars, classes)
         links = found if links is None else links.unionAll(found)
         labels = stored(components(links), "labels")
         turn += 1
     x, y = known.alias("x"), known.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _possible("x", "y"))
-    return components(links.unionAll(_verified(read, pairs.select(*_pair("x", "y")))))
+    return components(links.unionAll(_verified(read, pairs.select(*_pair("x", "y")), classes)))
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:

@@ -16,9 +16,14 @@ BLOCK = 4096
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written once to the shared folder and read from there: cuts lineage, survives lost executors."""
+    """The rows written once to the shared folder and read from there: cuts lineage, survives lost executors.
+
+    The driver then collects its garbage, on which Spark removes the shuffle files of finished
+    steps; a job of many steps would hold them all otherwise.
+    """
     path = scratch_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
