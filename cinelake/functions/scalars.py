@@ -47,7 +47,9 @@ def split_tags(text: Column | str, trim: bool = False) -> Column:
 
 def list_literal(text: Column | str) -> Column:
     """Text such as ``[28, 12]`` to an array of numbers; everything else to an empty array."""
-    return F.coalesce(F.from_json(text, "array<bigint>"), F.array().cast("array<bigint>"))
+    source = F.col(text) if isinstance(text, str) else text
+    whole = F.when(source.rlike(r"^\s*\[[^\[\]]*\]\s*$"), source)
+    return F.coalesce(F.from_json(whole, "array<bigint>"), F.array().cast("array<bigint>"))
 
 
 def binary_to_text(df: DataFrame) -> DataFrame:

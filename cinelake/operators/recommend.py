@@ -9,8 +9,6 @@ from cinelake import constants as K
 from cinelake.functions import cosine, unit
 
 SCORE = "cosine_similarity"
-# A row of a ranking is an id and a score, so this many are a few hundred kilobytes.
-BROADCAST_ROWS = 10_000
 
 
 def score_films(
@@ -39,16 +37,14 @@ def top_films(films: DataFrame, scores: DataFrame, k: int = K.TOP_FILMS) -> Data
     """The ``k`` best scored rows of ``films``, best first, ties by id, without the score.
 
     Only ids and scores are shuffled: the best ``k`` scores among films that exist are found
-    first, and those ``k`` rows are then broadcast, unless ``k`` is large, to pick up the wide
-    columns. Rows outside the best ``k`` scores cannot enter the result, since a repeated film
+    first, and those ``k`` rows then pick up the wide columns; Spark measures them and broadcasts
+    them if they are few. Rows outside the best ``k`` scores cannot enter the result, since a repeated film
     only adds rows of the same score.
     """
     known = films.select("id").distinct()
     best = (
         scores.join(known, "id", "left_semi")
         .orderBy(F.col(SCORE).desc(), "id").limit(k))
-    if k <= BROADCAST_ROWS:
-        best = F.broadcast(best)
     return (
         films.join(best, "id")
         .orderBy(F.col(SCORE).desc(), "id").limit(k)

@@ -10,8 +10,8 @@ from cinelake import constants as K
 from cinelake import schemas
 
 
-def page_results(pages: DataFrame, page: int | None = 1) -> DataFrame:
-    """The films on the pages, one row each; ``page=None`` takes every page.
+def page_results(pages: DataFrame, page: int | None = None) -> DataFrame:
+    """The films on all pages, one row each, or on the one page asked for.
 
     A page that does not state its number counts as the first.
     """
@@ -21,7 +21,7 @@ def page_results(pages: DataFrame, page: int | None = 1) -> DataFrame:
 
 
 def read_pages(
-    spark: SparkSession, path: str, page: int | None = 1, multi_line: bool = True,
+    spark: SparkSession, path: str, page: int | None = None, multi_line: bool = True,
 ) -> DataFrame:
     """Films from JSON responses: one response per file, or per line without ``multi_line``."""
     pages = spark.read.schema(schemas.API_PAGE).option("multiLine", multi_line).json(path)

@@ -168,7 +168,7 @@ def q_api_pages(i: Inputs) -> DataFrame:
     pages = i.favourites.groupBy(F.floor(F.col("id") / 20).cast("int").alias("page")).agg(
         F.collect_list(F.struct(*K.PAGE_FIELDS)).alias("results"))
     pages.write.json(folder)
-    return portable(read_pages(i.spark, folder, page=None, multi_line=False))
+    return portable(read_pages(i.spark, folder, multi_line=False))
 
 
 def q_snapshot_fallback(i: Inputs) -> DataFrame:
