@@ -27,8 +27,8 @@ def test_rating_labels(spark):
 
 
 def test_list_literals(spark):
-    found = values(spark, ["[28, 12]", "x", '{"a":1}', None, "[]"], "t string", list_literal("t"))
-    assert found == [[28, 12], [], [], [], []]
+    found = values(spark, ["[28, 12]", "x", '{"a":1}', None, "[]", "[1, 2] junk"], "t string", list_literal("t"))
+    assert found == [[28, 12], [], [], [], [], []]
 
 
 def test_year_of_date_text(spark):
