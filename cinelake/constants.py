@@ -2,8 +2,9 @@
 
 # Columns removed and fills applied when the raw catalogue is cleaned.
 UNUSED_COLUMNS = ("backdrop_path", "spoken_languages", "poster_path")
-NUMBER_FILLS = {"budget": 0, "revenue": 0}
-TEXT_FILLS = {
+FILLS = {
+    "budget": 0,
+    "revenue": 0,
     "adult": "FALSE",
     "original_language": "en",
     "overview": "nan",
@@ -37,6 +38,3 @@ PAGE_FIELDS = (
 RATING_FLOOR_RANGE = (0, 9)
 UNKNOWN_RATING = "unknown"
 TOP_FILMS = 100
-
-# DATE values lie in this range, so a per-year table has at most this many rows.
-CALENDAR_YEARS = (1, 9999)

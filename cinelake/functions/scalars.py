@@ -12,8 +12,7 @@ from cinelake import constants as K
 def calendar_year(value: Column | str) -> Column:
     """Year of a date or of date text; null where the text is no date."""
     source = F.col(value) if isinstance(value, str) else value
-    year = F.year(source.try_cast("date"))
-    return F.when(year.between(*K.CALENDAR_YEARS), year)
+    return F.year(source.try_cast("date"))
 
 
 def month_label(value: Column | str) -> Column:

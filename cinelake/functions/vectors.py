@@ -1,21 +1,14 @@
-"""Arithmetic on ``array<double>`` vectors.
+"""Arithmetic on ``array<double>`` vectors of any length.
 
-With a known ``width`` the sums are written out term by term, which keeps them inside generated
-code; without one, higher-order functions take any length.
+One expression serves every length, so a result never depends on a promised width. Vectors of
+different lengths cannot be multiplied: that is an error, not a null or a prefix.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A longer dot product and norm make a generated method above the 8,000 bytes that the JVM is
-# willing to compile, and interpreting it is about ten times slower.
-WRITTEN_OUT_WIDTH = 24
-
 
 def elements(vector: Column, width: int) -> list[Column]:
     """The first ``width`` elements, null beyond the end."""
@@ -27,26 +20,25 @@ def product(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: a * b)
 
 
-def dot(left: Column, right: Column, width: int | None = None) -> Column:
-    if width and width <= WRITTEN_OUT_WIDTH:
-        pairs = zip(elements(left, width), elements(right, width), strict=True)
-        return reduce(add, (a * b for a, b in pairs))
-    return F.aggregate(product(left, right), F.lit(0.0), lambda total, x: total + x)
+def dot(left: Column, right: Column) -> Column:
+    """Sum of products; null if a vector is null, an error if the lengths differ."""
+    total = F.aggregate(product(left, right), F.lit(0.0), lambda total, x: total + x)
+    differ = F.concat(
+        F.lit("vectors of lengths "), F.size(left).cast("string"), F.lit(" and "), F.size(right).cast("string"))
+    return F.when(F.size(left) != F.size(right), F.raise_error(differ).cast("double")).otherwise(total)
 
 
-def norm(vector: Column, width: int | None = None) -> Column:
-    if width and width <= WRITTEN_OUT_WIDTH:
-        return F.sqrt(reduce(add, (x * x for x in elements(vector, width))))
+def norm(vector: Column) -> Column:
     return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x))
 
 
-def unit(vector: Column, width: int | None = None) -> Column:
+def unit(vector: Column) -> Column:
     """The vector at length 1; a zero vector stays as it is."""
-    length = norm(vector, width)
+    length = norm(vector)
     return F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector)
 
 
-def cosine(vector: Column, direction: Column, width: int | None = None) -> Column:
+def cosine(vector: Column, direction: Column) -> Column:
     """Cosine of a vector and a unit vector as double; 0.0 for a zero vector on either side."""
-    length = norm(vector, width)
-    return F.when(length > 0, dot(vector, direction, width) / length).otherwise(F.lit(0.0))
+    length = norm(vector)
+    return F.when(length > 0, dot(vector, direction) / length).otherwise(F.lit(0.0))

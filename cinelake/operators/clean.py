@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cinelake import constants as K
 from cinelake.functions import calendar_year
 from cinelake.schemas import YEAR_COLUMN
+from cinelake.session import measured
 
 
 def drop_unused(df: DataFrame) -> DataFrame:
@@ -28,18 +29,18 @@ def with_year(df: DataFrame) -> DataFrame:
 def impute_mean(df: DataFrame, column: str = "popularity", by: str = YEAR_COLUMN) -> DataFrame:
     """Replace missing values of ``column`` by the mean of their ``by`` group.
 
-    The means come from a narrow aggregate that combines on the map side, and only they travel:
-    at most one row per calendar year, so the broadcast stays small and the films are never
-    grouped by year. NaN counts as missing. A group without any value keeps its nulls.
+    The means come from a narrow aggregate that combines on the map side. They are computed when
+    this is called, so that Spark knows their size: few are broadcast, and no film is grouped by
+    year. NaN counts as missing. A group without any value keeps its nulls.
     """
     value = F.nanvl(F.col(column), F.lit(None).cast("double"))
     means = df.groupBy(by).agg(F.avg(value).alias("_mean")).where(F.col("_mean").isNotNull())
-    filled = df.join(F.broadcast(means), by, "left")
+    filled = df.join(measured(means, "means"), by, "left")
     return filled.withColumn(column, F.coalesce(value, "_mean")).select(*df.columns)
 
 
 def fill_constants(df: DataFrame) -> DataFrame:
-    return df.fillna({**K.NUMBER_FILLS, **K.TEXT_FILLS})
+    return df.fillna(K.FILLS)
 
 
 def clean_movies(df: DataFrame) -> DataFrame:

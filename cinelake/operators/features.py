@@ -1,8 +1,8 @@
 """Feature vectors: scaled numbers followed by TF-IDF of hashed tags.
 
 All years are fitted in one job. A narrow aggregate, combined on the map side, yields one row of
-statistics per year; those rows are broadcast back (one per calendar year at most) and every film
-is turned into its vector by plain column arithmetic. No row is ever grouped by year.
+statistics per year. They are computed first, so that Spark knows their size and broadcasts them as
+long as they are few; every film is turned into its vector by plain column arithmetic.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake.functions import calendar_year, elements, product, split_tags
-from cinelake.schemas import YEAR_COLUMN
+from cinelake.schemas import MOVIES_FEATURES, MY_FEATURES, YEAR_COLUMN
+from cinelake.session import measured
 
 INPUTS = "inputs"
 FACTORS = "factors"
@@ -48,13 +49,13 @@ def film_features(cleaned: DataFrame, trim_tags: bool = False) -> DataFrame:
     """Feature columns of the catalogue, tags split into an array."""
     kept = [YEAR_COLUMN] if YEAR_COLUMN in cleaned.columns else []
     return cleaned.select(
-        "id", "popularity", "release_date", "vote_average", "vote_count",
-        split_tags("genres", trim_tags).alias("genres"), *kept)
+        *(split_tags("genres", trim_tags).alias(c) if c == "genres" else c
+          for c in MOVIES_FEATURES.fieldNames()), *kept)
 
 
 def favourite_features(track: DataFrame) -> DataFrame:
     """Feature columns of the favourites."""
-    return track.select("id", "popularity", "release_date", "vote_average", "vote_count", "genres")
+    return track.select(*MY_FEATURES.fieldNames())
 
 
 def _with_year(features: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def transform(
         fitted = hashed.withColumn(FACTORS, stats.select(FACTORS).scalar())
         fitted = fitted.where(F.col(FACTORS).isNotNull())
     else:
-        fitted = hashed.join(F.broadcast(stats.select(by, FACTORS)), by)
+        fitted = hashed.join(measured(stats.select(by, FACTORS), "factors"), by)
     return fitted.select(
         "id", YEAR_COLUMN, product(F.col(INPUTS), F.col(FACTORS)).alias(output))
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-FILM_COLUMNS = (
-    "id", "title", "adult", "popularity", "overview", "release_date", "vote_average", "vote_count",
-)
+from cinelake.schemas import FAVOURITE_TRACK
+
+FILM_COLUMNS = tuple(c for c in FAVOURITE_TRACK.fieldNames() if c != "genres")
 
 
 def explode_genres(favourites: DataFrame) -> DataFrame:
@@ -34,14 +34,11 @@ def collect_genres(named: DataFrame) -> DataFrame:
     """One row per film with the sorted list of its genre names.
 
     Films that agree in every column are one film, and their lists join up, repeats included.
-    Names are counted per film first, which combines on the map side, so a film that occurs very
-    often sends one count per name instead of one row per occurrence.
+    The wide columns are shuffled once; lists are put together on the map side before that. A
+    list is no longer than the one its film has in the result.
     """
-    counted = named.groupBy(*FILM_COLUMNS, "genre_name").agg(F.count(F.lit(1)).alias("times"))
-    names = F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("genre_name", "times"))),
-        lambda n: F.array_repeat(n["genre_name"], n["times"].cast("int"))))
-    return counted.groupBy(*FILM_COLUMNS).agg(names.alias("genres"))
+    names = F.array_sort(F.collect_list("genre_name"))
+    return named.groupBy(*FILM_COLUMNS).agg(names.alias("genres"))
 
 
 def favourite_track(favourites: DataFrame, genre_track: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ them can be run again on its own; the yearly ones take ``years`` to rework only
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake import schemas
-from cinelake.operators import clean, features, recommend, tracks
+from cinelake.operators import clean, features, quality, recommend, tracks
 from cinelake.operators.features import DEFAULT, VectorSpec
 from cinelake.plans import marts
 from cinelake.sources import Lake, Profile, Warehouse, as_view, extract_years, publish
@@ -46,13 +47,14 @@ class Lakehouse:
         if years is not None:
             years = [y for y in years if first <= y <= last]
             first, last = min(years, default=first), max(years, default=first)
+        movies = schemas.conform(movies, schemas.MOVIES)
         films = clean.with_year(extract_years(movies, last, first))
         if years is not None:
             films = films.where(F.col(schemas.YEAR_COLUMN).isin(years))
         return self.lake.write(films, "bronze.movies")
 
     def bronze_genre_track(self, genre_track: DataFrame) -> Profile:
-        return self.lake.write(genre_track, "bronze.genre_track")
+        return self.lake.write(schemas.conform(genre_track, schemas.GENRE_TRACK), "bronze.genre_track")
 
     def bronze_favorite_movies(self, favourites: DataFrame) -> Profile:
         return self.lake.write(favourites, "bronze.favorite_movies")
@@ -72,7 +74,7 @@ class Lakehouse:
     def silver_favorite_track(self) -> Profile:
         track = tracks.favourite_track(
             self.lake.read("bronze.favorite_movies"), self.lake.read("bronze.genre_track"))
-        return self.lake.write(track, "silver.favorite_track", costly=True)
+        return self.lake.write(track, "silver.favorite_track")
 
     def silver_my_vector(self) -> Profile:
         track = self.lake.read("silver.favorite_track")
@@ -99,7 +101,7 @@ class Lakehouse:
             profile = features.profile_in_catalogue_space(mine, catalogue, self.spec)
         else:
             profile = features.user_profile(mine, self.spec)
-        return self.lake.write(profile, "gold.my_vector", costly=True)
+        return self.lake.write(profile, "gold.my_vector")
 
     def gold_movies_vector(self, years: Years = None) -> Profile:
         if years is not None and not self.fit_by_year:
@@ -113,8 +115,7 @@ class Lakehouse:
     def gold_recommendations(self) -> Profile:
         seen = self.lake.read("silver.favorite_track") if self.exclude_seen else None
         scores = recommend.score_films(
-            self.lake.read("gold.movies_vector"), self.lake.read("gold.my_vector"),
-            self.spec.width, exclude=seen)
+            self.lake.read("gold.movies_vector"), self.lake.read("gold.my_vector"), exclude=seen)
         return self.lake.write(scores, "gold.recommendations")
 
     # Warehouse and models.
@@ -132,7 +133,8 @@ class Lakehouse:
         return self.lake.write(model, "marts.infor_rating")
 
     def marts_recommendations(self, k: int = K.TOP_FILMS) -> Profile:
-        ranking = marts.recommendations(self.infor_rating(), self._table("recommendations"), k)
+        ranking = marts.recommendations(
+            self.infor_rating(), self._table("recommendations"), k, rank="rank")
         return self.lake.write(ranking, "marts.recommendations")
 
     def dashboard_views(self) -> None:
@@ -143,8 +145,24 @@ class Lakehouse:
         return self.lake.read("marts.infor_rating")
 
     def recommendations(self) -> DataFrame:
-        """The stored ranking; ``marts.recommendations`` returns it in order."""
-        return self.lake.read("marts.recommendations")
+        """The stored ranking, best first."""
+        return self.lake.read("marts.recommendations").orderBy("rank").drop("rank")
+
+    def marts_quality_report(self, key_checks: dict[str, DataFrame]) -> Profile:
+        """Key checks of the published tables, rules of the models, and films without a vector."""
+        parts = dict(key_checks)
+        for model, rules in quality.MODEL_RULES.items():
+            parts[f"marts.{model}"] = quality.check(self.lake.read(f"marts.{model}"), rules)
+        films = features.incomplete_films(self.lake.read("silver.movies_vectors"), self.spec)
+        parts["silver.movies_vectors"] = films.agg(
+            F.coalesce(F.sum("incomplete"), F.lit(0)).alias("violations")).select(
+            F.lit("complete").alias("rule"), F.lit("movie_vector").alias("column"), "violations")
+        lines = [part.select(F.lit(name).alias("checked"), "*") for name, part in parts.items()]
+        return self.lake.write(reduce(DataFrame.unionByName, lines), "marts.quality_report")
+
+    def quality_report(self) -> DataFrame:
+        """``(checked, rule, column, violations)`` of the last run."""
+        return self.lake.read("marts.quality_report")
 
     def voting_distribution(self) -> DataFrame:
         return marts.voting_distribution(self.infor_rating())
@@ -174,8 +192,8 @@ class Lakehouse:
             self.gold_movies_vector(),
             self.gold_recommendations(),
         ]
-        for table in schemas.WAREHOUSE:
-            self.publish(table)
+        checks = {table: self.publish(table) for table in schemas.WAREHOUSE}
         profiles += [self.marts_infor_rating(), self.marts_recommendations()]
+        profiles.append(self.marts_quality_report(checks))
         self.dashboard_views()
         return profiles

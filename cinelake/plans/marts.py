@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cinelake import constants as K
 from cinelake import schemas
 from cinelake.functions import calendar_year, month_label, rating_floor, rating_label, split_tags
-from cinelake.operators.recommend import top_films
+from cinelake.operators.recommend import top_films, top_joined
 
 
 def movies_infor(cleaned: DataFrame) -> DataFrame:
@@ -27,16 +27,27 @@ def movies_genres(cleaned: DataFrame) -> DataFrame:
 
 def infor_rating(infor: DataFrame, rating: DataFrame) -> DataFrame:
     """Film information with its rating."""
-    return infor.join(rating.select("id", "vote_average"), "id").select(
-        "id", "title", "overview", calendar_year("release_date").alias("release_year"),
-        "runtime", "genres", "vote_average")
+    return _model(infor.join(rating.select("id", "vote_average"), "id"))
+
+
+def _model(joined: DataFrame) -> DataFrame:
+    return joined.withColumn(schemas.YEAR_COLUMN, calendar_year("release_date")).select(
+        *schemas.INFOR_RATING.fieldNames())
 
 
 def recommendations(
-    infor_rating_model: DataFrame, scores: DataFrame, k: int = K.TOP_FILMS,
+    infor_rating_model: DataFrame, scores: DataFrame, k: int = K.TOP_FILMS, rank: str | None = None,
+) -> DataFrame:
+    """The best scored films of the stored model, best first."""
+    return top_films(infor_rating_model, scores, k, rank)
+
+
+def recommendations_from(
+    infor: DataFrame, rating: DataFrame, scores: DataFrame, k: int = K.TOP_FILMS,
 ) -> DataFrame:
-    """The best scored films, best first."""
-    return top_films(infor_rating_model, scores, k)
+    """The same ranking without a stored model: both tables are cut to the best ids, then joined."""
+    best = top_joined([rating.select("id", "vote_average"), infor], scores, k)
+    return _model(best)
 
 
 def voting_distribution(infor_rating_model: DataFrame) -> DataFrame:

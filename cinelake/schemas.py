@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType,
+    ArrayType, BinaryType, BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType,
     StringType, StructType,
 )
 
@@ -56,6 +57,9 @@ INFOR_RATING = _struct(
     id=LONG, title=TEXT, overview=TEXT, release_year=INT, runtime=INT, genres=TEXT,
     vote_average=DOUBLE)
 
+RANKING = _struct(**{f.name: f.dataType for f in INFOR_RATING}, rank=INT)
+QUALITY = _struct(checked=TEXT, rule=TEXT, column=TEXT, violations=LONG)
+
 YEAR_COLUMN = "release_year"
 
 
@@ -95,7 +99,8 @@ DATASETS = {
         Dataset("gold", "movies_vector", MOVIE_VECTORS, by_year=True),
         Dataset("gold", "recommendations", SCORES),
         Dataset("marts", "infor_rating", INFOR_RATING, keeps_last=False),
-        Dataset("marts", "recommendations", INFOR_RATING, keeps_last=False),
+        Dataset("marts", "recommendations", RANKING, keeps_last=False),
+        Dataset("marts", "quality_report", QUALITY, keeps_last=False),
     )
 }
 
@@ -112,6 +117,33 @@ class SchemaMismatch(ValueError):
     """A frame does not have the columns or types its dataset declares."""
 
 
+#: Casts that lose nothing a dataset wants to keep; a relational server's types arrive as these.
+WIDENED = {
+    ("float", "double"), ("tinyint", "int"), ("smallint", "int"), ("tinyint", "bigint"),
+    ("smallint", "bigint"), ("int", "bigint"), ("timestamp", "date"), ("timestamp_ntz", "date"),
+}
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Give columns that arrive in a server's own types the types of ``schema``.
+
+    Other differences stay, for ``assert_schema`` to name.
+    """
+    wanted = {f.name: f.dataType for f in schema}
+
+    def column(field):
+        target = wanted.get(field.name)
+        if target is None:
+            return F.col(field.name)
+        if isinstance(field.dataType, BinaryType) and target == TEXT:
+            return F.decode(field.name, "UTF-8").alias(field.name)
+        if (field.dataType.simpleString(), target.simpleString()) in WIDENED:
+            return F.col(field.name).cast(target).alias(field.name)
+        return F.col(field.name)
+
+    return df.select(*(column(f) for f in df.schema))
+
+
 def assert_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Return ``df`` with its columns in declared order, or raise on any other difference."""
     found = {f.name: f.dataType.simpleString() for f in df.schema}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -29,13 +29,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def measured(df: DataFrame, purpose: str) -> DataFrame:
+    """Statistics of groups, computed once into the shared scratch folder.
+
+    Spark then knows how large they are when it plans the join that brings them back to their rows:
+    few groups are broadcast and the rows stay where they are, very many are joined by shuffle.
+    """
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a folder of this machine: on a cluster the executors
     could not see it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -9,51 +9,10 @@ from pyspark.sql.types import (
 )
 
 from cinelake.operators.dedupe import first_per_key
-from cinelake.sources.csvrecords import odd_quotes, read_records
 
-QUOTE = '"'
-OPTIONS = {"quote": QUOTE, "escape": QUOTE}
 PLACE = "_place"
 
 
-def has_line_breaks_in_fields(
-    spark: SparkSession, path: str, line_separator: str = "\n",
-) -> bool:
-    """Whether any record may run over several lines.
-
-    A record that does so opens a quote on its first line and leaves it open, so that line holds
-    an odd number of quotes. Looking for such a line is a plain splittable text scan.
-    """
-    lines = spark.read.text(path, lineSep=line_separator)
-    return not lines.where(odd_quotes(F.col("value"), QUOTE)).isEmpty()
-
-
-def _split_lines(
-    spark: SparkSession, path: str, schema: StructType, separator: str,
-) -> DataFrame:
-    """Records of one line each, with their file, split and place in the split."""
-    rows = (
-        spark.read.schema(schema).options(**OPTIONS)
-        .option("header", True).option("enforceSchema", True).option("lineSep", separator)
-        .csv(path))
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"))
-    return rows.select("*", place.alias(PLACE))
-
-
-def _split_records(
-    spark: SparkSession, path: str, schema: StructType, separator: str,
-) -> DataFrame:
-    """Records of any number of lines, likewise."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    parsed = F.from_csv("record", columns, {**OPTIONS, "multiLine": "true"})
-    return (
-        read_records(spark, path, QUOTE, separator)
-        .select(parsed.alias("row"), F.col("place").alias(PLACE)).select("row.*", PLACE))
-
-
 def _fill_blanks(df: DataFrame) -> DataFrame:
     """Blank text becomes ``''`` and a blank number 0; a blank date stays null."""
     numbers = [f.name for f in df.schema
@@ -67,24 +26,39 @@ def read_positional_csv(
     path: str,
     schema: StructType,
     key: str | None = None,
-    multi_line: bool | None = None,
-    line_separator: str = "\n",
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
+    line_separator: str | None = None,
     blanks_as_defaults: bool = False,
+    escape: str = '"',
+    null_text: str | None = None,
 ) -> DataFrame:
     """Read comma-separated files with one header row, naming columns by position.
 
     ``key`` makes that column a primary key: rows without it are dropped and the first row of
-    each value, in file order, wins. ``blanks_as_defaults`` reads a blank field as the loader of
-    a relational server would.
+    each value, in file order, wins.
+
+    ``multi_line`` allows line breaks inside quoted fields. Spark then reads each file in one task;
+    without it files are split, and every line is a record. A record that does not fit the schema
+    is an error; ``mode="PERMISSIVE"`` keeps it with nulls instead.
 
-    Files are split among tasks. Fields that hold line breaks need a more costly way of finding
-    records; whether any may is looked up when ``multi_line`` is not given.
+    The loader of a relational server reads a blank field as ``blanks_as_defaults`` does, takes a
+    backslash as ``escape``, and reads ``\\N`` as null (``null_text``).
     """
-    if multi_line is None:
-        multi_line = has_line_breaks_in_fields(spark, path, line_separator)
-    read = _split_records if multi_line else _split_lines
-    rows = read(spark, path, schema, line_separator)
+    reader = (
+        spark.read.schema(schema).option("quote", '"').option("escape", escape)
+        .option("header", True).option("enforceSchema", True)
+        .option("multiLine", multi_line).option("mode", mode))
+    if line_separator is not None:
+        reader = reader.option("lineSep", line_separator)
+    if null_text is not None:
+        reader = reader.option("nullValue", null_text)
+    rows = reader.csv(path)
     if key:
-        rows = first_per_key(rows.where(F.col(key).isNotNull()), [key], [PLACE])
-    rows = rows.drop(PLACE)
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"))
+        rows = rows.select("*", place.alias(PLACE)).where(F.col(key).isNotNull())
+        rows = first_per_key(rows, [key], [PLACE]).drop(PLACE)
     return _fill_blanks(rows) if blanks_as_defaults else rows

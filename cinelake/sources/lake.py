@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.schemas import DATASETS, YEAR_COLUMN, assert_schema
-from cinelake.session import scratch_folder
 
 
 @dataclass(frozen=True)
@@ -36,40 +36,70 @@ class Lake:
         return f"{self.root}/{dataset.layer}/{dataset.table}"
 
     def write(
-        self, df: DataFrame, name: str, arrives_by_year: bool = False, costly: bool = False,
+        self, df: DataFrame, name: str, arrives_by_year: bool = False,
     ) -> Profile:
         """Overwrite a dataset, or only the years that ``df`` holds when it is yearly.
 
         Rows are counted while they are written. An empty frame is not written where the dataset
         keeps its last content; a yearly one always does. ``arrives_by_year`` says that ``df`` is
         a narrow transformation of a yearly dataset: its tasks hold few years each, so the rows
-        are written where they are, without a shuffle. ``costly`` says that finding out whether
-        ``df`` is empty takes as long as computing it; it is then computed once, into the shared
-        scratch folder.
+        are written where they are, without a shuffle.
+
+        A dataset that is not yearly is written once, into a folder beside it that then takes its
+        place, so a job that fails leaves the old data as they were.
         """
         dataset = DATASETS[name]
         rows = assert_schema(df, dataset.stored_schema)
         columns = tuple(rows.columns)
-        if dataset.keeps_last and not dataset.by_year:
-            if costly:
-                folder = scratch_folder(self.spark, dataset.table)
-                rows.write.parquet(folder)
-                rows = self.spark.read.schema(dataset.stored_schema).parquet(folder)
-            if rows.isEmpty():
-                return Profile(name, 0, columns, written=False)
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
         if dataset.by_year and not arrives_by_year:
             # Brings a year's rows into few files; adaptive execution cuts a year that is too
             # big for one task into several.
             rows = rows.hint("rebalance", YEAR_COLUMN)
-        writer = rows.write.mode("overwrite")
         if dataset.by_year:
             # A dynamic overwrite of no rows touches no partition.
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR_COLUMN)
-        writer.parquet(self.path(name))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                YEAR_COLUMN).parquet(self.path(name))
+            n = counted.get["rows"]
+            return Profile(name, n, columns, written=n > 0)
+        staged = f"{self.path(name)}.new-{uuid.uuid4().hex}"
+        try:
+            rows.write.parquet(staged)
+        except Exception:
+            self._delete(staged)
+            raise
         n = counted.get["rows"]
-        return Profile(name, n, columns, written=n > 0 or not dataset.keeps_last)
+        written = n > 0 or not dataset.keeps_last
+        if written:
+            self._replace(self.path(name), staged)
+        else:
+            self._delete(staged)
+        return Profile(name, n, columns, written)
+
+    def _files(self, path: str):
+        """The Hadoop path and its file system."""
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        where, files = self._files(path)
+        files.delete(where, True)
+
+    def _replace(self, path: str, staged: str) -> None:
+        """Give ``staged`` the place of ``path``, whose old content goes last."""
+        old, files = self._files(path)
+        aside = self._files(f"{staged}-old")[0]
+        had = files.exists(old)
+        if had and not files.rename(old, aside):
+            raise OSError(f"cannot set {path} aside")
+        if not files.rename(self._files(staged)[0], old):
+            if had:
+                files.rename(aside, old)
+            raise OSError(f"cannot move {staged} to {path}")
+        if had:
+            files.delete(aside, True)
+        self.spark.catalog.refreshByPath(path)
 
     def read(self, name: str, years: Iterable[int] | None = None) -> DataFrame:
         """A dataset, cut to ``years`` by partition pruning when they are given."""

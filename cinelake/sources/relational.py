@@ -6,7 +6,7 @@ database as they are and an index on the date stays usable.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,29 +48,40 @@ def jdbc_options(
 
 
 def year_predicates(
-    first: int, last: int, column: str = "release_date", key: str = "id", splits: int = 1,
+    first: int, last: int, column: str = "release_date", splits: int = 1,
 ) -> list[str]:
     """Conditions that together cover every year once; each becomes one task of a JDBC read.
 
-    A year is one condition, or ``splits`` conditions that share its rows out by key, so that no
-    year, and no day within it, is more than one task can read.
+    A year is one condition, or up to ``splits`` date ranges of about equal length. All are plain
+    ranges on the date, so an index serves them and no row is looked at twice.
     """
-    years = [
-        f"{column} >= '{y:04d}-01-01' AND {column} < '{y + 1:04d}-01-01'"
-        for y in range(first, last + 1)
-    ]
-    if splits == 1:
-        return years
-    return [
-        f"{year} AND ABS(MOD(COALESCE({key}, 0), {splits})) = {part}"
-        for year in years for part in range(splits)
-    ]
-
-
-def read_table(spark: SparkSession, options: dict[str, str], table: str) -> DataFrame:
-    """A whole table, binary columns decoded."""
-    return binary_to_text(
-        spark.read.format("jdbc").options(**options).option("dbtable", table).load())
+    conditions = []
+    for year in range(first, last + 1):
+        start, end = date(year, 1, 1), date(year + 1, 1, 1)
+        days = (end - start).days
+        cuts = sorted({start + timedelta(days * part // splits) for part in range(splits)})
+        for low, high in zip(cuts, [*cuts[1:], end]):
+            conditions.append(f"{column} >= '{low.isoformat()}' AND {column} < '{high.isoformat()}'")
+    return conditions
+
+
+def key_range_options(key: str, low: int, high: int, tasks: int) -> dict[str, str]:
+    """Settings that split a JDBC read into ``tasks`` ranges of a numeric key.
+
+    The bounds only place the cuts: keys outside them, and rows without key, are read by the
+    outermost tasks.
+    """
+    return {
+        "partitionColumn": key, "lowerBound": str(low), "upperBound": str(high),
+        "numPartitions": str(tasks)}
+
+
+def read_table(
+    spark: SparkSession, options: dict[str, str], table: str, split: dict[str, str] | None = None,
+) -> DataFrame:
+    """A whole table, binary columns decoded; in one task, or as ``key_range_options`` splits it."""
+    reader = spark.read.format("jdbc").options(**options).options(**(split or {}))
+    return binary_to_text(reader.option("dbtable", table).load())
 
 
 def read_query(spark: SparkSession, options: dict[str, str], sql: str) -> DataFrame:
@@ -81,10 +92,10 @@ def read_query(spark: SparkSession, options: dict[str, str], sql: str) -> DataFr
 
 def read_years(
     spark: SparkSession, options: dict[str, str], table: str, last: int,
-    first: int = K.FIRST_YEAR, column: str = "release_date", key: str = "id", splits: int = 1,
+    first: int = K.FIRST_YEAR, column: str = "release_date", splits: int = 1,
 ) -> DataFrame:
     """All years of a table in one job, with ``splits`` tasks per year."""
     properties = {k: v for k, v in options.items() if k != "url"}
     return binary_to_text(spark.read.jdbc(
-        options["url"], table, predicates=year_predicates(first, last, column, key, splits),
+        options["url"], table, predicates=year_predicates(first, last, column, splits),
         properties=properties))

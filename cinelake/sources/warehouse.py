@@ -8,34 +8,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinelake.operators.quality import KeyViolation, check, key_rules
 from cinelake.schemas import WAREHOUSE, assert_schema
+from cinelake.sources.relational import read_table
 
 
 @dataclass(frozen=True)
 class JdbcWarehouse:
-    """Tables of a database. Existing tables are truncated, so their types and keys stay."""
+    """Tables of a database.
+
+    A load replaces a table and its definition. ``truncate`` keeps the definition, with its keys,
+    and then needs column types that the frame's own fit. ``connections`` limits how many tasks
+    write at once; the work before the write keeps its own tasks. ``split``, from
+    ``key_range_options``, shares out the reading of a table.
+    """
 
     options: dict[str, str]
     schema: str = "movies"
     batch_size: int = 10_000
-    connections: int = 16
+    connections: int | None = None
+    truncate: bool = False
+    split: dict[str, str] | None = None
 
     def write_options(self, table: str) -> dict[str, str]:
         return {
             **self.options,
             "dbtable": f"{self.schema}.{table}",
-            "truncate": "true",
+            "truncate": str(self.truncate).lower(),
             "batchsize": str(self.batch_size),
-            # Upper bound on parallel connections; Spark coalesces without a shuffle.
-            "numPartitions": str(self.connections),
         }
 
     def save(self, df: DataFrame, table: str) -> None:
+        if self.connections is not None:
+            df = df.repartition(self.connections)
         df.write.format("jdbc").mode("overwrite").options(**self.write_options(table)).save()
 
     def load(self, spark: SparkSession, table: str) -> DataFrame:
-        return (
-            spark.read.format("jdbc").options(**self.options)
-            .option("dbtable", f"{self.schema}.{table}").load())
+        return read_table(spark, self.options, f"{self.schema}.{table}", self.split)
 
 
 @dataclass(frozen=True)
@@ -55,7 +62,7 @@ class CatalogWarehouse:
 
     def save(self, df: DataFrame, table: str) -> None:
         path = f"{self.root.rstrip('/')}/{table}"
-        as_table(df.repartition(self.buckets, "id"), self.name(table), path, ("id", self.buckets))
+        as_table(df, self.name(table), path, ("id", self.buckets))
 
     def load(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.table(self.name(table))
@@ -99,14 +106,16 @@ def publish(
 
 def as_table(df: DataFrame, name: str, path: str, bucket_by: tuple[str, int] | None = None) -> None:
     """Materialise a model as a table, bucketed on request so that joins on the bucket column
-    need no shuffle."""
-    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    need no shuffle. Rows are shuffled by bucket first, so a bucket is one file."""
     if bucket_by:
         column, buckets = bucket_by
+        df = df.repartition(buckets, column)
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    if bucket_by:
         writer = writer.bucketBy(buckets, column).sortBy(column)
     writer.saveAsTable(name)
 
 
 def as_view(df: DataFrame, name: str) -> None:
-    """Materialise a model as a view."""
+    """Materialise a model as a view of this session."""
     df.createOrReplaceTempView(name)

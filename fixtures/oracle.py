@@ -195,6 +195,22 @@ _QUALITY = " UNION ALL ".join(
 ) + " UNION ALL " + " UNION ALL ".join(
     _repeats("lineitem", "lineitem", c) for c in ("l_orderkey", "l_partkey"))
 
+_RANKING_QUALITY = " UNION ALL ".join((
+    _repeats("recommendations", "ranking", "id"), _nulls("recommendations", "ranking", "id"),
+    _repeats("lineitem", "lineitem", "l_orderkey").replace("'l_orderkey'", "'id'"),
+    _nulls("lineitem", "lineitem", "l_orderkey").replace("'l_orderkey'", "'id'")))
+
+_RUN_QUALITY = " UNION ALL ".join((*(
+    rule(table, source, "id") for table, source in (
+        ("movies_infor", "cleaned"), ("movies_rating", "cleaned"), ("movies_genres", "cleaned"),
+        ("favorite_track", "track"), ("recommendations", "scores"),
+        ("marts.infor_rating", "infor_rating"), ("marts.recommendations", "ranking"))
+    for rule in (_repeats, _nulls)),
+    _nulls("marts.infor_rating", "infor_rating", "title"),
+    _nulls("marts.infor_rating", "infor_rating", "vote_average"),
+    """SELECT 'silver.movies_vectors', 'complete', 'movie_vector',
+       COUNT_IF(vote_average IS NULL OR popularity IS NULL OR vote_count IS NULL) FROM cleaned"""))
+
 _PUBLISHED = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, rule, CASE WHEN rule = 'rows' THEN n ELSE 0 END AS violations "
     f"FROM (SELECT COUNT(*) AS n FROM {source}), "
@@ -213,7 +229,11 @@ ORACLES: dict[str, str] = {
     "key_dedupe": """SELECT l_orderkey, l_linenumber, l_partkey, ROUND(l_quantity, 6) AS l_quantity
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n
               FROM lineitem) WHERE n = 1""",
-    "csv_positional": _sql(f"SELECT {_RAW_COLUMNS} FROM raw WHERE id IS NOT NULL"),
+    "csv_positional": _sql(
+        f"""SELECT {_RAW_COLUMNS} FROM (SELECT * REPLACE (
+              CASE LENGTH(title) % 3 WHEN 0 THEN title || ' 12" disk'
+                   WHEN 1 THEN 'Say "' || title || '", again' ELSE title END AS title) FROM raw)
+            WHERE id IS NOT NULL"""),
     "csv_line_breaks": "SELECT doc_id, text, lang FROM documents",
     "binary_decode": "SELECT doc_id, text, lang FROM documents",
     "list_literal_parse": """SELECT o_orderkey,
@@ -291,6 +311,12 @@ ORACLES: dict[str, str] = {
             WHERE id NOT IN (SELECT id FROM track)""", _SCORES),
     "recommendations_top100": _sql(_TOP, _SCORES),
     "lakehouse_end_to_end": _sql(_TOP, _SCORES),
+    "typed_extract": _sql(
+        f"""SELECT {_RAW_COLUMNS}, release_year FROM (SELECT * REPLACE (
+              CAST(CAST(vote_average AS FLOAT) AS DOUBLE) AS vote_average,
+              CAST(CAST(popularity AS FLOAT) AS DOUBLE) AS popularity) FROM raw)"""),
+    "recommendations_quality": _sql(_RANKING_QUALITY, _SCORES, f"ranking AS ({_TOP})"),
+    "pipeline_quality": _sql(_RUN_QUALITY, _SCORES, f"ranking AS ({_TOP})"),
     "movies_infor": _sql(f"SELECT id, title, overview, {_DAY}, runtime, genres FROM cleaned"),
     "movies_rating": _sql(f"SELECT id, {_rounded('vote_average')}, vote_count FROM cleaned"),
     "movies_genres": _sql("SELECT id, genres FROM cleaned"),

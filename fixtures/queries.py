@@ -56,7 +56,7 @@ def long_form(df: DataFrame, vector: str, digits: int = DIGITS, first_dim: int =
 
 def score(i: Inputs, **options) -> DataFrame:
     vectors = features.fit_vectors(i.film_features)
-    return recommend.score_films(vectors, i.user_vector, features.DEFAULT.width, **options)
+    return recommend.score_films(vectors, i.user_vector, **options)
 
 
 def rounded_scores(scores: DataFrame) -> DataFrame:
@@ -100,11 +100,23 @@ def _write_csv(df: DataFrame, folder: str) -> None:
 
 
 def q_csv_positional(i: Inputs) -> DataFrame:
-    """Written under other header names and read back by position, with ``id`` as the key."""
+    """Lines with stray quotes, doubled quotes and commas under other header names, read back by
+    position with ``id`` as the key."""
     folder = scratch_folder(i.spark, "csv")
-    raw = i.movies_raw
-    raw.toDF(*(f"c{n}" for n in range(len(raw.columns)))).write.option("header", True).option(
-        "escape", '"').csv(folder)
+    title, turn = F.col("title"), F.length("title") % 3
+    raw = i.movies_raw.withColumn("title", F.when(turn == 0, F.concat(title, F.lit(' 12" disk'))).when(
+        turn == 1, F.concat(F.lit('Say "'), title, F.lit('", again'))).otherwise(title))
+
+    def field(name: str):
+        text = F.col(name).cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(text.contains(","), quoted).otherwise(text), F.lit(""))
+
+    header = ",".join(f"c{n}" for n in range(len(raw.columns)))
+    lines = raw.select(F.concat_ws(",", *(field(c) for c in raw.columns)).alias(header))
+    # One column whose separator and quote occur nowhere: lines are written as they are.
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").option(
+        "escape", "\u0002").csv(folder)
     return portable(read_positional_csv(i.spark, folder, schemas.MOVIES, key="id"))
 
 
@@ -113,7 +125,7 @@ def q_csv_line_breaks(i: Inputs) -> DataFrame:
     folder = scratch_folder(i.spark, "csv-text")
     documents = i.table("documents").select("doc_id", "text", "lang")
     _write_csv(documents.toDF("a", "b", "c"), folder)
-    return read_positional_csv(i.spark, folder, documents.schema)
+    return read_positional_csv(i.spark, folder, documents.schema, multi_line=True)
 
 
 def q_binary_decode(i: Inputs) -> DataFrame:
@@ -230,7 +242,7 @@ def q_mean_impute(i: Inputs) -> DataFrame:
 
 def q_constant_impute(i: Inputs) -> DataFrame:
     filled = clean.fill_constants(i.movies_raw)
-    return filled.select("title", *K.NUMBER_FILLS, *K.TEXT_FILLS)
+    return filled.select("title", *K.FILLS)
 
 
 def q_movies_cleaned(i: Inputs) -> DataFrame:
@@ -318,7 +330,8 @@ def q_cosine_scores_unseen(i: Inputs) -> DataFrame:
 
 
 def q_recommendations(i: Inputs) -> DataFrame:
-    return portable(marts.recommendations(_infor_rating(i), score(i)))
+    return portable(marts.recommendations_from(
+        marts.movies_infor(i.movies_cleaned), marts.movies_rating(i.movies_cleaned), score(i)))
 
 
 def q_lakehouse(i: Inputs) -> DataFrame:
@@ -330,6 +343,35 @@ def q_lakehouse(i: Inputs) -> DataFrame:
     return portable(house.recommendations())
 
 
+def q_typed_extract(i: Inputs) -> DataFrame:
+    """Films in the types of a relational server, through bronze."""
+    house = Lakehouse(
+        i.spark, scratch_folder(i.spark, "typed"), ParquetWarehouse("unused"), last_year=LAST_YEAR)
+    raw = i.movies_raw
+    types = {"vote_average": "float", "popularity": "float", "release_date": "timestamp", "genres": "binary"}
+    house.bronze_movies(raw.select(*(F.col(c).cast(types.get(c, t)).alias(c) for c, t in raw.dtypes)))
+    return portable(house.lake.read("bronze.movies"))
+
+
+def q_recommendations_quality(i: Inputs) -> DataFrame:
+    """The ranking's rules on the ranking, and on line items, which break one."""
+    rules = quality.MODEL_RULES["recommendations"]
+    ranking = quality.check(q_recommendations(i), rules)
+    items = quality.check(i.table("lineitem").select(F.col("l_orderkey").alias("id")), rules)
+    return (
+        ranking.select(F.lit("recommendations").alias("checked"), "*")
+        .unionByName(items.select(F.lit("lineitem").alias("checked"), "*")))
+
+
+def q_pipeline_quality(i: Inputs) -> DataFrame:
+    """The report a run leaves behind."""
+    root = scratch_folder(i.spark, "checked")
+    house = Lakehouse(
+        i.spark, f"{root}/lake", ParquetWarehouse(f"{root}/warehouse"), last_year=LAST_YEAR)
+    house.run(i.movies_raw, i.genre_track, i.favourites)
+    return house.quality_report()
+
+
 # Models
 
 def _infor_rating(i: Inputs) -> DataFrame:
@@ -434,6 +476,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "cosine_scores_unseen": q_cosine_scores_unseen,
     "recommendations_top100": q_recommendations,
     "lakehouse_end_to_end": q_lakehouse,
+    "typed_extract": q_typed_extract,
+    "recommendations_quality": q_recommendations_quality,
+    "pipeline_quality": q_pipeline_quality,
     "movies_infor": q_movies_infor,
     "movies_rating": q_movies_rating,
     "movies_genres": q_movies_genres,

@@ -22,7 +22,7 @@ DAY = dt.date(1999, 5, 1)
 
 def test_text_and_numbers_are_filled(spark):
     row = fill_constants(films(spark, [{"id": 1}])).first().asDict()
-    for name, value in {**K.TEXT_FILLS, **K.NUMBER_FILLS}.items():
+    for name, value in K.FILLS.items():
         assert row[name] == value
     for name in ("title", "vote_average", "vote_count", "release_date", "runtime"):
         assert row[name] is None
@@ -57,7 +57,7 @@ def test_imputation_keeps_a_hot_year_spread_out(spark):
     assert "BroadcastHashJoin" in text
     assert "Window" not in text
     assert "SortMergeJoin" not in text
-    assert text.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning" not in text
 
 
 def test_first_per_key_with_a_hot_key(spark):

@@ -81,9 +81,33 @@ def test_empty_frames_are_not_written(spark, tmp_path):
     assert lake.write(genres, "bronze.genre_track").written
     assert not lake.write(genres.where("false"), "bronze.genre_track").written
     assert lake.read("bronze.genre_track").count() == 1
-    assert not lake.write(genres.where("false"), "bronze.genre_track", costly=True).written
-    assert lake.write(genres.withColumn("id", F.lit(2)), "bronze.genre_track", costly=True).written
+    assert lake.write(genres.withColumn("id", F.lit(2)), "bronze.genre_track").written
     assert lake.read("bronze.genre_track").first().id == 2
+    assert [p.name for p in (tmp_path / "bronze").iterdir() if "genre" in p.name] == ["genre_track"]
+
+
+def test_a_failed_write_keeps_the_old_data(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    genres = spark.createDataFrame([(1, "a")], schemas.GENRE_TRACK)
+    lake.write(genres, "bronze.genre_track")
+    broken = genres.withColumn("genre_name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        lake.write(broken, "bronze.genre_track")
+    assert lake.read("bronze.genre_track").first().genre_name == "a"
+    assert [p.name for p in (tmp_path / "bronze").iterdir()] == ["genre_track"]
+
+
+def test_a_servers_types_fit_bronze_and_others_are_refused(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path), ParquetWarehouse(f"{tmp_path}/wh"), last_year=2000)
+    movies = some_films(spark).drop("release_year")
+    typed = movies.withColumns({
+        "popularity": F.lit(1.5).cast("float"), "vote_count": F.lit(3).cast("int"),
+        "release_date": F.col("release_date").cast("timestamp"), "title": F.encode("title", "UTF-8")})
+    assert house.bronze_movies(typed).row_count == 30
+    row = house.lake.read("bronze.movies").where("id = 4").first()
+    assert (row.title, row.popularity, row.vote_count, row.release_date) == ("t4", 1.5, 3, dt.date(1991, 1, 1))
+    with pytest.raises(schemas.SchemaMismatch, match="vote_average: string"):
+        house.bronze_movies(movies.withColumn("vote_average", F.lit("5")))
 
 
 def test_models_are_replaced_even_by_nothing(spark, tmp_path):
@@ -126,6 +150,7 @@ def test_no_machine_local_scratch_on_a_cluster():
 
         class sparkContext:  # noqa: N801
             master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)  # noqa: N815
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_folder(Cluster, "x")
@@ -171,6 +196,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         spark.sql("DROP TABLE bucketed_a")
         spark.sql("DROP TABLE bucketed_b")
     assert "SortMergeJoin" in text and "Exchange" not in text
+    assert len(list(tmp_path.glob("bucketed_a/*.parquet"))) <= 4
 
 
 def test_models_on_bucketed_tables_need_no_shuffle_on_id(spark, tmp_path):
@@ -223,6 +249,13 @@ def test_lakehouse_runs_and_reworks_a_year(spark, sf_dir, tmp_path):
     assert all(p.written for p in profiles.values())
     assert profiles["gold.recommendations"].row_count == profiles["gold.movies_vector"].row_count
     assert house.recommendations().count() == 100
+    scores = {r.id: r.cosine_similarity for r in house.lake.read("gold.recommendations").collect()}
+    ranked = [r.id for r in house.recommendations().collect()]
+    assert ranked == sorted(ranked, key=lambda i: (-scores[i], i))
+    checked = {(r.checked, r.rule, r.column): r.violations for r in house.quality_report().collect()}
+    assert len(checked) == 17
+    assert checked["silver.movies_vectors", "complete", "movie_vector"] == (
+        profiles["silver.movies_vectors"].row_count - profiles["gold.movies_vector"].row_count)
 
     before = {tuple(r) for r in house.lake.read("gold.movies_vector").select(
         "id", F.round(F.col("movie_vector")[0], 9)).collect()}

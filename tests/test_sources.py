@@ -9,10 +9,9 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from cinelake import schemas
 from cinelake.sources import (
-    JdbcWarehouse, extract_year, extract_years, jdbc_options, read_pages, read_positional_csv,
+    JdbcWarehouse, extract_year, extract_years, jdbc_options, key_range_options, read_pages, read_positional_csv,
     snapshot, year_predicates,
 )
-from cinelake.sources.csvfiles import has_line_breaks_in_fields
 from tests.conftest import formatted_plan
 
 PAIR = StructType().add("id", LongType()).add("name", StringType())
@@ -30,51 +29,61 @@ def test_columns_bind_by_position_and_quotes_double(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(12, 'Ad,v "x"'), (13, "plain")]
 
 
-def test_line_breaks_in_fields_are_found_by_themselves(spark, tmp_path):
-    broken = write(tmp_path / "b", 'a,b\n1,"two\nlines"\n2,"x ""y"" z"\n')
-    flat = write(tmp_path / "f", 'a,b\n1,"one ""line"""\n')
-    assert has_line_breaks_in_fields(spark, broken)
-    assert not has_line_breaks_in_fields(spark, flat)
-    assert sorted(tuple(r) for r in read_positional_csv(spark, broken, PAIR).collect()) == [
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_stray_quotes_lose_no_row(spark, tmp_path):
+    path = write(tmp_path / "q", 'a,b\n1,"x"\n2,12" disk\n3,c\n4,d\n5,e\n')
+    for multi_line in (False, True):
+        found = rows_of(read_positional_csv(spark, path, PAIR, multi_line=multi_line))
+        assert found == [(1, "x"), (2, '12" disk'), (3, "c"), (4, "d"), (5, "e")]
+
+
+def test_blank_lines_are_no_records_and_no_header(spark, tmp_path):
+    path = write(tmp_path / "l", "\na,b\n1,x\n\n2,y\n")
+    for multi_line in (False, True):
+        assert rows_of(read_positional_csv(spark, path, PAIR, multi_line=multi_line)) == [(1, "x"), (2, "y")]
+
+
+def test_line_breaks_in_fields(spark, tmp_path):
+    path = write(tmp_path / "b", 'a,b\n1,"two\nlines"\n2,"x ""y"" z"\n')
+    assert rows_of(read_positional_csv(spark, path, PAIR, multi_line=True)) == [
         (1, "two\nlines"), (2, 'x "y" z')]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):  # not merged, not dropped
+        read_positional_csv(spark, path, PAIR).collect()
 
 
-@pytest.mark.parametrize("split_bytes", [700, 4096, 1 << 27])
-def test_records_over_many_splits_equal_the_whole_file_reader(spark, tmp_path, split_bytes):
-    """Records that end in another split than they start in, or span several of them."""
+def test_records_that_do_not_fit_fail_or_are_kept(spark, tmp_path):
+    path = write(tmp_path / "m", "a,b\n1,x\nbad,y\n3,z\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        read_positional_csv(spark, path, PAIR).collect()
+    kept = read_positional_csv(spark, path, PAIR, mode="PERMISSIVE")
+    assert rows_of(kept) == [(1, "x"), (None, "y"), (3, "z")]
+
+
+def test_many_records_of_several_lines(spark, tmp_path):
     rng = random.Random(5)
     words = ["plain", 'quo"te', "com,ma", "line\nbreak", "\n\n", "", "é", '""', "x" * 900 + "\n"]
     rows = [(n % 90, "".join(rng.choices(words, k=rng.randint(0, 6)))) for n in range(400)]
     folder = f"{tmp_path}/many"
-    spark.createDataFrame(rows, PAIR).coalesce(2).write.option("header", True).option(
+    spark.createDataFrame(rows, PAIR).coalesce(1).write.option("header", True).option(
         "escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(folder)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    try:
-        found = read_positional_csv(spark, folder, PAIR)
-        first = read_positional_csv(spark, folder, PAIR, key="id")
-        found, first = found.collect(), dict(tuple(r) for r in first.collect())
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    whole = spark.read.schema(PAIR).option("header", True).option("multiLine", True).option(
-        "escape", '"').csv(folder).collect()
+    found = rows_of(read_positional_csv(spark, folder, PAIR, multi_line=True))
+    first = dict(rows_of(read_positional_csv(spark, folder, PAIR, key="id", multi_line=True)))
     rows = [(i, name or None) for i, name in rows]  # an empty field is null to the CSV reader
-    assert Counter(map(tuple, whole)) == Counter(rows)
-    assert Counter(map(tuple, found)) == Counter(rows)
+    assert Counter(found) == Counter(rows)
     expected = {}
     for i, name in rows:
         expected.setdefault(i, name)
     assert first == expected
 
 
-def test_a_record_separator_of_its_own_keeps_files_splittable(spark, tmp_path):
-    folder = tmp_path / "crlf"
-    folder.mkdir()
-    (folder / "part.csv").write_bytes(b'a,b\r\n1,"two\nlines"\r\n2,x\r\n')
-    assert has_line_breaks_in_fields(spark, str(folder))
-    assert not has_line_breaks_in_fields(spark, str(folder), "\r\n")
-    rows = read_positional_csv(spark, str(folder), PAIR, line_separator="\r\n").collect()
-    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, "x")]
+def test_a_loaders_escapes_and_nulls(spark, tmp_path):
+    path = write(tmp_path / "e", 'a,b\n1,\\N\n2,"say \\"x\\""\n')
+    found = read_positional_csv(spark, path, PAIR, escape="\\", null_text="\\N")
+    assert rows_of(found) == [(1, None), (2, 'say "x"')]
 
 
 def test_first_row_of_a_key_wins_and_missing_keys_go(spark, tmp_path):
@@ -121,10 +130,12 @@ def test_partition_domain_starts_in_1920(spark):
 
 
 def test_split_years_cover_every_row_once(spark):
-    rows = [(i, dt.date(1999 + i % 2, 1, 1)) for i in range(-20, 20)] + [(None, dt.date(1999, 1, 1))]
+    rows = [(i, dt.date(1999, 1, 1) + dt.timedelta(i)) for i in range(730)]
     df = spark.createDataFrame(rows, "id bigint, release_date date")
-    parts = [df.where(p).collect() for p in year_predicates(1999, 2000, splits=3)]
-    assert sorted(map(str, sum(parts, []))) == sorted(map(str, df.collect()))
+    for splits in (1, 3, 500):
+        parts = [df.where(p) for p in year_predicates(1999, 2000, splits=splits)]
+        counted = df.select(sum(F.expr(f"CAST({p} AS int)") for p in year_predicates(1999, 2000, splits=splits)).alias("n"))
+        assert {r.n for r in counted.collect()} == {1} and len(parts) <= 2 * splits
 
 
 def test_jdbc_settings():
@@ -134,15 +145,16 @@ def test_jdbc_settings():
     ]
     split = year_predicates(1999, 2000, splits=3)
     assert len(split) == 6
-    assert split[4] == (
-        "release_date >= '2000-01-01' AND release_date < '2001-01-01' "
-        "AND ABS(MOD(COALESCE(id, 0), 3)) = 1")
+    assert split[4] == "release_date >= '2000-05-02' AND release_date < '2000-09-01'"
     options = jdbc_options("jdbc:x://host/db", user="u", password="p")
     assert options == {
         "url": "jdbc:x://host/db", "fetchsize": "10000", "user": "u", "password": "p"}
     written = JdbcWarehouse(options).write_options("movies_rating")
     assert written["dbtable"] == "movies.movies_rating"
-    assert written["truncate"] == "true"
+    assert written["truncate"] == "false" and "numPartitions" not in written
+    assert JdbcWarehouse(options, truncate=True).write_options("x")["truncate"] == "true"
+    assert key_range_options("id", 1, 100, 4) == {
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4"}
 
 
 PAGE = {

@@ -57,3 +57,10 @@ def test_lookup_is_an_inner_join_of_a_size_spark_checks(spark):
         explode_genres(favourites(spark, [{"id": 1, "genre_ids": [28]}])), genre_track(spark))
     text = plan(named)
     assert "Inner" in text and "LeftOuter" not in text
+
+
+def test_wide_columns_are_shuffled_once(spark, tmp_path):
+    df = favourites(spark, [{"id": 1, "genre_ids": [28]}])
+    genre_track(spark).write.parquet(f"{tmp_path}/g")  # a stored lookup has a size that Spark knows
+    text = plan(favourite_track(df, spark.read.parquet(f"{tmp_path}/g")))
+    assert text.count("Exchange hashpartitioning") == 1
