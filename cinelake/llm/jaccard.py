@@ -31,6 +31,8 @@ WIDTH = 5
 PERCENT = 80
 #: Cells of the count sketch: 2 MB whatever the data.
 SKETCH = 1 << 18
+#: Classes a task remembers to pass each of them on once; bounds memory, never results.
+CACHED_CLASSES = 500_000
 #: Bits of the filter of classes that have candidates: 8 MB whatever the data. It passes too many, never too few.
 FILTER_BITS = 1 << 26
 #: Parity bits kept per class: sets that differ in few shingles differ in few of them.
@@ -158,7 +160,7 @@ def _lists(read: DataFrame, info: DataFrame) -> DataFrame:
     out = pa.schema([("key", pa.int64()), ("cid", pa.int64()), ("n", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held, size = WordHashes(), [], 0
+        cache, held, size, seen = WordHashes(), [], 0, set()
 
         def packed():
             key, cid, n = (np.concatenate(c) for c in zip(*held))
@@ -166,9 +168,15 @@ def _lists(read: DataFrame, info: DataFrame) -> DataFrame:
 
         for (body,) in table_rows(parts, "text"):
             found = shingle_set(body, cache)
+            cid = class_of(found)
+            if cid in seen:  # a task posts the copies of a class once; the rest go with distinct below
+                continue
+            if len(seen) >= CACHED_CLASSES:
+                seen.clear()
+            seen.add(cid)
             own = keys(found, sketch.value, small).view(np.int64)
             if len(own):
-                held.append((own, np.full(len(own), class_of(found)), np.full(len(own), len(found))))
+                held.append((own, np.full(len(own), cid), np.full(len(own), len(found))))
                 size += 24 * len(own)
                 if size >= BATCH_BYTES:
                     yield packed()
@@ -209,7 +217,7 @@ def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
                 cid = class_of(found)
                 bit = int(np.uint64(cid & 0xFFFFFFFFFFFFFFFF) % np.uint64(FILTER_BITS))
                 if cid not in seen and chosen.value[bit >> 3] >> (7 - (bit & 7)) & 1:
-                    if len(seen) >= 500_000:
+                    if len(seen) >= CACHED_CLASSES:
                         seen.clear()
                     seen.add(cid)
                     yield cid, found.view(np.int64)
