@@ -139,7 +139,7 @@ def estimate(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
         rows = max(sample.count(), 1)
         out = []
         for rule in rules:
-            counted = sample.agg(F.count_if(rule.fails(lambda name: MEASURES[name](F.col("text")))).alias("n"))
+            counted = sample.agg(F.count_if(rule.fails(lambda name: MEASURES[name](F.col("text")).cast("long"))).alias("n"))
             counted.first()  # compiles the expression
             start = time.perf_counter()
             rejected = counted.first().n
@@ -158,7 +158,7 @@ def cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text",
     Repeated rows are judged alike; an empty table stays empty.
     """
     body = F.coalesce(docs[text], F.lit(""))
-    return docs.where(passes(estimate(docs, rules, text, sample_rows), lambda name: MEASURES[name](body)))
+    return docs.where(passes(estimate(docs, rules, text, sample_rows), lambda name: MEASURES[name](body).cast("long")))
 
 
 def passes(order: Sequence[Estimate], measure: Callable[[str], Column]) -> Column:
