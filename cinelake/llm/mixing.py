@@ -73,8 +73,9 @@ def budgets(leaves: DataFrame, total: Column, weights: DataFrame | None = None,
 def mix(docs: DataFrame, total: int | None = None, weights: DataFrame | None = None, domain: Column | None = None,
         tokens: Column | None = None, id: str = "doc_id", text: str = "text", lang: str = "lang",
         source: str = "source", epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
-    """(doc_id, epoch, domain, lang, source, n_tokens, taken): every document and epoch that is chosen.
+    """(doc_id, epoch, domain, lang, source, content, n_tokens, taken): every document and epoch that is chosen.
 
+    ``content`` is a hash of the text, which tells texts under one id apart.
     ``total`` is the token budget, all tokens there are by default. ``taken`` tokens of the document
     count for the budget, fewer than it has for the one document per leaf that the budget cuts.
     Null languages and sources form leaves of their own, under the empty name. A text without
@@ -95,7 +96,7 @@ def mix(docs: DataFrame, total: int | None = None, weights: DataFrame | None = N
     plan = plan.withColumn("rest", F.when(F.col("whole") < epochs, F.col("budget") - F.col("whole") * F.col("tokens")).otherwise(0))
     drawn = rows.join(plan.select(*LEVELS, "whole", "rest"), list(LEVELS))
     full = drawn.where("whole > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)).alias("epoch"))
-    full = full.select("doc_id", "epoch", *LEVELS, "n_tokens", F.col("n_tokens").alias("taken"))
+    full = full.select("doc_id", "epoch", *LEVELS, "content", "n_tokens", F.col("n_tokens").alias("taken"))
     place = F.md5(F.concat_ws("|", F.lit(seed), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("content")).cast("binary"))
     last = drawn.where("rest > 0").withColumn("place", place).withColumn(
         "slice", (F.conv(F.substring("place", 1, 8), 16, 10).cast("long") % SLICES).cast("int"))
@@ -104,9 +105,9 @@ def mix(docs: DataFrame, total: int | None = None, weights: DataFrame | None = N
     so_far = Window.partitionBy(*LEVELS).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("ahead", F.coalesce(F.sum("t").over(so_far), F.lit(0))).where("ahead < r").select(*LEVELS, "slice", "ahead", "t")
     chosen = last.join(slices, [*LEVELS, "slice"])
-    inside = chosen.where("ahead + t <= rest").select("doc_id", F.col("whole").alias("epoch"), *LEVELS, "n_tokens", F.col("n_tokens").alias("taken"))
+    inside = chosen.where("ahead + t <= rest").select("doc_id", F.col("whole").alias("epoch"), *LEVELS, "content", "n_tokens", F.col("n_tokens").alias("taken"))
     in_slice = Window.partitionBy(*LEVELS, "slice").orderBy("place", "doc_id", "content").rowsBetween(Window.unboundedPreceding, -1)
     cut = chosen.where("ahead + t > rest").withColumn("start", F.col("ahead") + F.coalesce(F.sum("n_tokens").over(in_slice), F.lit(0)))
-    cut = cut.where("start < rest").select("doc_id", F.col("whole").alias("epoch"), *LEVELS, "n_tokens",
+    cut = cut.where("start < rest").select("doc_id", F.col("whole").alias("epoch"), *LEVELS, "content", "n_tokens",
                                            F.least("n_tokens", F.col("rest") - F.col("start")).alias("taken"))
     return full.unionAll(inside).unionAll(cut)

@@ -34,8 +34,11 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     The document that a budget cuts keeps its first words.
     """
-    chosen = mixing.mix(docs).select("doc_id", "taken", "n_tokens")
-    rows = docs.dropDuplicates(["doc_id", "text"]).alias("d").join(chosen.alias("c"), F.expr("d.doc_id <=> c.doc_id"))
+    chosen = mixing.mix(docs).select("doc_id", "lang", "source", "content", "taken", "n_tokens")
+    keyed = docs.withColumn("_lang", F.coalesce("lang", F.lit(""))).withColumn("_source", F.coalesce("source", F.lit("")))
+    once = keyed.dropDuplicates(["doc_id", "text", "_lang", "_source"]).withColumn("_content", F.xxhash64("text"))
+    rows = once.alias("d").join(chosen.alias("c"), F.expr(
+        "d.doc_id <=> c.doc_id and d._content = c.content and d._lang = c.lang and d._source = c.source"))
     first_words = F.array_join(F.slice(word_array(F.col("d.text")), 1, F.col("c.taken").cast("int")), " ")
     text = F.when(F.col("c.taken") < F.col("c.n_tokens"), first_words).otherwise(F.col("d.text"))
     out = rows.withColumn("_text", text)
