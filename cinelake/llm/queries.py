@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from cinelake.llm import (
     cascade, jaccard, langid, mixing, neighbours, pieces, secret_scan, substrings, tokens, toxicity,
 )
+from cinelake.llm.oracle import ORACLES
+
+__all__ = ["ORACLES", "QUERIES", "model_path"]
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -70,5 +73,3 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_mixing, op4_ngram_jaccard, op5_secret_scans, op6_nearest_neighbours,
     op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece)}
-
-ORACLES: dict[str, str] = {}
