@@ -12,6 +12,7 @@ import corpus_pipeline
 from cinelake.llm import (
     bpe, cascade, jaccard, langid, mixing, neighbours, pieces, queries, secret_scan, substrings, tokens, toxicity,
 )
+from fixtures.compare import connect, differences
 
 sentencepiece = pytest.importorskip("sentencepiece")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, n_words long"
@@ -207,6 +208,38 @@ def test_toxicity_on_rows_no_fit_has_seen(spark):
     assert right >= 0.95 * len(scored) and all(0 <= r.score <= 1 for r in scored)
 
 
+def test_toxicity_of_odd_and_empty_tables(spark, odd, none):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    scored = toxicity.score(odd, model).collect()
+    assert len(scored) == len(ODD) and all(0 <= r.score <= 1 for r in scored)
+    assert toxicity.score(none, model).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    assert differences(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) == ""
+
+
+def test_every_stage_takes_odd_and_empty_tables(odd, none, spark, sf_dir):
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (odd, none):
+            out = stage(spark, docs, sf_dir)
+            assert name == "sentencepiece" or out.columns == docs.columns
+            rows = out.collect()
+            assert docs is odd or rows == []
+
+
+def test_chosen_documents_fetch_their_own_text(spark, sf_dir):
+    rows = [(1, "a b c", "en", "s", 5, 0, 0), (1, "d e f", "en", "s", 5, 0, 0), (1, "d e f", "fr", None, 5, 0, 0)]
+    out = corpus_pipeline.mixing_weights(spark, spark.createDataFrame(rows, SCHEMA), sf_dir)
+    taken = mixing.mix(spark.createDataFrame(rows, SCHEMA)).agg(F.sum("taken")).first()[0]
+    assert sum(len(split(r.text)) for r in out.collect()) == taken
+    assert {(r.text, r.lang, r.source) for r in out.collect()} <= {(t, lang, source) for _, t, lang, source, *_ in rows} | {
+        (" ".join(t.split()[:k]), lang, source) for _, t, lang, source, *_ in rows for k in (1, 2)}
+
+
 def test_pipeline_keeps_the_columns_of_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
