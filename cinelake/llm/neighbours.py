@@ -5,6 +5,10 @@ centre only the signs after a random rotation are kept, with two scalars: its le
 product with its own code. They give an estimate of any inner product and a bound of its error.
 A vector is reranked on the original values if the upper end of its estimate reaches the k-th
 best lower end.
+
+A query is first answered from its own cluster. The k-th best score found there is a floor: another
+cluster is skipped only if the angle to its centre and the widest angle inside it leave no room for
+a score that reaches the floor. All others are searched.
 """
 
 from __future__ import annotations
@@ -24,8 +28,12 @@ SAMPLE = 10_000
 #: Vectors per cluster, about, and the most clusters there are.
 CLUSTER_ROWS = 1500
 CLUSTERS = 4096
-#: Share of the clusters that a query looks at, and the fewest.
-PROBED, FEWEST = 0.5, 12
+#: Share of the clusters, nearest first, that a query may look at. Less than all may miss neighbours.
+PROBED = 1.0
+#: Radians that rounding may take from the angle between two vectors.
+SLACK = 1e-6
+#: Below any cosine.
+NO_FLOOR = -2.0
 #: Vectors of one cluster that a task holds together; larger clusters are cut into so many parts.
 PART = 20_000
 #: Width of the error bound in standard errors.
@@ -72,22 +80,25 @@ def encode(units: np.ndarray, centre: np.ndarray, turned: np.ndarray) -> tuple[n
 
 
 def candidates(codes: np.ndarray, length: np.ndarray, own: np.ndarray, queries: np.ndarray, centre: np.ndarray,
-               turned: np.ndarray, k: int) -> np.ndarray:
-    """For each query, which vectors may be among its k nearest, by the estimates and their bounds."""
+               turned: np.ndarray, k: int, least: np.ndarray) -> np.ndarray:
+    """For each query, which vectors may be among its k nearest, by the estimates and their bounds.
+
+    Vectors that cannot reach the query's score in ``least`` are not.
+    """
     size = queries.shape[1]
     signs = (np.unpackbits(codes, axis=1, count=size).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(size))
     guess = (queries @ turned.T).astype(np.float32) @ signs.T / own
     guess = (queries @ centre)[:, None] + guess * length
     error = length * EPSILON * np.sqrt(np.maximum(1 - own * own, 0)) / own / np.sqrt(max(size - 1, 1)) + 1e-6
-    if guess.shape[1] <= k:
-        return np.ones_like(guess, dtype=bool)
-    floor = -np.partition(-(guess - error), k - 1, axis=1)[:, k - 1:k]
+    floor = least[:, None]
+    if guess.shape[1] > k:
+        floor = np.maximum(floor, -np.partition(-(guess - error), k - 1, axis=1)[:, k - 1:k])
     return guess + error >= floor
 
 
 def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vector: str = "embedding",
             probed: float = PROBED) -> DataFrame:
-    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the k nearest rows found per query.
+    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the k nearest rows per query.
 
     The queries are the rows whose id is divisible by ``every``.
 
@@ -109,33 +120,48 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
     middle = {size: centres(unit(np.array(v)), max(1, min(CLUSTERS, sizes[size] // CLUSTER_ROWS))) for size, v in sample.items()}
     shared = kept.sparkSession.sparkContext.broadcast(middle)
 
-    def spread(query: bool):
-        out = pa.schema([("size", pa.int32()), ("cluster", pa.int32()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))])
-
-        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def found():
-                for part in parts:
-                    for key, v in zip(part.column("id").to_pylist(), part.column("v").to_pylist()):
-                        centre = shared.value.get(len(v))
-                        if centre is None:
-                            yield len(v), 0, key, v
-                            continue
-                        near = centre @ unit(np.array([v]))[0]
-                        count = max(FEWEST, int(np.ceil(probed * len(centre)))) if query else 1
-                        for c in np.argsort(-near, kind="stable")[:count].tolist():
-                            yield len(v), c, key, v
-
-            return batches(found(), out, lambda row: 64 + 8 * len(row[3]))
-
-        return run
-
-    schema = "size int, cluster int, id long, v array<double>"
-    data = kept.select("id", "v").mapInArrow(spread(False), schema)
-    parts = {(r.size, r.cluster): -(-r["count"] // PART) for r in data.groupBy("size", "cluster").count().collect()}
+    def homes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = pa.schema([("size", pa.int32()), ("cluster", pa.int32()), ("angle", pa.float64()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))])
+
+        def found():
+            for part in parts:
+                for key, v in zip(part.column("id").to_pylist(), part.column("v").to_pylist()):
+                    centre = shared.value.get(len(v))
+                    near = centre @ unit(np.array([v]))[0] if centre is not None else np.zeros(1)
+                    home = int(near.argmax())
+                    yield len(v), home, float(np.arccos(np.clip(near[home], -1, 1))), key, v
+
+        return batches(found(), out, lambda row: 64 + 8 * len(row[4]))
+
+    homed = "size int, cluster int, angle double, id long, v array<double>"
+    data = stored(kept.select("id", "v").mapInArrow(homes, homed), "homes")
+    queries = stored(asked.select("id", "v").mapInArrow(homes, homed), "queries")
+    parts, radius = {}, {size: np.full(len(c), np.nan) for size, c in middle.items()}
+    for r in data.groupBy("size", "cluster").agg(F.count("*").alias("n"), F.max("angle").alias("angle")).collect():
+        parts[r.size, r.cluster] = -(-r.n // PART)
+        if r.size in radius:
+            radius[r.size][r.cluster] = r.angle + SLACK
     cut = max(parts.values(), default=1)
-    data = data.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(cut)).cast("int"))
-    queries = asked.select("id", "v").mapInArrow(spread(True), schema).withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))))
+    data = data.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(cut)).cast("int")).select("size", "cluster", "part", "id", "v")
+    reach = kept.sparkSession.sparkContext.broadcast(radius)
+
+    def others(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query once per cluster besides its own that may hold a score of its floor or more."""
+        out = pa.schema([("size", pa.int32()), ("cluster", pa.int32()), ("id", pa.int64()), ("v", pa.list_(pa.float64())), ("floor", pa.float64())])
+
+        def found():
+            for part in parts:
+                for home, key, v, floor in zip(*(part.column(c).to_pylist() for c in ("cluster", "id", "v", "floor"))):
+                    centre = shared.value.get(len(v))
+                    if centre is None:
+                        continue
+                    near = centre @ unit(np.array([v]))[0]
+                    room = np.maximum(np.arccos(np.clip(near, -1, 1)) - reach.value[len(v)], 0)
+                    for c in np.argsort(-near, kind="stable")[:int(np.ceil(probed * len(centre)))].tolist():
+                        if c != home and np.cos(room[c]) >= floor:
+                            yield len(v), c, key, v, floor
+
+        return batches(found(), out, lambda row: 64 + 8 * len(row[3]))
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
         out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -147,12 +173,13 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
         centre = centre[key[1].as_py()] if centre is not None else np.zeros(held.shape[1])
         turned = rotation(held.shape[1])
         codes, length, inner = encode(unit(held), centre, turned)
+        floors = right.column("floor").to_numpy()
         norm_held, norm_asking = np.sqrt((held * held).sum(axis=1)), np.sqrt((asking * asking).sum(axis=1))
         found = []
         for low in range(0, len(own), 256):
             block = slice(low, low + 256)
             # One more than k, since the query itself may be among them.
-            mask = candidates(codes, length, inner, unit(asking[block]), centre, turned, k + 1)
+            mask = candidates(codes, length, inner, unit(asking[block]), centre, turned, k + 1, floors[block])
             for q, chosen in zip(range(low, low + len(mask)), mask):
                 at = np.flatnonzero(chosen)
                 at = at[ids[at] != own[q]]
@@ -161,9 +188,18 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
                     found.append((int(own[q]), int(ids[at[j]]), float(score[j])))
         return pa.Table.from_batches(batches(found, out), out)
 
-    both = data.groupBy("size", "cluster", "part").cogroup(queries.groupBy("size", "cluster", "part")).applyInArrow(
-        search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return both.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
-
+    def searched(asking: DataFrame) -> DataFrame:
+        spread = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))))
+        return data.groupBy("size", "cluster", "part").cogroup(spread.groupBy("size", "cluster", "part")).applyInArrow(
+            search, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    own = stored(searched(queries.select("size", "cluster", "id", "v", F.lit(NO_FLOOR).alias("floor"))), "own")
+    floors = ranked(own).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    left = queries.join(floors, "id", "left").select(
+        "cluster", "id", "v", F.coalesce(F.nanvl("floor", F.lit(NO_FLOOR)), F.lit(NO_FLOOR)).alias("floor"))
+    more = searched(left.mapInArrow(others, "size int, cluster int, id long, v array<double>, floor double"))
+    return ranked(own.unionAll(more)).select("query_id", "rank", "vec_id", "score")

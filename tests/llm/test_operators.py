@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +191,29 @@ def test_recall_on_the_test_vectors(spark, sf_dir):
     assert len(near & every) >= 0.9 * len(every)
 
 
+def table_of(spark, path, ids, vectors):
+    pq.write_table(pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(list(vectors), pa.list_(pa.float32()))}), path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("spread", [None, 0.05])
+def test_recall_where_clusters_are_many(spark, tmp_path, spread):
+    draw = np.random.default_rng(5)
+    rows = draw.normal(size=(30_000, 64)).astype(np.float32)
+    if spread:  # vectors in heaps, where clusters are skipped
+        heaps = draw.normal(size=(40, 64))
+        rows = (heaps[draw.integers(40, size=30_000)] + spread * rows).astype(np.float32)
+    df = table_of(spark, str(tmp_path / "v.parquet"), range(30_000), rows)
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest(df, every=150).collect()}
+    fine = rows.astype(float) / np.sqrt((rows.astype(float) ** 2).sum(axis=1, keepdims=True))
+    want = set()
+    for q in range(0, 30_000, 150):
+        score = fine @ fine[q]
+        score[q] = -2
+        want |= {(q, int(j)) for j in np.argsort(-score)[:5]}
+    assert len(got) == len(want) and len(got & want) >= 0.99 * len(want)
+
+
 def test_language_of_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
