@@ -80,10 +80,11 @@ def encode(units: np.ndarray, centre: np.ndarray, turned: np.ndarray) -> tuple[n
 
 
 def candidates(codes: np.ndarray, length: np.ndarray, own: np.ndarray, queries: np.ndarray, centre: np.ndarray,
-               turned: np.ndarray, k: int, least: np.ndarray) -> np.ndarray:
-    """For each query, which vectors may be among its k nearest, by the estimates and their bounds.
+               turned: np.ndarray, k: int, least: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """For each query, which vectors may be among its k nearest ids, by the estimates and their bounds.
 
-    Vectors that cannot reach the query's score in ``least`` are not.
+    Vectors that cannot reach the query's score in ``least`` are not. ``firsts`` are the places where
+    another id begins; an id counts once, by the best of its lower ends.
     """
     size = queries.shape[1]
     signs = (np.unpackbits(codes, axis=1, count=size).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(size))
@@ -91,24 +92,29 @@ def candidates(codes: np.ndarray, length: np.ndarray, own: np.ndarray, queries:
     guess = (queries @ centre)[:, None] + guess * length
     error = length * EPSILON * np.sqrt(np.maximum(1 - own * own, 0)) / own / np.sqrt(max(size - 1, 1)) + 1e-6
     floor = least[:, None]
-    if guess.shape[1] > k:
-        floor = np.maximum(floor, -np.partition(-(guess - error), k - 1, axis=1)[:, k - 1:k])
+    if len(firsts) > k:
+        lower = guess - error
+        if len(firsts) < guess.shape[1]:
+            lower = np.maximum.reduceat(lower, firsts, axis=1)
+        floor = np.maximum(floor, -np.partition(-lower, k - 1, axis=1)[:, k - 1:k])
     return guess + error >= floor
 
 
 def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vector: str = "embedding",
             probed: float = PROBED) -> DataFrame:
-    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the k nearest rows per query.
+    """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the k nearest ids per query.
 
     The queries are the rows whose id is divisible by ``every``.
 
     Vectors that are null, zero or hold something null or non-finite, and rows without id, take no
     part. Vectors are compared with those of their size. Ties go to the smaller id. Rows that share
-    an id with the query count as the query itself. Of equal vectors only the k + 1 smallest ids can
+    an id with the query count as the query itself. Repeated rows count once. An id with several
+    vectors is one neighbour, by the best score of any of them with any of the query's. Of equal vectors only the k + 1 smallest ids can
     be among anyone's k nearest; the others are left out before anything is compared.
     """
     rows = vectors.select(vectors[id].cast("long").alias("id"), vectors[vector].cast("array<double>").alias("v")).where(
         F.col("id").isNotNull() & valid(F.col("v"))).withColumn("size", F.size("v"))
+    rows = rows.dropDuplicates(["id", "v"])
     asked = rows.where(F.col("id") % every == 0)
     place = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("copy", F.row_number().over(place)).where(F.col("copy") <= k + 1).drop("copy")
@@ -169,6 +175,9 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
             return out.empty_table()
         ids, own = (np.array(t.column("id").to_pylist()) for t in (left, right))
         held, asking = (np.array(t.column("v").to_pylist(), dtype=np.float64) for t in (left, right))
+        order = np.argsort(ids, kind="stable")
+        ids, held = ids[order], held[order]
+        firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         centre = shared.value.get(held.shape[1])
         centre = centre[key[1].as_py()] if centre is not None else np.zeros(held.shape[1])
         turned = rotation(held.shape[1])
@@ -179,12 +188,15 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
         for low in range(0, len(own), 256):
             block = slice(low, low + 256)
             # One more than k, since the query itself may be among them.
-            mask = candidates(codes, length, inner, unit(asking[block]), centre, turned, k + 1, floors[block])
+            mask = candidates(codes, length, inner, unit(asking[block]), centre, turned, k + 1, floors[block], firsts)
             for q, chosen in zip(range(low, low + len(mask)), mask):
                 at = np.flatnonzero(chosen)
                 at = at[ids[at] != own[q]]
                 score = (held[at] * asking[q]).sum(axis=1) / (norm_held[at] * norm_asking[q])
-                for j in np.lexsort((ids[at], -score))[:k]:
+                best = np.lexsort((ids[at], -score))
+                if len(firsts) < len(ids):  # the best row of each id
+                    best = best[np.sort(np.unique(ids[at[best]], return_index=True)[1])]
+                for j in best[:k]:
                     found.append((int(own[q]), int(ids[at[j]]), float(score[j])))
         return pa.Table.from_batches(batches(found, out), out)
 
@@ -195,7 +207,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
 
     def ranked(found: DataFrame) -> DataFrame:
         best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-        return found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        by_id = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return by_id.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     own = stored(searched(queries.select("size", "cluster", "id", "v", F.lit(NO_FLOOR).alias("floor"))), "own")
     floors = ranked(own).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))

@@ -214,6 +214,29 @@ def test_recall_where_clusters_are_many(spark, tmp_path, spread):
     assert len(got) == len(want) and len(got & want) >= 0.99 * len(want)
 
 
+def test_repeated_rows_take_one_place(spark, tmp_path):
+    draw = np.random.default_rng(9)
+    base = draw.normal(size=(200, 8)).astype(np.float32)
+    near = base[100] + 0.01
+    pairs = [(i, v) for i, v in enumerate(base)]
+    pairs += [(5, base[5])] * 5 + [(i, base[5]) for i in range(300, 304)]  # query 5: one row six times, and copies
+    pairs += [(301, near)] * 7 + [(302, near + 0.001 * j) for j in range(7)]  # one id many times, near query 100
+    pairs += [(50, -base[100])]  # a query with two vectors
+    df = table_of(spark, str(tmp_path / "v.parquet"), [i for i, _ in pairs], [v for _, v in pairs])
+    got = {}
+    for r in neighbours.nearest(df, every=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    ids, rows = np.array([i for i, _ in pairs]), np.array([v for _, v in pairs]).astype(float)
+    rows /= np.sqrt((rows ** 2).sum(axis=1, keepdims=True))
+    for q in sorted(i for i in set(ids.tolist()) if i % 5 == 0):
+        best = {}
+        for row in rows[ids == q]:
+            for i, x in zip(ids.tolist(), np.round(rows @ row, 12).tolist()):
+                if i != q:
+                    best[i] = max(x, best.get(i, -2))
+        assert got[q] == sorted(best, key=lambda i: (-best[i], i))[:5]
+
+
 def test_language_of_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
