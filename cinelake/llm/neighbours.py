@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ SLACK = 1e-6
 NO_FLOOR = -2.0
 #: Vectors of one cluster that a task holds together; larger clusters are cut into so many parts.
 PART = 20_000
+#: Queries of one cluster that a task holds together, about; more are cut into blocks.
+ASKED = 8192
 #: Width of the error bound in standard errors.
 EPSILON = 3.0
 SEED = 11
@@ -100,6 +103,26 @@ def candidates(codes: np.ndarray, length: np.ndarray, own: np.ndarray, queries:
     return guess + error >= floor
 
 
+def dealt(data: DataFrame, queries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``part`` and ``block``: every row meets every query of its cluster in one group.
+
+    A cluster's rows are cut into parts and its queries into blocks, by hashes of the whole row, so
+    that both sides of a group have a known size. Rows come once per block, queries once per part.
+    There are at most ``CLUSTERS`` clusters of a size, so their numbers may be broadcast.
+    """
+    def counted(df: DataFrame, most: int) -> dict[tuple[int, int], int]:
+        return {(r.size, r.cluster): -(-r["count"] // most) for r in df.groupBy("size", "cluster").count().collect()}
+
+    parts, blocks = counted(data, PART), counted(queries, ASKED)
+    groups = data.sparkSession.createDataFrame(
+        [(*key, parts[key], n) for key, n in blocks.items() if key in parts], "size int, cluster int, parts int, blocks int")
+    places = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("id", "v"), F.col(n)).cast("int")
+    left, right = (df.join(F.broadcast(groups), ["size", "cluster"]) for df in (data, queries))
+    return (left.withColumn("part", place("parts")).withColumn("block", places("blocks")).drop("parts", "blocks"),
+            right.withColumn("block", place("blocks")).withColumn("part", places("parts")).drop("parts", "blocks"))
+
+
 def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vector: str = "embedding",
             probed: float = PROBED) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the k nearest ids per query.
@@ -142,13 +165,11 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
     homed = "size int, cluster int, angle double, id long, v array<double>"
     data = stored(kept.select("id", "v").mapInArrow(homes, homed), "homes")
     queries = stored(asked.select("id", "v").mapInArrow(homes, homed), "queries")
-    parts, radius = {}, {size: np.full(len(c), np.nan) for size, c in middle.items()}
-    for r in data.groupBy("size", "cluster").agg(F.count("*").alias("n"), F.max("angle").alias("angle")).collect():
-        parts[r.size, r.cluster] = -(-r.n // PART)
+    radius = {size: np.full(len(c), np.nan) for size, c in middle.items()}
+    for r in data.groupBy("size", "cluster").agg(F.max("angle").alias("angle")).collect():
         if r.size in radius:
             radius[r.size][r.cluster] = r.angle + SLACK
-    cut = max(parts.values(), default=1)
-    data = data.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(cut)).cast("int")).select("size", "cluster", "part", "id", "v")
+    data = data.select("size", "cluster", "id", "v")
     reach = kept.sparkSession.sparkContext.broadcast(radius)
 
     def others(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +194,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
         out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
         if not left.num_rows or not right.num_rows:
             return out.empty_table()
-        ids, own = (np.array(t.column("id").to_pylist()) for t in (left, right))
-        held, asking = (np.array(t.column("v").to_pylist(), dtype=np.float64) for t in (left, right))
+        ids, own = (t.column("id").to_numpy() for t in (left, right))
+        held, asking = (pc.list_flatten(t.column("v")).to_numpy().reshape(t.num_rows, -1) for t in (left, right))
         order = np.argsort(ids, kind="stable")
         ids, held = ids[order], held[order]
         firsts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
@@ -201,8 +222,8 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
         return pa.Table.from_batches(batches(found, out), out)
 
     def searched(asking: DataFrame) -> DataFrame:
-        spread = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))))
-        return data.groupBy("size", "cluster", "part").cogroup(spread.groupBy("size", "cluster", "part")).applyInArrow(
+        left, right = (df.groupBy("size", "cluster", "part", "block") for df in dealt(data, asking))
+        return left.cogroup(right).applyInArrow(
             search, "query_id long, vec_id long, score double")
 
     def ranked(found: DataFrame) -> DataFrame:

@@ -237,6 +237,30 @@ def test_repeated_rows_take_one_place(spark, tmp_path):
         assert got[q] == sorted(best, key=lambda i: (-best[i], i))[:5]
 
 
+def test_groups_of_queries_and_rows_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART", 100)
+    monkeypatch.setattr(neighbours, "ASKED", 50)
+    draw = np.random.default_rng(2)
+    rows = draw.normal(size=(600, 8)).astype(np.float32)
+    ids = list(range(400)) + [0] * 200  # one id with many vectors
+    df = table_of(spark, str(tmp_path / "v.parquet"), ids, rows).select(
+        F.lit(8).alias("size"), F.lit(0).alias("cluster"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    left, right = neighbours.dealt(df, df)
+    assert {r.size: r.cluster for r in left.select("size", "cluster").distinct().collect()} == {8: 0}
+    for side, most in ((left, 150), (right, 90)):
+        assert max(r["count"] for r in side.groupBy("part", "block").count().collect()) <= most
+    assert left.join(right.select("part", "block"), ["part", "block"]).count() == 600 * 600
+    got = {}
+    table = spark.read.parquet(str(tmp_path / "v.parquet")).where("vec_id > 0")
+    for r in neighbours.nearest(table, every=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    fine = rows[:400].astype(float) / np.sqrt((rows[:400].astype(float) ** 2).sum(axis=1, keepdims=True))
+    for q in range(1, 400):
+        score = fine @ fine[q]
+        score[[0, q]] = -2
+        assert got[q] == np.argsort(-score)[:5].tolist()
+
+
 def test_language_of_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
