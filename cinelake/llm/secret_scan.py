@@ -9,6 +9,8 @@ of all candidates of the table go through false-discovery control.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ TEXT_AGREE = 0.07
 TEXT_CHANGE = 0.12
 #: Size of a bin of the logarithm of p-values; the correction works on bins of all candidates.
 BIN = 0.25
+#: Bins there are; the last holds all smaller p-values, which pass against any number of candidates.
+BINS = 4096
 
 
 def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -52,17 +56,23 @@ def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Colu
     return F.when(text.rlike(pattern), kept).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,part:string>>"))
 
 
-def _phi(z: Column) -> Column:
-    """Upper tail of the normal distribution, by the usual rational approximation; never below 1e-300."""
-    x = F.least(F.abs(z), F.lit(37.0))
+def _log_tail(z: Column) -> Column:
+    """Natural logarithm of the upper tail of the normal distribution, by the usual rational approximation.
+
+    A number for every z: the tail itself is 0 in floating point beyond 38 standard deviations.
+    """
+    x = F.abs(z)
     t = 1 / (1 + 0.2316419 * x)
     poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-x * x / 2) * 0.3989422804014327 * poly
-    return F.greatest(F.when(z >= 0, tail).otherwise(1 - tail), F.lit(1e-300))
+    far = F.log(0.3989422804014327 * poly) - x * x / 2
+    return F.when(z >= 0, far).otherwise(F.log(1 - F.exp(far)))
 
 
 def tested(token: Column) -> Column:
-    """(random, p): whether the token passes as random, and how likely text of its length looks like it."""
+    """(random, log_p): whether the token passes as random, and how likely text of its length looks like it.
+
+    The probability is given as its decimal logarithm, since long tokens have less than the least double.
+    """
     size = F.when(token.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), 16.0).when(token.rlike("^[A-Z2-7]+$"), 32.0).otherwise(64.0)
 
     def of(chars, k):
@@ -87,8 +97,8 @@ def tested(token: Column) -> Column:
         text_chi = (n * skew - (chi - (k - 1))) / F.sqrt(2 * (k - 1) + 4 * n * skew)
         text_runs = (changes - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
         # Two p-values joined by Fisher's way: the product q has tail q * (1 - ln q).
-        q = _phi(text_chi) * _phi(text_runs)
-        return F.struct(random.alias("random"), (q * (1 - F.log(q))).alias("p"))
+        log_q = _log_tail(text_chi) + _log_tail(text_runs)
+        return F.struct(random.alias("random"), ((log_q + F.log(1 - log_q)) / math.log(10)).alias("log_p"))
 
     return let(F.split(token, ""), lambda chars: of(F.filter(chars, lambda c: c != ""), size))
 
@@ -99,19 +109,20 @@ def _candidates(text: Column) -> Column:
 
 
 def threshold(docs: DataFrame, text: str = "text", rate: float = FALSE_DISCOVERIES) -> float:
-    """Largest p-value that false-discovery control accepts over all candidates of the table, 0 if none.
+    """Logarithm of the largest p-value that false-discovery control accepts over all candidates of the table.
+
+    Minus infinity if it accepts none.
 
-    Counts per bin of p-values are all that is gathered: a few hundred numbers whatever the data.
+    Counts per bin of p-values are all that is gathered: at most ``BINS`` numbers whatever the data.
     """
     found = docs.select(F.explode(_candidates(F.coalesce(docs[text], F.lit("")))).alias("s")).select("s.test.*")
-    bins = found.select(F.when(F.col("random"), F.greatest(F.floor(-F.log10("p") / BIN), F.lit(0))).otherwise(0).alias("bin")).groupBy("bin").count()
+    bins = found.select(F.when(F.col("random"), F.least(F.greatest(F.floor(-F.col("log_p") / BIN), F.lit(0)), F.lit(BINS - 1))).otherwise(0).alias("bin")).groupBy("bin").count()
     counts = {r.bin: r["count"] for r in bins.collect()}
-    total, rank, best = sum(counts.values()), 0, 0.0
+    total, rank, best = sum(counts.values()), 0, -math.inf
     for b in sorted(counts, reverse=True):
         rank += counts[b]
-        p = 10.0 ** (-b * BIN)
-        if p <= rate * rank / total:
-            best = p
+        if rank and -b * BIN <= math.log10(rate * rank / total):
+            best = -b * BIN
     return best
 
 
@@ -120,7 +131,7 @@ def with_spans(docs: DataFrame, text: str, limit: float, base: str = "base", eve
     body = F.coalesce(F.col(text), F.lit(""))
     plain = lambda a: F.transform(a, lambda s: F.struct(s.start.alias("start"), s.kind.alias("kind"), s.end.alias("end")))
     fixed = F.sort_array(F.concat(*(plain(spans(body, p, g, n, k)) for k, (_, p, g, n) in enumerate(BASE))))
-    more = plain(F.filter(_candidates(body), lambda s: s.test.random & (s.test.p <= limit)))
+    more = plain(F.filter(_candidates(body), lambda s: s.test.random & (s.test.log_p <= limit)))
     return docs.withColumn(base, fixed).withColumn(every, F.sort_array(F.concat(F.col(base), more)))
 
 

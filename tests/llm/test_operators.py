@@ -153,6 +153,15 @@ def test_base_spans_and_redaction(odd, none):
     assert secret_scan.scan(none).count() == 0
 
 
+def test_long_random_tokens_are_secrets(spark):
+    alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    sizes = (40, 683, 2000)
+    token = {n: "".join(np.random.default_rng(n).choice(alphabet, n)) for n in sizes}
+    docs = spark.createDataFrame([(n, f"key {token[n]} end") for n in sizes] + [(1, "no key here")], "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert clean == {1: "no key here", **{n: "key [secret] end" for n in sizes}}
+
+
 def test_mixing_keeps_budgets_and_moves_shortages_to_siblings(spark, odd, none):
     leaves = spark.createDataFrame(
         [("d", "en", "a", 10), ("d", "en", "b", 1000), ("d", "fr", "c", 1000)], "domain string, lang string, source string, tokens long")
