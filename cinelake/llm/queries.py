@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.llm import (
-    cascade, jaccard, langid, mixing, neighbours, pieces, secret_scan, substrings, tokens, toxicity,
+    byte_pairs, cascade, jaccard, langid, mixing, neighbours, pieces, secret_scan, substrings, tokens, toxicity,
 )
 from cinelake.llm.oracle import ORACLES
 
 __all__ = ["ORACLES", "QUERIES", "model_path"]
 
 TOKENIZER = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def model_path(name: str = TOKENIZER) -> str:
@@ -70,6 +71,17 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_pieces", "ids", "round_trip", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = model_path(RANKS)
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return byte_pairs.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_mixing, op4_ngram_jaccard, op5_secret_scans, op6_nearest_neighbours,
-    op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece)}
+    op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece, op13_byte_level_bpe)}
