@@ -82,4 +82,34 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM counted
 """
 
-ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op4_ngram_jaccard": OP4, "op7_quality_rules": OP7}
+#: One round: the distance of every part to every entry, the nearest one, and its floored mean.
+OP12_ROUND = """
+far{k} AS MATERIALIZED (
+  SELECT r, part, entry, sum((x - c) * (x - c)) AS d FROM cells JOIN book{k} USING (part, place) GROUP BY r, part, entry),
+near{k} AS MATERIALIZED (
+  SELECT r, part, entry, d FROM far{k} QUALIFY row_number() OVER (PARTITION BY r, part ORDER BY d, entry) = 1),
+"""
+OP12_MOVE = """
+mean{k} AS (
+  SELECT part, entry, place, sum(x) AS s, count(*) AS n FROM near{k} JOIN cells USING (r, part) GROUP BY part, entry, place),
+book{next} AS MATERIALIZED (
+  SELECT part, entry, place, CASE WHEN n IS NULL THEN c ELSE (s - (s % n + n) % n) // n END AS c
+  FROM book{k} LEFT JOIN mean{k} USING (part, entry, place)),
+"""
+OP12 = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, len(embedding) // 8 AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cells AS MATERIALIZED (
+  SELECT r, i // w AS part, i % w AS place, q[i + 1] AS x FROM (SELECT r, q, w, unnest(range(len(q))) AS i FROM kept)),
+book0 AS MATERIALIZED (SELECT part, r AS entry, place, CAST(x AS HUGEINT) AS c FROM cells WHERE r < 16),
+""" + "".join(OP12_ROUND.format(k=k) + (OP12_MOVE.format(k=k, next=k + 1) if k < 6 else "") for k in range(7)) + """
+coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) FROM book6) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_substring_dedup": OP2, "op4_ngram_jaccard": OP4, "op7_quality_rules": OP7, "op12_vector_codes": OP12}
