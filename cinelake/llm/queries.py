@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cinelake.llm import (
     byte_pairs, cascade, jaccard, langid, mixing, neighbours, pieces, secret_scan, substrings, tokens, toxicity,
-    vector_codes,
+    vector_codes, whitening,
 )
 from cinelake.llm.oracle import ORACLES
 
@@ -72,6 +72,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_pieces", "ids", "round_trip", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -89,5 +93,5 @@ def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_mixing, op4_ngram_jaccard, op5_secret_scans, op6_nearest_neighbours,
-    op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece, op12_vector_codes,
+    op7_quality_rules, op8_language_id, op9_toxicity, op10_sentencepiece, op11_whitening, op12_vector_codes,
     op13_byte_level_bpe)}
