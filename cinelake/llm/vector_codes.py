@@ -203,7 +203,7 @@ def compress(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding",
     Which rows take part: ``vectors.usable``. A width that eight parts do not divide is filled up
     with zeros; fewer than 16 rows give fewer entries. Rows without id are coded like any, and start
     an entry only where ids are too few. Repeated rows give a row each; an empty table none. Errors
-    beyond the range of longs are null. The table is read once per round, so it should be stored.
+    beyond the range of longs are null, and so is a sum over one. The table is read once per round, so it should be stored.
     """
     rows = usable(vectors, FACTOR, id, vector, label)
     books = train(rows)
@@ -212,6 +212,6 @@ def compress(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding",
                            F.lit("").alias("codebooks_sha256")).where(F.lit(False))
     coded = stored(encode(rows, books, label).withColumnRenamed(label, "_label"), "codes")
     whole = coded.groupBy(F.col("_label").alias("_of")).agg(
-        F.expr("try_cast(sum(cast(error as decimal(38, 0))) as bigint)").alias("label_error"))
+        F.expr("if(count(error) = count(*), try_cast(sum(cast(error as decimal(38, 0))) as bigint), null)").alias("label_error"))
     return coded.join(whole, F.col("_label").eqNullSafe(F.col("_of")), "left").select(
         "vec_id", "code", "error", "label_error", F.lit(books.sha256).alias("codebooks_sha256"))
