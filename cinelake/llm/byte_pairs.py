@@ -19,6 +19,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from cinelake.llm.text import inputs, table_rows
 
 #: A lot ends with the text that brings it to so many distinct words, or words in all.
-LOT_DISTINCT = 400_000
+LOT_DISTINCT = 500_000
 LOT_WORDS = 6_000_000
 #: Words looked at together while a text is cut, and ids of one Arrow batch: bound memory, never results.
 SLICE = 1 << 20
@@ -49,7 +50,12 @@ LATE = """
 LATE = re.compile("[" + "".join("-".join(chr(int(c, 16)) for c in r.split("-")) for r in LATE.split()) + "]")
 #: A character that is no letter, number or space in any table.
 NEITHER = "\ufdd0"
-POSTED = "lot long, key long, number int, word string, docs array<long>, sizes array<int>, numbers binary"
+#: A place is the number of a lot and that of a word in it; the lot's texts have the number that no word has.
+NUMBER_BITS = 22
+TEXTS = (1 << NUMBER_BITS) - 1
+#: A lot's number: its task, its turn there, and a check of its content.
+TURN_BITS, CHECK_BITS = 10, 12
+PLACED = pa.schema([("place", pa.int64()), ("data", pa.binary())])
 
 
 class Ranks:
@@ -60,6 +66,8 @@ class Ranks:
             self.of = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, file))}
         if any(bytes([b]) not in self.of for b in range(256)):
             raise ValueError("every byte needs a rank")
+        #: The smallest type that holds every id, for ids that travel.
+        self.kind = "<u2" if max(self.of.values()) < 1 << 16 else "<i4"
 
     def encode(self, word: bytes) -> list[int]:
         """Ids of a word: the neighbours whose union has the least rank merge first, the leftmost among equals."""
@@ -135,25 +143,32 @@ class _Numbers(dict):
         return number
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    """Numbers below 2^22 as one byte for the frequent and three for the others, each place on its own, compressed."""
+def _pack(ids: pa.Array, sizes: np.ndarray, numbers: np.ndarray) -> bytes:
+    """The texts of a lot, compressed: ids, words per text, and the word numbers, each byte of them on its own.
+
+    A number takes one byte if it is frequent and three if not.
+    """
+    known = ids.is_valid().to_numpy(zero_copy_only=False)
     common = numbers < FREQUENT
     rest = (numbers[~common] - FREQUENT).astype("<u4").view(np.uint8).reshape(-1, 4)
     first = np.where(common, numbers, FREQUENT).astype(np.uint8)
     first[~common] += rest[:, 2]
-    planes = b"".join([len(numbers).to_bytes(8, "little"), first.tobytes(), rest[:, 1].tobytes(), rest[:, 0].tobytes()])
-    return zstandard.ZstdCompressor(level=3).compress(planes)
+    head = np.array([len(ids), len(numbers)], dtype=np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.tobytes() for a in (
+        head, ids.fill_null(0).to_numpy(), sizes, known, first, rest[:, 1], rest[:, 0])))
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    planes = zstandard.ZstdDecompressor().decompress(packed)
-    count = int.from_bytes(planes[:8], "little")
-    cells = np.frombuffer(planes, dtype=np.uint8, offset=8)
+def _unpack(packed: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    docs, count = np.frombuffer(data, dtype=np.int64, count=2).tolist()
+    ids, sizes = np.frombuffer(data, dtype=np.int64, count=2 * docs, offset=16).reshape(2, docs)
+    cells = np.frombuffer(data, dtype=np.uint8, offset=16 + 16 * docs)
+    known, cells = cells[:docs].astype(bool), cells[docs:]
     numbers = cells[:count].astype(np.int32)
     rare = np.flatnonzero(numbers >= FREQUENT)
-    high, low = cells[count:count + len(rare)], cells[count + len(rare):]
-    numbers[rare] += ((numbers[rare] - FREQUENT) << 16) - (numbers[rare] - FREQUENT) + (high.astype(np.int32) << 8) + low
-    return numbers
+    middle, low = cells[count:count + len(rare)].astype(np.int32), cells[count + len(rare):]
+    numbers[rare] = FREQUENT + ((numbers[rare] - FREQUENT) << 16) + (middle << 8) + low
+    return pa.array(ids, mask=~known), sizes, numbers
 
 
 #: Distinct words of one lot: the places of three bytes hold (256 - 200) * 65,536 numbers.
@@ -176,29 +191,24 @@ class _Lot:
     def full(self) -> bool:
         return len(self.known) >= LOT_DISTINCT or self.words >= LOT_WORDS
 
-    def posted(self, place: tuple[int, int], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def posted(self, task: int, turn: int) -> Iterator[pa.RecordBatch]:
         """The lot's texts in one row, and a row per distinct word; frequent words have the small numbers."""
         numbers = np.concatenate(self.numbers) if self.numbers else np.empty(0, dtype=np.int32)
-        if len(self.known) > MOST:
-            raise ValueError("a single text holds more distinct words than a lot can number")
+        if len(self.known) > MOST or turn >> TURN_BITS:
+            raise ValueError("a text holds more distinct words, or a task more lots, than a place can number")
         order = np.argsort(-np.bincount(numbers, minlength=len(self.known)), kind="stable")
-        renumbered = np.empty(len(order), dtype=np.int32)
-        renumbered[order] = np.arange(len(order), dtype=np.int32)
-        packed = _pack(renumbered[numbers])
-        # A task that is repeated over rows in another order makes other lots, never a mixture of two.
-        lot = xxhash.xxh3_64_intdigest(repr((*place, self.ids)).encode() + packed) - (1 << 63)
-        yield _rows(schema, lot=[lot], key=[lot], number=[None], word=[None], docs=[self.ids], sizes=[self.sizes], numbers=[packed])
+        renumbered = np.empty(len(order), dtype=np.int64)
+        renumbered[order] = np.arange(len(order))
+        ids = pa.array(self.ids, pa.int64())
+        texts = _pack(ids, np.array(self.sizes, dtype=np.int64), renumbered[numbers])
+        # A task that is repeated over rows in another order makes other lots, and no mixture of two goes unnoticed.
+        lot = (task << TURN_BITS | turn) << CHECK_BITS | xxhash.xxh3_64_intdigest(texts) & ((1 << CHECK_BITS) - 1)
+        places = (lot << NUMBER_BITS) + renumbered
+        yield pa.RecordBatch.from_arrays([pa.array([(lot << NUMBER_BITS) + TEXTS]), pa.array([texts], pa.binary())], schema=PLACED)
         words = list(self.known)
         for start in range(0, len(words), SLICE >> 4):
-            own = words[start:start + (SLICE >> 4)]
-            keys = [xxhash.xxh3_64_intdigest(w.encode()) - (1 << 63) for w in own]
-            nothing = [None] * len(own)
-            yield _rows(schema, lot=[lot] * len(own), key=keys, number=renumbered[start:start + len(own)], word=own,
-                        docs=nothing, sizes=nothing, numbers=nothing)
-
-
-def _rows(schema: pa.Schema, **columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+            own = pa.array(words[start:start + (SLICE >> 4)], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(places[start:start + len(own)]), own.cast(pa.binary())], schema=PLACED)
 
 
 def _slices(text: str | None, pattern: regex.Pattern) -> Iterator[list[str]]:
@@ -215,39 +225,32 @@ def _slices(text: str | None, pattern: regex.Pattern) -> Iterator[list[str]]:
 
 
 def _posted(docs: DataFrame, pattern: str) -> DataFrame:
-    fields = pa.schema([("lot", pa.int64()), ("key", pa.int64()), ("number", pa.int32()), ("word", pa.string()),
-                        ("docs", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("numbers", pa.binary())])
-
+    """(place, data) of all lots' words and texts."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, task, turn, lot = regex.compile(pattern), TaskContext.get().partitionId(), 0, _Lot()
         for id, text in table_rows(parts, "id", "text"):
             lot.add(id, text, compiled)
             if lot.full():
-                yield from lot.posted((task, turn), fields)
+                yield from lot.posted(task, turn)
                 lot, turn = _Lot(), turn + 1
         if lot.ids:
-            yield from lot.posted((task, turn), fields)
+            yield from lot.posted(task, turn)
 
-    return docs.mapInArrow(run, POSTED).repartition("key")
+    return docs.mapInArrow(run, "place long, data binary")
 
 
 def _encoder(path: str):
-    """Of the posted rows sorted by word, the ids of every word for every lot; equal words are encoded once."""
-    out = pa.schema([("lot", pa.int64()), ("number", pa.int32()), ("ids", pa.binary())])
-
+    """Of (place, data) with equal words together, the ids of every word; a run of equal words is encoded once."""
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, last, ids = ranks(path), None, b""
         for part in parts:
-            part = part.filter(part.column("word").is_valid())
-            if not part.num_rows:
-                continue
+            part = part.filter(pc.not_equal(pc.bit_wise_and(part.column("place"), TEXTS), TEXTS))
             found = []
-            for word in part.column("word").to_pylist():
+            for word in part.column("data").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(table.encode(word.encode()), dtype=np.int32).tobytes()
+                    last, ids = word, np.array(table.encode(word), dtype=table.kind).tobytes()
                 found.append(ids)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("lot"), part.column("number"), pa.array(found, pa.binary())], schema=out)
+            yield pa.RecordBatch.from_arrays([part.column("place"), pa.array(found, pa.binary())], schema=PLACED)
 
     return run
 
@@ -260,34 +263,37 @@ def _gathered(numbers: np.ndarray, start: np.ndarray, count: np.ndarray, values:
     return values[np.repeat(start[numbers], sizes) + offsets], sizes
 
 
-def _reassembled(texts: pa.Table, words: pa.Table) -> pa.Table:
-    """The ids of every text of a lot."""
+def _reassembler(path: str):
+    """The ids of every text of a lot, from its texts and the ids of its words."""
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    number = words.column("number").to_numpy()
-    ids = words.column("ids").combine_chunks()
-    ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
-    offsets = np.frombuffer(ids.buffers()[1], dtype=np.int32)[ids.offset:ids.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int32)
-    values = np.frombuffer(ids.buffers()[2], dtype=np.int32) if len(ids) else np.empty(0, np.int32)
-    batches = []
-    for row in texts.to_pylist():
-        numbers = _unpack(row["numbers"])
-        size = int(numbers.max()) + 1 if len(numbers) else 0
-        if len(number) != size:
-            raise RuntimeError("words of a lot are missing: the documents changed while they were read")
-        start, count = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
-        start[number], count[number] = offsets[:-1] // 4, np.diff(offsets) // 4
-        docs, sizes = row["docs"], row["sizes"]
-        ends, first = np.cumsum(np.array(sizes, dtype=np.int64)), 0
-        while first < len(docs):  # as many texts as make a batch, one at least
-            begin = int(ends[first - 1]) if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, begin + SLICE, side="right")))
-            found, per_word = _gathered(numbers[begin:int(ends[last - 1])], start, count, values)
-            per_word = np.concatenate([[0], np.cumsum(per_word)])
-            bounds = per_word[np.concatenate([[0], ends[first:last] - begin])].astype(np.int32)
-            batches.append(pa.RecordBatch.from_arrays(
-                [pa.array(docs[first:last], pa.int64()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found))], schema=out))
-            first = last
-    return pa.Table.from_batches(batches, schema=out)
+
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        kind = np.dtype(ranks(path).kind)
+        number = words.column("place").to_numpy() & TEXTS
+        found = pa.concat_arrays(words.column("data").chunks) if words.num_rows else pa.array([], pa.binary())
+        offsets = np.frombuffer(found.buffers()[1], dtype=np.int32, count=len(found) + 1) // kind.itemsize if len(found) else np.zeros(1, np.int32)
+        values = np.frombuffer(found.buffers()[2], dtype=kind) if len(found) else np.empty(0, kind)
+        batches = []
+        for packed in texts.column("data"):
+            docs, sizes, numbers = _unpack(packed.as_py())
+            size = int(numbers.max()) + 1 if len(numbers) else 0
+            if len(number) != size:
+                raise RuntimeError("words of a lot are missing: the documents changed while they were read")
+            start, count = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+            start[number], count[number] = offsets[:-1], np.diff(offsets)
+            ends, first = np.cumsum(sizes), 0
+            while first < len(docs):  # as many texts as make a batch, one at least
+                begin = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, begin + SLICE, side="right")))
+                ids, per_word = _gathered(numbers[begin:int(ends[last - 1])], start, count, values)
+                per_word = np.concatenate([[0], np.cumsum(per_word)])
+                bounds = per_word[np.concatenate([[0], ends[first:last] - begin])].astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32)))
+                batches.append(pa.RecordBatch.from_arrays([docs.slice(first, last - first), lists], schema=out))
+                first = last
+        return pa.Table.from_batches(batches, schema=out)
+
+    return run
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -299,12 +305,16 @@ def encode(docs: DataFrame, path: str, pattern: str, id: str = "doc_id", text: s
     empty table gives none. Memory is bounded by a lot, or by the longest single text.
     """
     read = inputs(docs, id=id, text=text).select(F.col("id").cast("long").alias("id"), F.make_valid_utf8("text").alias("text"))
-    posted = _posted(read, pattern)
-    words = posted.sortWithinPartitions("word").mapInArrow(_encoder(path), "lot long, number int, ids binary")
-    # Both readers take all posted columns, and a condition that names the task stays above the exchange: so they share
-    # it, texts are cut once, and the lots, whose key is the lot, are already where their words will come.
-    texts = posted.where(F.col("word").isNull() | (F.spark_partition_id() < 0))
-    return texts.groupBy("key").cogroup(words.groupBy("lot")).applyInArrow(_reassembled, "doc_id long, ids array<int>")
+    posted, lot = _posted(read, pattern), F.shiftright("place", NUMBER_BITS)
+    is_texts = F.col("place").bitwiseAND(F.lit(TEXTS)) == TEXTS
+    dealt = F.when(is_texts, lot).otherwise(F.xxhash64("data"))
+    posted = posted.repartition(dealt)
+    words = posted.sortWithinPartitions(F.xxhash64("data")).mapInArrow(_encoder(path), "place long, data binary")
+    # A condition that names the task stays above the exchange, so both readers share it and texts are cut once; the
+    # lots are already dealt by their number, where the ids of their words come to them.
+    texts = posted.where(is_texts | (F.spark_partition_id() < 0))
+    return texts.groupBy(dealt.alias("lot")).cogroup(words.groupBy(lot.alias("lot"))).applyInArrow(
+        _reassembler(path), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:

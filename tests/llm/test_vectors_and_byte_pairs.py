@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,10 +82,11 @@ def test_both_ways_of_merging_agree(library):
     assert table.encode(long.encode()) == library.encode_ordinary(long)
 
 
-def test_numbers_survive_packing():
-    numbers = np.array([0, 199, 200, 455, 456, 65_735, 65_736, byte_pairs.MOST - 1], dtype=np.int32)
-    assert byte_pairs._unpack(byte_pairs._pack(numbers)).tolist() == numbers.tolist()
-    assert byte_pairs._unpack(byte_pairs._pack(numbers[:0])).tolist() == []
+def test_lots_survive_packing():
+    numbers = np.array([0, 199, 200, 455, 456, 65_735, 65_736, byte_pairs.MOST - 1], dtype=np.int64)
+    for ids, sizes, own in (([1, None, -5], [3, 0, 5], numbers), ([None], [0], numbers[:0]), ([], [], numbers[:0])):
+        back = byte_pairs._unpack(byte_pairs._pack(pa.array(ids, pa.int64()), np.array(sizes, dtype=np.int64), own))
+        assert [b.tolist() for b in back] == [ids, sizes, own.tolist()]
 
 
 def test_unknown_and_null_ids(spark):
