@@ -9,7 +9,9 @@ starts; exactly one path does, and that is the encoding.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,11 @@ from cinelake.llm import bpe
 from cinelake.llm.text import inputs, lots, table_rows
 
 #: Units a worker remembers, and the characters of text it looks at together, one text at least.
-CACHED_UNITS = 400_000
-LOT_CHARACTERS = 6 << 20
+CACHED_UNITS = 600_000
+LOT_CHARACTERS = 2 << 20
+#: Characters matched together, and edges that become Python objects together: bound memory, never results.
+WINDOW = 1 << 18
+EDGES = 1 << 16
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -42,6 +47,8 @@ class PieceIndex:
     def __init__(self, vocabulary: bpe.Pieces):
         names = [p for p in vocabulary.id if vocabulary.events(p) is not None]
         self.names = np.array(names, dtype=object)
+        #: The pieces, and one more place for a character that none holds.
+        self.names_and_none = np.append(self.names, "")
         self.sizes = np.array([len(p) for p in names])
         self.longest = int(self.sizes.max())
         self.characters = np.zeros((self.longest, len(names)), dtype=np.int64)
@@ -102,29 +109,13 @@ class UnitIds(dict):
     def _encoded(self, units: list[str]) -> Iterator[bytes]:
         # A zero between units keeps pieces from reaching over; it equals no character of a piece.
         joined = "\0".join(units)
-        text = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-        start, number = self.index.occurrences(text)
-        unknown = np.flatnonzero(~np.isin(text, self.index.single))
-        start = np.concatenate([start, unknown])
-        end = np.concatenate([start[:len(number)] + self.index.sizes[number], unknown + 1])
-        name = np.concatenate([self.index.names[number], np.full(len(unknown), "", dtype=object)])
-        order = np.lexsort((start, end))
-        fresh, followers = self.vocabulary.followers(""), self.vocabulary.followers
-        after: list = [None] * (len(text) + 1)  # what may follow the path that ends here
-        came: list = [0] * (len(text) + 1)
-        after[0] = fresh
-        for here, there, piece in zip(end[order].tolist(), start[order].tolist(), name[order].tolist()):
-            if after[here] is None:
-                if not piece:
-                    after[here], came[here] = fresh, there
-                elif after[there][piece]:
-                    after[here], came[here] = followers(piece), there
+        lengths = self._paths(joined)
         ids, to_bytes, end = self.vocabulary.id, self.vocabulary.byte, 0
         for unit in units:
             begin, out = end, []
             end = here = begin + len(unit)
             while here > begin:
-                there = came[here]
+                there = here - lengths[here]
                 piece = joined[there:here]
                 known = ids.get(piece)
                 if known is not None:
@@ -136,6 +127,54 @@ class UnitIds(dict):
             yield np.array(out, dtype=np.int32).tobytes()
             end += 1
 
+    def _paths(self, text: str) -> array:
+        """For every position, the length of the piece that ends there on the path to it.
+
+        The text is matched and relaxed in windows. A path is carried over by what may follow it at
+        the last places, as many as the longest piece, so neither long units nor many of them hold
+        more than a window's occurrences.
+        """
+        fresh, followers = self.vocabulary.followers(""), self.vocabulary.followers
+        lengths = array("H", bytes(2 * len(text) + 2))
+        carried: list = [fresh]  # what may follow the paths that end at the places before the window and at its start
+        for begin in range(0, len(text), WINDOW):
+            low = begin + 1 - len(carried)
+            after = carried + [None] * min(WINDOW, len(text) - begin)
+            for piece, end, size in self._edges(text[low:begin + WINDOW], begin - low):
+                if after[end] is None:
+                    if not piece:
+                        after[end], lengths[low + end] = fresh, size
+                    elif after[end - size][piece]:
+                        after[end], lengths[low + end] = followers(piece), size
+            carried = after[-self.index.longest:]
+        return lengths
+
+    def _edges(self, text: str, known: int) -> Iterator[tuple[str, int, int]]:
+        """(piece, end, length) of the pieces that end behind the ``known`` first places, the longest first at each end.
+
+        A character that no piece holds is an edge without a piece.
+        """
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        start, number = self.index.occurrences(codes)
+        end = start + self.index.sizes[number]
+        own = np.flatnonzero(end > known)
+        unknown = np.flatnonzero(~np.isin(codes, self.index.single))
+        unknown = unknown[unknown >= known]
+        end = np.concatenate([end[own], unknown + 1])
+        number = np.concatenate([number[own], np.full(len(unknown), len(self.index.sizes))])
+        size = np.append(self.index.sizes, 1)[number]
+        order = np.lexsort((-size, end))
+        names = self.index.names_and_none
+        for first in range(0, len(order), EDGES):
+            some = order[first:first + EDGES]
+            yield from zip(names[number[some]].tolist(), end[some].tolist(), size[some].tolist())
+
+
+@cache
+def unit_ids(model: str) -> UnitIds:
+    """One cache of units per process and model: a task finds what earlier ones have learnt."""
+    return UnitIds(bpe.pieces(model))
+
 
 class Decoder:
     """Text of ids, as the library gives it for valid sequences."""
@@ -168,7 +207,7 @@ def encode(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text",
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = bpe.pieces(model)
-        known, decoder = UnitIds(vocabulary), Decoder(vocabulary)
+        known, decoder = unit_ids(model), Decoder(vocabulary)
         for lot in lots(table_rows(parts, "id", "text"), LOT_CHARACTERS):
             found = [bpe.units(body) for _, body in lot]
             known.learn(set().union(*found))

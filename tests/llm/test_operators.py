@@ -74,6 +74,35 @@ def test_pieces_equal_the_library_and_decode(odd, none, library):
     assert pieces.encode(none, queries.model_path()).count() == 0
 
 
+@pytest.mark.parametrize("window, edges", [(1 << 18, 1 << 16), (7, 5), (64, 1000)])
+def test_pieces_do_not_depend_on_windows(library, window, edges, monkeypatch):
+    monkeypatch.setattr(pieces, "WINDOW", window)
+    monkeypatch.setattr(pieces, "EDGES", edges)
+    draw = np.random.default_rng(window)
+    parts = np.array(["a", "b", "the", "tion", " ", "  ", "\n", "é", "漢", "🙂", "1", "ab" * 50, "qz", "\u0378"])
+    known = pieces.UnitIds(bpe.pieces(queries.model_path()))
+    for _ in range(300 if window > 99 else 40):
+        text = "".join(draw.choice(parts, draw.integers(0, 60)))
+        own = bpe.units(text)
+        known.learn(set(own))
+        ids = np.frombuffer(b"".join(known[u] for u in own), dtype=np.int32).tolist()
+        assert ids == library.encode(text)
+
+
+def test_a_long_text_without_blanks_is_encoded_in_bounded_memory(spark, library):
+    text = "abcde漢etaoin" * 150_000
+    assert spark.createDataFrame([(1, text)], "doc_id long, text string").transform(
+        lambda d: pieces.encode(d, queries.model_path(), decoded=True)).where("round_trip").first().ids == library.encode(text)
+    import tracemalloc
+
+    known = pieces.UnitIds(bpe.pieces(queries.model_path()))
+    tracemalloc.start()
+    known._paths("▁" + text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+
+
 @pytest.mark.parametrize("lot", [30_000, 1])
 def test_repeats_go_at_any_size_of_a_lot(odd, none, lot, monkeypatch):
     monkeypatch.setattr(substrings, "LOT", lot)
