@@ -7,10 +7,14 @@ therefore emit every pair of that longer prefix as one key; large sets, and the
 match a large one, go into the inverted list of each shingle of the shorter prefix. The size where
 one way gives way to the other has the least estimated cost over the histogram of sizes.
 
-Lists are not expanded into pairs. Each list is first compared with its smallest and its largest
-class; what is linked becomes one component. While the pairs of a list that are still in different
-components outnumber its entries, further classes serve as hubs. Then those pairs are compared, all
-of them, so no link between components is lost. Every candidate is verified on whole sets.
+Lists that hold the same classes are one list. They are not expanded into pairs: each is first
+compared with its smallest and its largest class, and what is linked becomes one component. While the
+pairs of a list that are still in different components outnumber its entries, further classes serve as
+hubs. Then those pairs are compared, all of them, so no link between components is lost. Every
+candidate is verified on whole sets.
+
+Linked sets share a component, so the links of a class are counted within its component: in blocks of
+bounded size, as products of the blocks' incidence matrices, without a row per pair.
 """
 
 from __future__ import annotations
@@ -42,6 +46,9 @@ BITS = [f"w{k}" for k in range(PARITY // 64)]
 WIDE = 2048
 #: Pairs across components that lists may expand to, per entry, before further hubs are tried first.
 LINEAR = 4
+#: Classes of a tile, and shingles of one slice of its incidence matrix: bound memory, never results.
+TILE = 512
+COLUMNS = 4096
 #: Cost of scanning an inverted list per entry, against emitting one subset.
 SCAN_COST = 4.0
 
@@ -100,80 +107,94 @@ def keys(found: np.ndarray, sketch: np.ndarray, small: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, one row per row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links, null only if no id of the component is
-    known. A null text or one without words has no shingles, is linked with nothing and keeps its
-    own id. Repeated rows give a row each and share their component; an empty table gives none.
-    Sets are told apart by 64-bit hashes of their shingles and of themselves.
+    known. ``links`` adds ``class_id``, which rows of equal sets share, and ``n_links``, the number of
+    other rows that a row is linked with; that work is quadratic in the classes of one component. A
+    null text or one without words has no shingles, is linked with nothing and keeps its own id.
+    Repeated rows give a row each and share their component; an empty table gives none. Sets are
+    told apart by 64-bit hashes of their shingles and of themselves.
     """
-    read = inputs(docs, id=id, text=text).withColumn("id", F.col("id").cast("long"))
-    info = stored(_sizes(read), "sets")
-    labels = _linked(read, info)
-    smallest = info.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"))
-    smallest = smallest.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
-        "cid", "least", F.coalesce("label", "cid").alias("label"))
-    whole = smallest.groupBy("label").agg(F.min("least").alias("component"))
-    of_class = smallest.join(whole, "label").select("cid", "component")
+    read = inputs(docs, id=id, text=text).select(F.col("id").cast("long").alias("id"), "text", F.xxhash64("text").alias("mark"))
+    seen = stored(_seen(read), "sets")
+    info = seen.where("block is null")
+    labels = _linked(read, seen)
+    classes = info.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("mark").alias("mark"))
+    classes = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
+        "cid", "least", "copies", "mark", F.coalesce("label", "cid").alias("label"))
+    whole = classes.groupBy("label").agg(F.min("least").alias("component"))
+    of_class = classes.join(whole, "label").select("cid", "component", "copies")
+    if links:
+        counted = _link_counts(read, classes).withColumnRenamed("cid", "_cid")
+        of_class = of_class.join(counted, F.col("cid") == F.col("_cid"), "left").select(
+            "cid", "component", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
+    more = [F.when(F.col("n") > 0, F.col("cid")).alias("class_id"), F.when(F.col("n") > 0, F.col("links")).otherwise(0).alias("n_links")]
     return info.join(of_class, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), *(more if links else []))
 
 
-def _sizes(read: DataFrame) -> DataFrame:
-    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), *((w, pa.int64()) for w in BITS), ("wide", pa.list_(pa.int64()))])
+def _seen(read: DataFrame) -> DataFrame:
+    """One pass over all texts: a row per row, with the parities of a class where a task meets it first, and the count
+    sketch's blocks, which have no row of ``read``."""
+    out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("mark", pa.int64()), *((w, pa.int64()) for w in BITS),
+                     ("wide", pa.list_(pa.int64())), ("block", pa.int64()), ("cells", pa.binary())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
+        cache, cells, known = WordHashes(), np.zeros(SKETCH, dtype=np.int64), set()
 
         def rows():
-            for key, body in table_rows(parts, "id", "text"):
+            for key, body, mark in table_rows(parts, "id", "text", "mark"):
                 found = shingle_set(body, cache)
-                yield key, len(found), class_of(found), *parity(found, PARITY).tolist(), parity(found, WIDE)
-
-        return batches(rows(), out, lambda row: 400)
-
-    return read.mapInArrow(run, "doc_id long, n long, cid long, " + ", ".join(f"{w} long" for w in BITS) + ", wide array<long>")
-
-
-def _sketch(read: DataFrame) -> np.ndarray:
-    out = pa.schema([("block", pa.int64()), ("cells", pa.binary())])
+                cid = class_of(found)
+                if cid in known:
+                    yield key, len(found), cid, mark, *(None,) * (len(BITS) + 3)
+                    continue
+                if len(known) >= CACHED_CLASSES:
+                    known.clear()
+                known.add(cid)
+                np.add.at(cells, (found % np.uint64(SKETCH)).astype(np.int64), 1)
+                yield key, len(found), cid, mark, *parity(found, PARITY).tolist(), parity(found, WIDE), None, None
+            for block, packed in blocks(cells):
+                yield *(None,) * (len(BITS) + 5), block, packed
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, cells = WordHashes(), np.zeros(SKETCH, dtype=np.int64)
-        for (body,) in table_rows(parts, "text"):
-            found = shingle_set(body, cache)
-            np.add.at(cells, (found % np.uint64(SKETCH)).astype(np.int64), 1)
-        return batches(blocks(cells), out, lambda row: len(row[1]))
+        return batches(rows(), out, lambda row: len(row[-1]) if row[-1] else 400)
 
-    return summed(read.select("text").mapInArrow(run, "block long, cells binary"), SKETCH)
+    return read.mapInArrow(run, "doc_id long, n long, cid long, mark long, " + ", ".join(f"{w} long" for w in BITS)
+                           + ", wide array<long>, block long, cells binary")
 
 
-def _lists(read: DataFrame, info: DataFrame) -> DataFrame:
-    """(key, cid, n) of every key that two classes share."""
+def _lists(read: DataFrame, seen: DataFrame) -> DataFrame:
+    """(key, cid, n) of the keys that two classes share, one key for all that have the same classes."""
     spark = read.sparkSession
-    sizes = {r.n: r["count"] for r in info.where("n > 0").select(
+    # Sizes above 2,000 count as 2,000 here: that moves the boundary of least cost, and no result.
+    sizes = {r.n: r["count"] for r in seen.where("n > 0").select(
         F.least("n", F.lit(2000)).alias("n")).groupBy("n").count().collect()}
     small = boundary(sizes)
-    sketch = spark.sparkContext.broadcast(_sketch(read))
+    sketch = spark.sparkContext.broadcast(summed(seen.where("block is not null").select("block", "cells"), SKETCH))
     out = pa.schema([("key", pa.int64()), ("cid", pa.int64()), ("n", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, held, size, seen = WordHashes(), [], 0, set()
+        cache, held, size, marks, met = WordHashes(), [], 0, set(), set()
 
         def packed():
             key, cid, n = (np.concatenate(c) for c in zip(*held))
             return pa.RecordBatch.from_arrays([pa.array(key), pa.array(cid), pa.array(n)], schema=out)
 
-        for (body,) in table_rows(parts, "text"):
+        for body, mark in table_rows(parts, "text", "mark"):
+            if mark in marks:  # a task posts the copies of a class once; the rest go with distinct below
+                continue
             found = shingle_set(body, cache)
             cid = class_of(found)
-            if cid in seen:  # a task posts the copies of a class once; the rest go with distinct below
+            if len(marks) >= CACHED_CLASSES:
+                marks.clear()
+                met.clear()
+            marks.add(mark)
+            if cid in met:
                 continue
-            if len(seen) >= CACHED_CLASSES:
-                seen.clear()
-            seen.add(cid)
+            met.add(cid)
             own = keys(found, sketch.value, small).view(np.int64)
             if len(own):
                 held.append((own, np.full(len(own), cid), np.full(len(own), len(found))))
@@ -185,49 +206,63 @@ def _lists(read: DataFrame, info: DataFrame) -> DataFrame:
             yield packed()
 
     # Both sides read the same columns of the same rows, so they share one exchange.
-    posted = read.select("text").mapInArrow(run, "key long, cid long, n long").where("key is not null").repartition("key")
-    shared = posted.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.max("n").alias("most"))
-    return posted.join(shared.where("low <> high and most > 0").select("key"), "key").distinct()
+    posted = read.select("text", "mark").mapInArrow(run, "key long, cid long, n long").where("key is not null").repartition("key")
+    own = F.xxhash64("cid")
+    lists = posted.groupBy("key").agg(
+        F.min("cid").alias("low"), F.max("cid").alias("high"), F.max("n").alias("most"), F.count(F.lit(1)).alias("c"),
+        F.sum(own.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"), F.sum(F.shiftrightunsigned(own, 32)).alias("y"))
+    # A text's keys are posted together however often it is, so equal lists have equal sums, repeated entries included.
+    kept = lists.where("low <> high and most > 0").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
+    return posted.join(kept, "key").distinct()
 
 
 def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, items) of the classes in ``wanted``, once each."""
+    """(cid, items) of the classes whose rows have the marks in ``wanted``, once each."""
     spark = read.sparkSession
     out = pa.schema([("block", pa.int64()), ("cells", pa.binary())])
 
     def mark(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for part in parts:
-            bits[(part.column("cid").to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)] = True
+            bits[_bit(part.column("mark"))] = True
         cells = np.packbits(bits).view(np.int64)
         return batches(blocks(cells), out, lambda row: len(row[1]))
 
-    # Bits are distinct classes here, so adding the packed blocks of disjoint sets of bits joins them.
-    by_bit = wanted.select(F.pmod("cid", F.lit(FILTER_BITS)).alias("cid")).distinct()
+    # Bits are distinct marks here, so adding the packed blocks of disjoint sets of bits joins them.
+    by_bit = wanted.select(F.pmod("mark", F.lit(FILTER_BITS)).alias("mark")).distinct()
     packed = summed(by_bit.mapInArrow(mark, "block long, cells binary"), FILTER_BITS // 64)
     chosen = spark.sparkContext.broadcast(packed.view(np.uint8))
     schema = pa.schema([("cid", pa.int64()), ("items", pa.list_(pa.int64()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen = WordHashes(), set()
+        cache, met = WordHashes(), set()
+
+        def passed():
+            for part in parts:  # other texts never become Python objects
+                bit = _bit(part.column("mark"))
+                own = part.filter(pa.array((chosen.value[bit >> 3] >> (7 - (bit & 7)) & 1).astype(bool)))
+                if own.num_rows:
+                    yield own
 
         def rows():
-            for (body,) in table_rows(parts, "text"):
-                found = shingle_set(body, cache)
-                cid = class_of(found)
-                bit = int(np.uint64(cid & 0xFFFFFFFFFFFFFFFF) % np.uint64(FILTER_BITS))
-                if cid not in seen and chosen.value[bit >> 3] >> (7 - (bit & 7)) & 1:
-                    if len(seen) >= CACHED_CLASSES:
-                        seen.clear()
-                    seen.add(cid)
-                    yield cid, found.view(np.int64)
+            for body, mark in table_rows(passed(), "text", "mark"):
+                if mark not in met:
+                    if len(met) >= CACHED_CLASSES:
+                        met.clear()
+                    met.add(mark)
+                    found = shingle_set(body, cache)
+                    yield class_of(found), found.view(np.int64)
 
         return batches(rows(), schema, lambda row: 8 * len(row[1]))
 
-    found = read.select("text").mapInArrow(run, "cid long, items array<long>")
+    found = read.select("text", "mark").mapInArrow(run, "cid long, items array<long>")
     return found.groupBy("cid").agg(F.first("items").alias("items"))
 
 
+def _bit(marks: pa.Array) -> np.ndarray:
+    return (marks.to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
 def _overlap(total):
     """Least overlap of two linked sets, by the sum of their sizes."""
     return F.ceil(total * PERCENT / (100 + PERCENT) - 1e-9)
@@ -247,14 +282,23 @@ def _pair(x: str, y: str):
     return F.least(f"{x}.cid", f"{y}.cid").alias("a"), F.greatest(f"{x}.cid", f"{y}.cid").alias("b")
 
 
+def _apart(p: str, q: str):
+    """In how many bits two wide parities differ."""
+    return F.aggregate(F.zip_with(p, q, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
+
+
 def _verified(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough; the wide parities rule out most others first."""
     side = lambda c, n, w: classes.select(F.col("cid").alias(c), F.col("n").alias(n), F.col("wide").alias(w))
     wide = pairs.distinct().join(side("a", "m", "p"), "a").join(side("b", "n", "q"), "b")
-    apart = F.aggregate(F.zip_with("p", "q", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda x, y: x + y)
-    pairs = stored(wide.where(apart <= F.col("m") + F.col("n") - 2 * _overlap(F.col("m") + F.col("n"))).select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
-    sets = stored(_sets(read, wanted), "sets")
+    return _exact(read, wide.where(_apart("p", "q") <= F.col("m") + F.col("n") - 2 * _overlap(F.col("m") + F.col("n"))).select("a", "b"), classes)
+
+
+def _exact(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets overlap enough."""
+    pairs = stored(pairs, "pairs")
+    both = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
+    sets = stored(_sets(read, classes.join(both, "cid", "left_semi")), "sets")
     left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -262,10 +306,11 @@ def _verified(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
         100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b"), "links")
 
 
-def _linked(read: DataFrame, info: DataFrame) -> DataFrame:
-    lists = stored(_lists(read, info), "lists")
-    classes = stored(info.join(lists.select("cid").distinct(), "cid", "left_semi").groupBy("cid").agg(
-        *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))), "classes")
+def _linked(read: DataFrame, seen: DataFrame) -> DataFrame:
+    lists = stored(_lists(read, seen), "lists")
+    listed = lists.select("cid").distinct()
+    classes = stored(seen.where("wide is not null").join(listed, "cid", "left_semi").groupBy("cid").agg(
+        *(F.first(c).alias(c) for c in ("n", *BITS, "wide", "mark"))), "classes")
     lists = stored(lists.join(classes.select("cid", *BITS), "cid"), "lists")
     links, labels, before, turn = None, None, None, 0
     while True:
@@ -290,9 +335,12 @@ def _linked(read: DataFrame, info: DataFrame) -> DataFrame:
         links = found if links is None else links.unionAll(found)
         labels = stored(components(links), "labels")
         turn += 1
+    # Entries are fewer than the pairs they may make, so the wide parities come to them and rule out pairs as they arise.
+    known = stored(known.join(classes.select("cid", "wide"), "cid"), "open")
     x, y = known.alias("x"), known.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _possible("x", "y"))
-    return components(links.unionAll(_verified(read, pairs.select(*_pair("x", "y")), classes)))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _possible("x", "y") & (
+        _apart("x.wide", "y.wide") <= F.col("x.n") + F.col("y.n") - 2 * _overlap(F.col("x.n") + F.col("y.n"))))
+    return components(links.unionAll(_exact(read, pairs.select(*_pair("x", "y")).distinct(), classes)))
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -301,3 +349,53 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
         "key", "cid", "n", *BITS, F.coalesce("label", "cid").alias("label"))
     several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     return known.join(several, "key")
+
+
+def _link_counts(read: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cid, linked): rows of other classes that a class is linked with, for the classes of components of two and more.
+
+    A component's classes are dealt to tiles at random, about ``TILE`` to each, and every pair of
+    tiles is one group: its size is bounded, and a class travels once per tile of its component.
+    """
+    sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.ceil(F.count(F.lit(1)) / TILE).alias("tiles")).where("size > 1")
+    own = stored(classes.join(sizes, "label").select(
+        "cid", "label", "copies", "mark", "tiles", F.pmod(F.xxhash64("cid"), "tiles").alias("tile")), "members")
+    sets = own.join(_sets(read, own).withColumnRenamed("cid", "_cid"), F.col("cid") == F.col("_cid")).drop("_cid", "mark")
+    dealt = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    dealt = dealt.withColumn("p", F.least("tile", "other")).withColumn("q", F.greatest("tile", "other"))
+    out = pa.schema([("cid", pa.int64()), ("linked", pa.int64())])
+
+    def count(table: pa.Table) -> pa.Table:
+        cid, tile, copies = (table.column(c).to_numpy() for c in ("cid", "tile", "copies"))
+        left = np.flatnonzero(tile == table.column("p")[0].as_py())
+        right = np.flatnonzero(tile == table.column("q")[0].as_py())
+        linked = linked_classes(table.column("items"), left, right)
+        if table.column("p")[0] == table.column("q")[0]:
+            linked[np.arange(len(left)), np.arange(len(left))] = False
+            found = cid[left], linked @ copies[right]
+        else:
+            found = np.concatenate([cid[left], cid[right]]), np.concatenate([linked @ copies[right], copies[left] @ linked])
+        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], schema=out)
+
+    counted = dealt.groupBy("label", "p", "q").applyInArrow(count, "cid long, linked long")
+    return counted.groupBy("cid").agg(F.sum("linked").alias("linked"))
+
+
+def linked_classes(items: pa.ChunkedArray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which sets of two tiles overlap enough, as a matrix; shingles are looked at in slices of bounded number."""
+    sets = [items[int(k)].values.to_numpy() for k in np.union1d(left, right)]
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    names, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    rows, columns = (np.searchsorted(np.union1d(left, right), side) for side in (left, right))
+    both = np.zeros((len(left), len(right)), dtype=np.float32)  # overlaps below 2^24 are exact
+    for first in range(0, len(names), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        table = np.zeros((len(sets), min(COLUMNS, len(names) - first)), dtype=np.float32)
+        table[owner[a:b], column[a:b] - first] = 1
+        both += table[rows] @ table[columns].T
+    both = both.astype(np.int64)
+    union = sizes[rows][:, None] + sizes[columns][None, :] - both
+    return 100 * both >= PERCENT * union

@@ -50,8 +50,10 @@ reach AS (
   SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
 least AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN worded ON worded.r = reach.y GROUP BY x)
 SELECT worded.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles,
-       CASE WHEN sizes.n > 0 THEN least.component_id ELSE worded.doc_id END AS component_id
+       CASE WHEN sizes.n > 0 THEN least.component_id ELSE worded.doc_id END AS component_id,
+       coalesce(linked.n, 0) AS n_links
 FROM worded LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
+LEFT JOIN (SELECT x AS r, count(*) AS n FROM links GROUP BY x) linked USING (r)
 """
 
 OP7 = rf"""

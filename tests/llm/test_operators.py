@@ -124,37 +124,47 @@ def test_repeats_go_at_any_size_of_a_lot(odd, none, lot, monkeypatch):
     assert substrings.remove_repeats(none).count() == 0
 
 
-def test_near_duplicates_equal_brute_force(spark, odd, none, sf_dir):
-    docs = odd.select("doc_id", "text").unionAll(
+@pytest.mark.parametrize("tile, columns", [(512, 4096), (2, 7)])
+def test_near_duplicates_equal_brute_force(spark, odd, none, sf_dir, tile, columns, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "COLUMNS", columns)
+    near = [" ".join(f"v{k}" if k % 97 or k == 97 * j else f"x{j}" for k in range(200)) for j in range(12)]
+    more = spark.createDataFrame([(1000 + j, t) for j, t in enumerate(near)], "doc_id long, text string")
+    docs = odd.select("doc_id", "text").unionAll(more).unionAll(
         spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id") + 100, "text"))
-    sets = {}
-    for i, t in docs.collect():
+    rows = [(i, t) for i, t in docs.collect()]
+    sets = []
+    for i, t in rows:
         w = split(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-        sets[(i, t)] = frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
-    root = {k: k for k in sets}
+        sets.append(frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    root, links = list(range(len(rows))), Counter()
 
     def find(k):
         while root[k] != k:
             k = root[k]
         return k
 
-    keys = list(sets)
-    for a, x in enumerate(keys):
-        for y in keys[:a]:
-            n, m = len(sets[x]), len(sets[y])
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            n, m = len(x), len(y)
             if n and m and 100 * min(n, m) >= 80 * max(n, m):
-                both = len(sets[x] & sets[y])
+                both = len(x & y)
                 if 100 * both >= 80 * (n + m - both):
-                    root[find(x)] = find(y)
+                    root[find(a)] = find(b)
+                    links.update((a, b))
     least = {}
-    for i, t in keys:
+    for k, (i, _) in enumerate(rows):
         if i is not None:
-            r = find((i, t))
-            least[r] = min(least.get(r, i), i)
-    texts = {(i, len(sets[(i, t)])): least.get(find((i, t))) for i, t in keys}
-    for r in jaccard.near_duplicates(docs).collect():
-        assert r.component_id == texts[(r.doc_id, r.n_shingles)]
-    assert jaccard.near_duplicates(none).count() == 0
+            least[find(k)] = min(least.get(find(k), i), i)
+    want = Counter((i, len(sets[k]), least.get(find(k)), links[k]) for k, (i, _) in enumerate(rows))
+    got = jaccard.near_duplicates(docs, links=True).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == want
+    classes = {}
+    for r in got:
+        if r.n_shingles:
+            classes.setdefault(r.class_id, set()).add(r.component_id)
+    assert len(classes) == len(set(sets) - {frozenset()}) and all(len(c) == 1 for c in classes.values())
+    assert jaccard.near_duplicates(none, links=True).count() == 0
 
 
 def test_measures_and_verdicts(odd, none):
