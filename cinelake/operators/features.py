@@ -41,6 +41,11 @@ class VectorSpec:
     def width(self) -> int:
         return len(self.weights) + self.slots
 
+    @property
+    def input_weights(self) -> dict[str, float]:
+        """Weight of each number before it is scaled."""
+        return {n: 1.0 for n in self.weights} if self.weights_after_scaling else self.weights
+
 
 DEFAULT = VectorSpec()
 
@@ -79,16 +84,19 @@ def incomplete_films(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFra
         F.count_if(~_is_complete(spec)).alias("incomplete"))
 
 
+def complete_films(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFrame:
+    """Films that have all numbers and tags, with their release year."""
+    return _with_year(features).where(_is_complete(spec))
+
+
 def hashed_features(features: DataFrame, spec: VectorSpec = DEFAULT) -> DataFrame:
     """Complete films as ``(id, release_year, inputs)``.
 
     ``inputs`` is one array: the weighted numbers, then the tag count of every slot.
     """
-    complete = _with_year(features).where(_is_complete(spec))
     hasher = HashingTF(numFeatures=spec.slots, inputCol="genres", outputCol="_tf")
-    weights = {n: 1.0 for n in spec.weights} if spec.weights_after_scaling else spec.weights
-    numbers = F.array(*(F.col(n).cast("double") * F.lit(w) for n, w in weights.items()))
-    return hasher.transform(complete).select(
+    numbers = F.array(*(F.col(n).cast("double") * F.lit(w) for n, w in spec.input_weights.items()))
+    return hasher.transform(complete_films(features, spec)).select(
         "id", YEAR_COLUMN, F.concat(numbers, vector_to_array("_tf")).alias(INPUTS))
 
 

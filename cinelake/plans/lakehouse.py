@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake import schemas
-from cinelake.operators import clean, features, quality, recommend, tracks
+from cinelake.operators import clean, features, quality, recommend, sparse, tracks
 from cinelake.operators.features import DEFAULT, VectorSpec
 from cinelake.plans import marts
 from cinelake.sources import Lake, Profile, Warehouse, as_view, extract_years, publish
@@ -103,14 +103,27 @@ class Lakehouse:
             profile = features.user_profile(mine, self.spec)
         return self.lake.write(profile, "gold.my_vector")
 
-    def gold_movies_vector(self, years: Years = None) -> Profile:
-        if years is not None and not self.fit_by_year:
-            raise ValueError("vectors fitted over all years cannot be reworked for some of them")
+    def gold_vector_statistics(self, years: Years = None) -> Profile:
+        """Mergeable statistics of each year, from its films alone."""
         films = self.lake.read("silver.movies_vectors", years)
-        by = schemas.YEAR_COLUMN if self.fit_by_year else None
-        return self.lake.write(
-            features.fit_vectors(films, by, self.spec), "gold.movies_vector",
-            arrives_by_year=True)
+        return self.lake.write(sparse.statistics(sparse.sparse_inputs(films, self.spec)), "gold.vector_statistics")
+
+    def gold_movies_vector(self, years: Years = None) -> Profile:
+        """Vectors of all films, or of ``years``.
+
+        Fitted over all years, a changed year changes every vector: only the statistics of
+        ``years`` are worked out again, merged with the stored ones, and all films take the result.
+        """
+        if self.fit_by_year:
+            films = self.lake.read("silver.movies_vectors", years)
+            vectors = features.fit_vectors(films, schemas.YEAR_COLUMN, self.spec)
+        else:
+            self.gold_vector_statistics(years)
+            stats = sparse.merged(self.lake.read("gold.vector_statistics"))
+            fitted = sparse.factor_array(sparse.factors(stats, self.spec, None), self.spec)
+            hashed = features.hashed_features(self.lake.read("silver.movies_vectors"), self.spec)
+            vectors = features.transform(hashed, fitted, None)
+        return self.lake.write(vectors, "gold.movies_vector", arrives_by_year=True)
 
     def gold_recommendations(self) -> Profile:
         seen = self.lake.read("silver.favorite_track") if self.exclude_seen else None

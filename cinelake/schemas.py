@@ -52,6 +52,7 @@ MOVIES_RATING = _struct(id=LONG, vote_average=DOUBLE, vote_count=LONG)
 MOVIES_GENRES = _struct(id=LONG, genres=TEXT)
 MOVIE_VECTORS = _struct(id=LONG, movie_vector=DOUBLES)
 USER_VECTOR = _struct(user_vector=DOUBLES)
+VECTOR_STATISTICS = _struct(dim=INT, n=LONG, mean=DOUBLE, m2=DOUBLE, low=DOUBLE, high=DOUBLE)
 SCORES = _struct(id=LONG, cosine_similarity=FloatType())
 INFOR_RATING = _struct(
     id=LONG, title=TEXT, overview=TEXT, release_year=INT, runtime=INT, genres=TEXT,
@@ -97,6 +98,7 @@ DATASETS = {
         Dataset("gold", "movies_genres", MOVIES_GENRES),
         Dataset("gold", "my_vector", USER_VECTOR),
         Dataset("gold", "movies_vector", MOVIE_VECTORS, by_year=True),
+        Dataset("gold", "vector_statistics", VECTOR_STATISTICS, by_year=True),
         Dataset("gold", "recommendations", SCORES),
         Dataset("marts", "infor_rating", INFOR_RATING, keeps_last=False),
         Dataset("marts", "recommendations", RANKING, keeps_last=False),

@@ -22,6 +22,11 @@ TAG_CODES = {
 TAG_SLOTS = {
     "ECONOMY": 11, "SMALL": 12, "MEDIUM": 0, "PROMO": 10, "STANDARD": 19, "LARGE": 18,
 }
+# The same for 2,000 slots.
+TAG_SLOTS_WIDE = {
+    "ECONOMY": 791, "SMALL": 492, "MEDIUM": 1780, "PROMO": 910, "STANDARD": 379, "LARGE": 618,
+}
+REWORKED_YEAR = 1997
 UNNAMED_TAG = "LARGE"
 FAVOURITE_SEGMENT = "BUILDING"
 LAST_YEAR = 2001

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fixtures.adapter import (
-    FAVOURITE_SEGMENT, LAST_YEAR, TAG_CODES, TAG_SLOTS, UNNAMED_TAG,
+    FAVOURITE_SEGMENT, LAST_YEAR, REWORKED_YEAR, TAG_CODES, TAG_SLOTS, TAG_SLOTS_WIDE, UNNAMED_TAG,
 )
 
 _TAGS = ", ".join(
@@ -47,6 +47,29 @@ def _vectors(prefix: str, films: str, group: str, weights_after: bool = False) -
   SELECT id, slot + 4, tf * idf FROM {prefix}_counts JOIN {prefix}_idf USING (g, slot))"""
 
 
+def _sparse(prefix: str, films: str, group: str) -> str:
+    """Subqueries that turn ``films`` into ``{prefix}_vectors(id, dim, x)`` over the wide slots, entries that are not zero."""
+    names = (("popularity", 1.0), ("release_year", 0.5), ("vote_average", 1.2), ("vote_count", 0.8))
+    numbers = " UNION ALL ".join(
+        f"SELECT id, {group} AS g, {d} AS dim, CAST({n} AS DOUBLE) * {w} AS x FROM {films}" for d, (n, w) in enumerate(names))
+    wide = ", ".join(f"('{t}', {slot})" for t, slot in TAG_SLOTS_WIDE.items())
+    return f"""
+{prefix}_slots(tag, slot) AS (VALUES {wide}),
+{prefix}_n AS (SELECT {group} AS g, COUNT(*) AS n FROM {films} GROUP BY 1),
+{prefix}_tf AS (
+  SELECT id, g, slot, COUNT(*) AS tf FROM (SELECT id, {group} AS g, UNNEST(tags) AS tag FROM {films}) JOIN {prefix}_slots USING (tag)
+  GROUP BY id, g, slot),
+{prefix}_idf AS (
+  SELECT g, slot, LN((ANY_VALUE(n) + 1.0) / (COUNT(*) + 1.0)) AS idf FROM {prefix}_tf JOIN {prefix}_n USING (g) GROUP BY g, slot),
+{prefix}_num AS ({numbers}),
+{prefix}_scale AS (
+  SELECT g, dim, CASE WHEN MIN(x) = MAX(x) THEN 0.0 ELSE 1.0 / STDDEV_SAMP(x) END AS f FROM {prefix}_num GROUP BY g, dim),
+{prefix}_vectors AS (
+  SELECT id, dim, x * f AS x FROM {prefix}_num JOIN {prefix}_scale USING (g, dim) WHERE x * f <> 0
+  UNION ALL
+  SELECT id, slot + 4, tf * idf FROM {prefix}_tf JOIN {prefix}_idf USING (g, slot) WHERE tf * idf <> 0)"""
+
+
 _BASE = f"""
 li AS (
   SELECT l_orderkey, AVG(l_quantity) / 5 AS va, COUNT(*) AS vc,
@@ -120,6 +143,19 @@ scores AS (
   FROM film_vectors v JOIN user_vector u USING (dim) GROUP BY v.id)"""
 
 
+_SPARSE = _sparse("thin", "complete", "release_year")
+_SPARSE_SCORES = f"""{_SPARSE},{_sparse("own", "track", "1")},
+own_mean AS (SELECT dim, SUM(x) / (SELECT COUNT(*) FROM track) AS x FROM own_vectors GROUP BY dim),
+thin_scores AS (
+  SELECT c.id, COALESCE(CASE WHEN SQRT(SUM(v.x * v.x)) * (SELECT SQRT(SUM(x * x)) FROM own_mean) > 0
+         THEN SUM(v.x * COALESCE(u.x, 0)) / (SQRT(SUM(v.x * v.x)) * (SELECT SQRT(SUM(x * x)) FROM own_mean)) END, 0.0) AS cosine_similarity
+  FROM complete c LEFT JOIN thin_vectors v USING (id) LEFT JOIN own_mean u USING (dim) GROUP BY c.id)"""
+_REWORKED = f"""reworked AS (
+  SELECT * REPLACE (CASE WHEN release_year = {REWORKED_YEAR} THEN popularity * 2 + 1 ELSE popularity END AS popularity,
+                    CASE WHEN release_year = {REWORKED_YEAR} THEN LIST_SLICE(tags, 1, 1) ELSE tags END AS tags) FROM complete),
+{_vectors("redone", "reworked", "1")}"""
+
+
 def _sql(select: str, *extra: str) -> str:
     return "WITH " + ",".join((_BASE, *extra)) + "\n" + select
 
@@ -295,6 +331,9 @@ ORACLES: dict[str, str] = {
            FROM cleaned GROUP BY release_year"""),
     "movie_vectors": _sql(f"SELECT {_LONG} FROM film_vectors", _BY_YEAR),
     "movie_vectors_global": _sql(f"SELECT {_LONG} FROM flat_vectors", _GLOBAL),
+    "movie_vectors_sparse": _sql(f"SELECT {_LONG} FROM thin_vectors", _SPARSE),
+    "cosine_scores_sparse": _sql(f"SELECT id, {_rounded('cosine_similarity', 9)} FROM thin_scores", _SPARSE_SCORES),
+    "movie_vectors_global_rework": _sql(f"SELECT {_LONG} FROM redone_vectors", _REWORKED),
     "movie_vectors_weighted": _sql(f"SELECT {_LONG} FROM heavy_vectors", _WEIGHTED),
     "user_vector": _sql(
         f"SELECT CAST(dim AS INT) AS dim, {_rounded('x')} FROM user_vector", _USER),

@@ -17,7 +17,7 @@ from cinelake import schemas
 from cinelake.functions import (
     binary_to_text, list_literal, rating_floor, rating_label, split_tags,
 )
-from cinelake.operators import clean, features, quality, recommend, tracks
+from cinelake.operators import clean, features, quality, recommend, sparse, tracks
 from cinelake.operators.dedupe import first_per_key
 from cinelake.plans import marts
 from cinelake.plans.lakehouse import Lakehouse
@@ -26,7 +26,7 @@ from cinelake.sources import (
     Lake, ParquetWarehouse, as_table, as_view, extract_year, extract_years, publish, read_pages,
     read_positional_csv, snapshot,
 )
-from fixtures.adapter import LAST_YEAR, Inputs
+from fixtures.adapter import LAST_YEAR, REWORKED_YEAR, Inputs
 
 DIGITS = 6
 SCORE_DIGITS = 9
@@ -312,6 +312,35 @@ def q_movie_vectors_weighted(i: Inputs) -> DataFrame:
     return long_form(features.fit_vectors(i.film_features, spec=spec), "movie_vector")
 
 
+WIDE = features.VectorSpec(slots=2000)
+
+
+def q_movie_vectors_sparse(i: Inputs) -> DataFrame:
+    """2,000 hash slots, every film as its entries that are not zero."""
+    vectors = sparse.fit_vectors(i.film_features, spec=WIDE)
+    entries = vectors.select("id", F.inline(F.arrays_zip(F.col("indices").alias("dim"), F.col("values").alias("x"))))
+    return entries.select("id", "dim", F.round("x", DIGITS).alias("x"))
+
+
+def q_cosine_scores_sparse(i: Inputs) -> DataFrame:
+    profile = sparse.user_profile(i.my_features, WIDE)
+    return rounded_scores(sparse.score_films(sparse.fit_vectors(i.film_features, spec=WIDE), profile, as_double=True))
+
+
+def q_movie_vectors_global_rework(i: Inputs) -> DataFrame:
+    """One year changes: its statistics are computed again and merged with the stored ones of the others."""
+    root = scratch_folder(i.spark, "rework")
+    house = Lakehouse(i.spark, f"{root}/lake", ParquetWarehouse("unused"), last_year=LAST_YEAR, fit_by_year=False)
+    films = i.film_features
+    house.lake.write(films, "silver.movies_vectors", arrives_by_year=True)
+    house.gold_movies_vector()
+    changed = films.where(F.col("release_year") == REWORKED_YEAR).withColumn(
+        "popularity", F.col("popularity") * 2 + 1).withColumn("genres", F.slice("genres", 1, 1))
+    house.lake.write(changed, "silver.movies_vectors", arrives_by_year=True)
+    house.gold_movies_vector(years=[REWORKED_YEAR])
+    return long_form(house.lake.read("gold.movies_vector"), "movie_vector")
+
+
 def q_user_vector(i: Inputs) -> DataFrame:
     return long_form(i.user_vector, "user_vector")
 
@@ -470,6 +499,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "movie_vectors": q_movie_vectors,
     "movie_vectors_global": q_movie_vectors_global,
     "movie_vectors_weighted": q_movie_vectors_weighted,
+    "movie_vectors_sparse": q_movie_vectors_sparse,
+    "cosine_scores_sparse": q_cosine_scores_sparse,
+    "movie_vectors_global_rework": q_movie_vectors_global_rework,
     "user_vector": q_user_vector,
     "user_vector_catalogue_space": q_user_vector_catalogue,
     "cosine_scores": q_cosine_scores,
