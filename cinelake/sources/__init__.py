@@ -2,7 +2,7 @@
 
 from cinelake.sources.csvfiles import read_positional_csv
 from cinelake.sources.lake import Lake, Profile
-from cinelake.sources.pages import page_results, read_pages, snapshot
+from cinelake.sources.pages import LandedPages, land_pages, page_results, read_pages, snapshot
 from cinelake.sources.relational import (
     extract_year, extract_years, jdbc_options, key_range_options, read_query, read_table, read_years, year_predicates,
 )
@@ -11,8 +11,8 @@ from cinelake.sources.warehouse import (
 )
 
 __all__ = [
-    "CatalogWarehouse", "JdbcWarehouse", "Lake", "ParquetWarehouse", "Profile", "Warehouse",
-    "as_table", "as_view", "extract_year", "extract_years", "jdbc_options", "key_range_options", "page_results", "publish", "read_pages",
+    "CatalogWarehouse", "JdbcWarehouse", "Lake", "LandedPages", "ParquetWarehouse", "Profile", "Warehouse",
+    "as_table", "as_view", "extract_year", "extract_years", "jdbc_options", "key_range_options", "land_pages", "page_results", "publish", "read_pages",
     "read_positional_csv", "read_query", "read_table", "read_years", "snapshot",
     "year_predicates",
 ]

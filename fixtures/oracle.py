@@ -285,6 +285,11 @@ ORACLES: dict[str, str] = {
         """SELECT 'bronze.movies' AS dataset, COUNT(*) AS row_count FROM raw
            UNION ALL SELECT 'gold.movies_rating', COUNT(*) FROM cleaned"""),
     "api_pages": _sql(_API_FAVOURITES),
+    "api_pages_damaged": _sql(
+        """SELECT CASE WHEN page % 5 IN (1, 2) THEN 'is not the API''s JSON' WHEN page % 5 = 3 THEN 'has no results'
+                       ELSE 'usable' END AS side,
+                  COUNT(DISTINCT page) AS pages, COUNT(*) FILTER (WHERE page % 5 IN (0, 4)) AS films
+           FROM (SELECT CAST(FLOOR(id / 20) AS INT) AS page FROM favourites) GROUP BY 1"""),
     "snapshot_fallback": _sql(_API_FAVOURITES),
     "warehouse_publish": _sql(_PUBLISHED),
     "model_materialisation": _sql(_VOTING),

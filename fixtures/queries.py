@@ -23,7 +23,7 @@ from cinelake.plans import marts
 from cinelake.plans.lakehouse import Lakehouse
 from cinelake.session import scratch_folder
 from cinelake.sources import (
-    Lake, ParquetWarehouse, as_table, as_view, extract_year, extract_years, publish, read_pages,
+    Lake, ParquetWarehouse, as_table, as_view, extract_year, extract_years, land_pages, publish, read_pages,
     read_positional_csv, snapshot,
 )
 from fixtures.adapter import LAST_YEAR, REWORKED_YEAR, Inputs
@@ -183,6 +183,23 @@ def q_api_pages(i: Inputs) -> DataFrame:
     return portable(read_pages(i.spark, folder, multi_line=False))
 
 
+def q_api_pages_damaged(i: Inputs) -> DataFrame:
+    """Pages of which some are cut off, carry ids of another type or lack their results: both sides are counted."""
+    folder = scratch_folder(i.spark, "damaged")
+    pages = i.favourites.groupBy(F.floor(F.col("id") / 20).cast("int").alias("page")).agg(
+        F.collect_list(F.struct(*K.PAGE_FIELDS)).alias("results"))
+    body, page = F.to_json(F.struct("page", "results")), F.col("page")
+    pages.select(
+        F.when(page % 5 == 1, F.substring(body, 1, 40)).when(
+            page % 5 == 2, F.regexp_replace(body, r'"id":(\d+)', '"id":"x$1"')).when(
+            page % 5 == 3, F.replace(body, F.lit('"results"'), F.lit('"result"'))).otherwise(body)).write.text(folder)
+    landed = land_pages(i.spark, folder, scratch_folder(i.spark, "landed"), multi_line=False)
+    good = landed.films.agg(F.count(F.lit(1)).alias("films")).select(
+        F.lit("usable").alias("side"), F.lit(landed.pages).cast("long").alias("pages"), "films")
+    bad = landed.damaged.groupBy("damage").agg(F.count(F.lit(1)).alias("pages"))
+    return good.unionByName(bad.select(F.col("damage").alias("side"), "pages", F.lit(0).cast("long").alias("films")))
+
+
 def q_snapshot_fallback(i: Inputs) -> DataFrame:
     """A snapshot is kept, and an empty refresh falls back to it."""
     folder = scratch_folder(i.spark, "snapshot")
@@ -479,6 +496,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "partition_overwrite_roundtrip": q_partition_overwrite,
     "skip_empty_write": q_skip_empty_write,
     "api_pages": q_api_pages,
+    "api_pages_damaged": q_api_pages_damaged,
     "snapshot_fallback": q_snapshot_fallback,
     "warehouse_publish": q_warehouse_publish,
     "model_materialisation": q_model_materialisation,

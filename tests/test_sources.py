@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from cinelake import schemas
 from cinelake.sources import (
-    JdbcWarehouse, extract_year, extract_years, jdbc_options, key_range_options, read_pages, read_positional_csv,
+    JdbcWarehouse, extract_year, extract_years, jdbc_options, key_range_options, land_pages, read_pages, read_positional_csv,
     snapshot, year_predicates,
 )
 from tests.conftest import formatted_plan
@@ -176,6 +176,47 @@ def test_pages_keep_nine_fields_of_all_pages_or_of_one(spark, tmp_path):
     assert read_pages(spark, str(tmp_path)).count() == 2
 
 
+DAMAGED = {
+    "cut": '{"page":2,"results":[{"id":2,', "type": '{"page":3,"results":[{"id":"x7","title":"b"},{"id":8}]}',
+    "list": "[1, 2]", "two": '{"page":1,"results":[]}{"page":2,"results":[]}', "tail": '{"page":1,"results":[]} and more',
+    "none": '{"page":4}', "null": '{"page":5,"results":null}',
+}
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_no_damaged_page_is_lost(spark, tmp_path, multi_line):
+    source = tmp_path / "in"
+    source.mkdir()
+    good = [json.dumps(PAGE), json.dumps({**PAGE, "page": 2}), '{"page":9,"results":[]}']
+    if multi_line:
+        bodies = {**DAMAGED, "empty": "", "one": good[0], "more": "\n" + good[1] + "\n", "no-films": good[2]}
+        for name, body in bodies.items():
+            (source / f"{name}.json").write_text(body)
+        (source / "bytes.json").write_bytes(good[0].encode()[:-20] + b'\xff"}]}')
+    else:
+        (source / "pages.json").write_text("\n".join([*DAMAGED.values(), "", *good]))
+    landed = land_pages(spark, str(source), str(tmp_path / "out"), multi_line=multi_line)
+    assert (landed.pages, landed.damaged_pages) == (3, len(DAMAGED) + (2 if multi_line else 0))
+    assert landed.films.count() == 2
+    schemas.assert_schema(landed.films, schemas.FAVOURITES)
+    found = Counter((r.body, r.damage) for r in landed.damaged.collect())
+    for name, body in DAMAGED.items():
+        assert found[body, "has no results" if name in ("none", "null") else "is not the API's JSON"] == 1
+    assert all(r.file.endswith(".json") for r in landed.damaged.collect())
+    with pytest.raises(Exception, match="response in .*json (is not|has no)"):
+        read_pages(spark, str(source), multi_line=multi_line).collect()
+
+
+def test_repaired_pages_replace_the_stored_ones(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.json").write_text(DAMAGED["cut"])
+    assert land_pages(spark, str(source), str(tmp_path / "out")).damaged_pages == 1
+    (source / "a.json").write_text(json.dumps(PAGE))
+    landed = land_pages(spark, str(source), str(tmp_path / "out"), page=1)
+    assert (landed.pages, landed.damaged_pages, landed.films.count(), landed.damaged.count()) == (1, 0, 1, 0)
+
+
 def test_empty_page_gives_no_films(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"page": 1, "results": []}')
     df = read_pages(spark, str(tmp_path))
