@@ -57,3 +57,22 @@ def binary_to_text(df: DataFrame) -> DataFrame:
         F.decode(F.col(f.name), "UTF-8").alias(f.name)
         if isinstance(f.dataType, BinaryType) else F.col(f.name)
         for f in df.schema))
+
+
+def interleaved(*columns: tuple[Column, float, float], bits: int = 8) -> Column:
+    """Bits of where each ``(value, low, high)`` lies in its range, taken in turn, the highest first.
+
+    Rows with near values have near numbers in most places, whatever the column. Values outside a
+    range count as its ends, and nulls as the lowest.
+    """
+    steps = (1 << bits) - 1
+    cells = []
+    for value, low, high in columns:
+        share = (value.cast("double") - F.lit(float(low))) / F.lit(float(high - low))
+        cells.append(F.coalesce(F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)) * steps), F.lit(0)).cast("long"))
+    place = F.lit(0).cast("long")
+    for bit in range(bits):
+        for k, cell in enumerate(cells):
+            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1))
+            place = place.bitwiseOR(F.shiftleft(one, bit * len(cells) + len(cells) - 1 - k))
+    return place

@@ -68,7 +68,8 @@ YEAR_COLUMN = "release_year"
 class Dataset:
     """Where a dataset lives in the lake and what it holds.
 
-    ``keeps_last`` says that an empty result leaves the previous one in place.
+    ``keeps_last`` says that an empty result leaves the previous one in place. ``clustered`` names
+    columns that readers filter by, with the range their values mostly lie in.
     """
 
     layer: str
@@ -76,6 +77,7 @@ class Dataset:
     schema: StructType
     by_year: bool = False
     keeps_last: bool = True
+    clustered: dict[str, tuple[float, float]] | None = None
 
     @property
     def stored_schema(self) -> StructType:
@@ -100,7 +102,9 @@ DATASETS = {
         Dataset("gold", "movies_vector", MOVIE_VECTORS, by_year=True),
         Dataset("gold", "vector_statistics", VECTOR_STATISTICS, by_year=True),
         Dataset("gold", "recommendations", SCORES),
-        Dataset("marts", "infor_rating", INFOR_RATING, keeps_last=False),
+        Dataset(
+            "marts", "infor_rating", INFOR_RATING, keeps_last=False,
+            clustered={"release_year": (1900, 2050), "vote_average": (0, 10)}),
         Dataset("marts", "recommendations", RANKING, keeps_last=False),
         Dataset("marts", "quality_report", QUALITY, keeps_last=False),
     )

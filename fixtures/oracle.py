@@ -255,6 +255,10 @@ _PUBLISHED = " UNION ALL ".join(
         ("movies_infor", "cleaned"), ("movies_rating", "cleaned"), ("movies_genres", "cleaned"),
         ("favorite_track", "track"), ("recommendations", "complete")))
 
+_SEARCH = f"""SELECT {_MODEL_COLUMNS} FROM infor_rating
+  WHERE infor_rating.vote_average BETWEEN 3.0 AND 8.0 AND release_year BETWEEN 1996 AND 1999
+    AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'ECONOMY') AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'PROMO')"""
+
 ORACLES: dict[str, str] = {
     "extract_year": _sql(f"SELECT {_RAW_COLUMNS} FROM raw WHERE release_year = 1998"),
     "partition_domain": _sql(
@@ -376,12 +380,11 @@ ORACLES: dict[str, str] = {
     "monthly_release": _sql(
         """SELECT STRFTIME(release_date, '%Y-%m') AS release_month, COUNT(*) AS movie_count
            FROM cleaned GROUP BY 1 ORDER BY 1"""),
-    "catalogue_search": _sql(
-        f"""SELECT {_MODEL_COLUMNS} FROM infor_rating
-            WHERE infor_rating.vote_average BETWEEN 3.0 AND 8.0
-              AND release_year BETWEEN 1996 AND 1999
-              AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'ECONOMY')
-              AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'PROMO')"""),
+    "catalogue_search": _sql(_SEARCH),
+    "catalogue_search_clustered": _sql(_SEARCH),
+    "republished": _sql(" UNION ALL ".join(
+        f"SELECT '{reader}' AS reader, COUNT(*) AS films, CAST(SUM(vote_count) AS BIGINT) AS votes FROM cleaned{where}"
+        for reader, where in (("first", ""), ("second", " WHERE vote_count > 3"), ("third", " WHERE vote_count > 3")))),
     "quality_report": _sql(_QUALITY),
     "dataset_profile": _sql(" UNION ALL ".join((
         _profile("movies", "raw", _RAW_NAMES),

@@ -458,6 +458,29 @@ def q_catalogue_search(i: Inputs) -> DataFrame:
     return portable(marts.search_films(_infor_rating(i), **SEARCH))
 
 
+def q_catalogue_search_clustered(i: Inputs) -> DataFrame:
+    """The same search over the stored model, whose files are dealt by year and rating."""
+    lake = Lake(i.spark, scratch_folder(i.spark, "search"))
+    lake.write(_infor_rating(i), "marts.infor_rating")
+    return portable(marts.search_films(lake.read("marts.infor_rating"), **SEARCH))
+
+
+def q_republished(i: Inputs) -> DataFrame:
+    """A reader that resolved the first version, one that came after the second, and one after an empty write."""
+    lake = Lake(i.spark, scratch_folder(i.spark, "republished"))
+    rating = marts.movies_rating(i.movies_cleaned)
+    lake.write(rating, "gold.movies_rating")
+    first = lake.read("gold.movies_rating")
+    lake.write(rating.where("vote_count > 3"), "gold.movies_rating")
+    second = lake.read("gold.movies_rating")
+    lake.write(rating.where(F.lit(False)), "gold.movies_rating")
+    third = lake.read("gold.movies_rating")
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("films"), F.sum("vote_count").alias("votes")).select(F.lit(n).alias("reader"), "films", "votes")
+        for n, df in (("first", first), ("second", second), ("third", third))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 # Quality
 
 def q_quality_report(i: Inputs) -> DataFrame:
@@ -537,6 +560,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "voting_distribution": q_voting_distribution,
     "monthly_release": q_monthly_release,
     "catalogue_search": q_catalogue_search,
+    "catalogue_search_clustered": q_catalogue_search_clustered,
+    "republished": q_republished,
     "quality_report": q_quality_report,
     "dataset_profile": q_dataset_profile,
 }

@@ -1,4 +1,6 @@
 import datetime as dt
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +99,93 @@ def test_a_failed_write_keeps_the_old_data(spark, tmp_path):
     assert [p.name for p in (tmp_path / "bronze").iterdir()] == ["genre_track"]
 
 
+def test_a_reader_never_meets_a_gap(spark, tmp_path):
+    """Readers resolve and read all the time while versions are replaced."""
+    lake = Lake(spark, str(tmp_path))
+    genres = spark.createDataFrame([(n, "a") for n in range(50)], schemas.GENRE_TRACK).cache()
+    lake.write(genres, "bronze.genre_track")
+    found, failures, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                rows = lake.read("bronze.genre_track").agg(F.count("*").alias("n"), F.min("genre_name").alias("a"), F.max("genre_name").alias("z")).first()
+                found.append((rows.n, rows.a == rows.z))
+            except Exception as error:
+                failures.append(str(error)[:300])
+
+    readers = [threading.Thread(target=read) for _ in range(2)]
+    for thread in readers:
+        thread.start()
+    for turn in range(6):
+        seen = len(found)
+        lake.write(genres.withColumn("genre_name", F.lit(f"v{turn}")), "bronze.genre_track")
+        deadline = time.monotonic() + 20
+        while len(found) < seen + 2 and time.monotonic() < deadline:
+            time.sleep(0.05)
+    done.set()
+    for thread in readers:
+        thread.join()
+    assert not failures and set(found) == {(50, True)}
+    assert lake.read("bronze.genre_track").first().genre_name == "v5"
+
+
+def test_a_version_once_resolved_outlives_the_next_write(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    genres = spark.createDataFrame([(1, "a")], schemas.GENRE_TRACK)
+    for turn in range(4):
+        lake.write(genres.withColumn("id", F.lit(turn)), "bronze.genre_track")
+        if turn == 2:
+            held = lake.read("bronze.genre_track")
+    assert (held.first().id, lake.read("bronze.genre_track").first().id) == (2, 3)
+    names = sorted(p.name for p in (tmp_path / "bronze" / "genre_track").iterdir() if not p.name.endswith(".crc"))
+    assert len(names) == 3 and names[0] == "_current-00000004"
+
+
+def test_a_folder_without_pointer_is_read_as_it_is(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    spark.createDataFrame([(1, "a")], schemas.GENRE_TRACK).write.parquet(lake.path("bronze.genre_track"))
+    assert lake.read("bronze.genre_track").first().id == 1
+
+
+def scanned_rows(df):
+    """Rows that the scans of a query gave, after files and row groups were skipped."""
+    df.collect()
+
+    def scans(plan):
+        leaves = plan.collectLeaves()
+        for leaf in (leaves.apply(k) for k in range(leaves.size())):
+            if "QueryStage" in leaf.getClass().getName():
+                yield from scans(leaf.plan())
+            else:
+                yield leaf
+
+    return sum(s.metrics().apply("numOutputRows").value() for s in scans(df._jdf.queryExecution().executedPlan().executedPlan()))
+
+
+def test_search_skips_files_by_year_and_by_rating(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    spread = "CAST(1950 + pmod(xxhash64(id), 64) AS int) AS release_year", "pmod(xxhash64(id, 7), 100) / 10.0D AS vote_average"
+    model = spark.range(20_000).selectExpr(
+        "id", "'t' AS title", "'o' AS overview", spread[0], "90 AS runtime", "'a,b' AS genres", spread[1])
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(setting, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        lake.write(model, "marts.infor_rating")
+    finally:
+        spark.conf.set(setting, "true")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    stored = lake.read("marts.infor_rating")
+    assert len(stored.inputFiles()) == 64
+    for filters in ({"years": (1960, 1963)}, {"rating": (8.0, 8.9)}, {"years": (1960, 1970), "rating": (2.0, 4.0)}):
+        found = marts.search_films(stored, **filters)
+        wanted = marts.search_films(model, **filters)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+        assert scanned_rows(found.groupBy().count()) < 20_000 / 3  # a count needs no order
+
+
 def test_a_servers_types_fit_bronze_and_others_are_refused(spark, tmp_path):
     house = Lakehouse(spark, str(tmp_path), ParquetWarehouse(f"{tmp_path}/wh"), last_year=2000)
     movies = some_films(spark).drop("release_year")
