@@ -7,14 +7,15 @@ therefore emit every pair of that longer prefix as one key; large sets, and the
 match a large one, go into the inverted list of each shingle of the shorter prefix. The size where
 one way gives way to the other has the least estimated cost over the histogram of sizes.
 
-Lists that hold the same classes are one list. They are not expanded into pairs: each is first
-compared with its smallest and its largest class, and what is linked becomes one component. While the
-pairs of a list that are still in different components outnumber its entries, further classes serve as
-hubs. Then those pairs are compared, all of them, so no link between components is lost. Every
-candidate is verified on whole sets.
-
-Linked sets share a component, so the links of a class are counted within its component: in blocks of
-bounded size, as products of the blocks' incidence matrices, without a row per pair.
+Lists that hold the same classes are one list, and pairs of a list are candidates if their sizes and
+parities allow a link. Lists are not expanded into pairs: each is first compared with its smallest and
+its largest class, and candidates join into groups. While the pairs of a list that are still in
+different groups outnumber its entries, further classes serve as hubs. Then those pairs are compared,
+all of them. So every link lies within a group.
+
+Groups are verified on whole sets, each of which travels once per tile of its group: tiles of bounded
+size are multiplied as incidence matrices, which gives the links of every class and the components
+without a row per pair.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ FILTER_BITS = 1 << 26
 #: Parity bits kept per class: sets that differ in few shingles differ in few of them.
 PARITY = 256
 BITS = [f"w{k}" for k in range(PARITY // 64)]
-#: Parity bits that candidate pairs are looked at with before whole sets travel.
+#: Parity bits that candidate pairs are looked at with before whole sets travel, at least; larger sets have as many as
+#: shingles, up to the next power of two.
 WIDE = 2048
 #: Pairs across components that lists may expand to, per entry, before further hubs are tried first.
 LINEAR = 4
@@ -69,6 +71,11 @@ def parity(found: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def wide(found: np.ndarray) -> np.ndarray:
+    """Parities of as many bits as tell apart sets of this size."""
+    return parity(found, max(WIDE, 1 << max(len(found) - 1, 0).bit_length()))
+
+
 def needed(size: int) -> int:
     """Least overlap of a set of this size with any set it links to."""
     return -(-PERCENT * size // 100)
@@ -107,12 +114,12 @@ def keys(found: np.ndarray, sketch: np.ndarray, small: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, one row per row of ``docs``.
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``class_id`` and ``n_links``, one row per row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links, null only if no id of the component is
-    known. ``links`` adds ``class_id``, which rows of equal sets share, and ``n_links``, the number of
-    other rows that a row is linked with; that work is quadratic in the classes of one component. A
+    known. Rows of equal sets share a ``class_id``, and ``n_links`` is the number of other rows that
+    a row is linked with; counting them is quadratic in the classes of one group of near copies. A
     null text or one without words has no shingles, is linked with nothing and keeps its own id.
     Repeated rows give a row each and share their component; an empty table gives none. Sets are
     told apart by 64-bit hashes of their shingles and of themselves.
@@ -120,20 +127,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", lin
     read = inputs(docs, id=id, text=text).select(F.col("id").cast("long").alias("id"), "text", F.xxhash64("text").alias("mark"))
     seen = stored(_seen(read), "sets")
     info = seen.where("block is null")
-    labels = _linked(read, seen)
     classes = info.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("mark").alias("mark"))
-    classes = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
-        "cid", "least", "copies", "mark", F.coalesce("label", "cid").alias("label"))
+    classes = stored(classes, "classes")
+    found = stored(_verified(read, classes, _groups(read, seen)), "links")
+    labels = components(found.where("other is not null").select(F.col("cid").alias("a"), F.col("other").alias("b")))
+    counted = found.groupBy("cid").agg(F.sum("linked").alias("linked"))
+    classes = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").join(counted, "cid", "left").select(
+        "cid", "least", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), F.coalesce("label", "cid").alias("label"))
     whole = classes.groupBy("label").agg(F.min("least").alias("component"))
-    of_class = classes.join(whole, "label").select("cid", "component", "copies")
-    if links:
-        counted = _link_counts(read, classes).withColumnRenamed("cid", "_cid")
-        of_class = of_class.join(counted, F.col("cid") == F.col("_cid"), "left").select(
-            "cid", "component", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"))
-    more = [F.when(F.col("n") > 0, F.col("cid")).alias("class_id"), F.when(F.col("n") > 0, F.col("links")).otherwise(0).alias("n_links")]
+    of_class = classes.join(whole, "label").select("cid", "component", "links")
+    some = F.col("n") > 0
     return info.join(of_class, "cid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), *(more if links else []))
+        "doc_id", F.col("n").alias("n_shingles"), F.when(some, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(some, F.col("cid")).alias("class_id"), F.when(some, F.col("links")).otherwise(0).alias("n_links"))
 
 
 def _seen(read: DataFrame) -> DataFrame:
@@ -156,11 +162,11 @@ def _seen(read: DataFrame) -> DataFrame:
                     known.clear()
                 known.add(cid)
                 np.add.at(cells, (found % np.uint64(SKETCH)).astype(np.int64), 1)
-                yield key, len(found), cid, mark, *parity(found, PARITY).tolist(), parity(found, WIDE), None, None
+                yield key, len(found), cid, mark, *parity(found, PARITY).tolist(), wide(found), None, None
             for block, packed in blocks(cells):
                 yield *(None,) * (len(BITS) + 5), block, packed
 
-        return batches(rows(), out, lambda row: len(row[-1]) if row[-1] else 400)
+        return batches(rows(), out, lambda row: len(row[-1] or b"") + (8 * len(row[-3]) if row[-3] is not None else 0) + 100)
 
     return read.mapInArrow(run, "doc_id long, n long, cid long, mark long, " + ", ".join(f"{w} long" for w in BITS)
                            + ", wide array<long>, block long, cells binary")
@@ -283,34 +289,32 @@ def _pair(x: str, y: str):
 
 
 def _apart(p: str, q: str):
-    """In how many bits two wide parities differ."""
-    return F.aggregate(F.zip_with(p, q, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
+    """In how many bits two wide parities differ, the longer one folded to the length of the other.
 
+    Sizes of a candidate pair are near, so one is at most twice as long.
+    """
+    def folded(x: str, y: str):
+        half = (F.size(x) / 2).cast("int")
+        halves = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(x) > F.size(y), halves).otherwise(F.col(x))
 
-def _verified(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough; the wide parities rule out most others first."""
-    side = lambda c, n, w: classes.select(F.col("cid").alias(c), F.col("n").alias(n), F.col("wide").alias(w))
-    wide = pairs.distinct().join(side("a", "m", "p"), "a").join(side("b", "n", "q"), "b")
-    return _exact(read, wide.where(_apart("p", "q") <= F.col("m") + F.col("n") - 2 * _overlap(F.col("m") + F.col("n"))).select("a", "b"), classes)
+    bits = F.zip_with(folded(p, q), folded(q, p), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda x, y: x + y)
 
 
-def _exact(read: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets overlap enough."""
-    pairs = stored(pairs, "pairs")
-    both = pairs.select(F.col("a").alias("cid")).unionAll(pairs.select(F.col("b").alias("cid"))).distinct()
-    sets = stored(_sets(read, classes.join(both, "cid", "left_semi")), "sets")
-    left = sets.select(F.col("cid").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("cid").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return stored(pairs.join(left, "a").join(right, "b").where(
-        100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b"), "links")
+def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the wide parities do not rule out."""
+    side = lambda c, n, w: classes.select(F.col("cid").alias(c), F.col("n").alias(n), F.col("wide").alias(w))
+    wide = pairs.distinct().join(side("a", "m", "p"), "a").join(side("b", "n", "q"), "b")
+    return stored(wide.where(_apart("p", "q") <= F.col("m") + F.col("n") - 2 * _overlap(F.col("m") + F.col("n"))).select("a", "b"), "pairs")
 
 
-def _linked(read: DataFrame, seen: DataFrame) -> DataFrame:
+def _groups(read: DataFrame, seen: DataFrame) -> DataFrame:
+    """(node, label): the group of every class that has a candidate. Links lie within groups."""
     lists = stored(_lists(read, seen), "lists")
     listed = lists.select("cid").distinct()
     classes = stored(seen.where("wide is not null").join(listed, "cid", "left_semi").groupBy("cid").agg(
-        *(F.first(c).alias(c) for c in ("n", *BITS, "wide", "mark"))), "classes")
+        *(F.first(c).alias(c) for c in ("n", *BITS, "wide"))), "classes")
     lists = stored(lists.join(classes.select("cid", *BITS), "cid"), "lists")
     links, labels, before, turn = None, None, None, 0
     while True:
@@ -331,7 +335,7 @@ def _linked(read: DataFrame, seen: DataFrame) -> DataFrame:
             hub = known.groupBy("key").agg(pick(F.struct(order.alias("o"), "cid", "n", *BITS)).alias("hub")).select("key", "hub.*")
             star = known.alias("x").join(hub.alias("y"), "key").where("x.cid <> y.cid").where(_possible("x", "y")).select(*_pair("x", "y"))
             stars = star if stars is None else stars.unionAll(star)
-        found = _verified(read, stars, classes)
+        found = _candidates(stars, classes)
         links = found if links is None else links.unionAll(found)
         labels = stored(components(links), "labels")
         turn += 1
@@ -340,62 +344,90 @@ def _linked(read: DataFrame, seen: DataFrame) -> DataFrame:
     x, y = known.alias("x"), known.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & _possible("x", "y") & (
         _apart("x.wide", "y.wide") <= F.col("x.n") + F.col("y.n") - 2 * _overlap(F.col("x.n") + F.col("y.n"))))
-    return components(links.unionAll(_exact(read, pairs.select(*_pair("x", "y")).distinct(), classes)))
+    return components(links.unionAll(stored(pairs.select(*_pair("x", "y")).distinct(), "pairs")))
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists that still hold different components, with each entry's component."""
+    """The lists that still hold different groups, with each entry's group."""
     known = lists.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").select(
         "key", "cid", "n", *BITS, F.coalesce("label", "cid").alias("label"))
     several = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     return known.join(several, "key")
 
 
-def _link_counts(read: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cid, linked): rows of other classes that a class is linked with, for the classes of components of two and more.
+def _verified(read: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cid, linked, other): in part how many rows of other classes a class is linked with, and classes it is connected to.
 
-    A component's classes are dealt to tiles at random, about ``TILE`` to each, and every pair of
-    tiles is one group: its size is bounded, and a class travels once per tile of its component.
+    A group's classes are dealt to tiles by a hash, about ``TILE`` to each, and every pair of tiles
+    is looked at on its own: its size is bounded, and a class travels once per tile of its group.
     """
-    sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.ceil(F.count(F.lit(1)) / TILE).alias("tiles")).where("size > 1")
-    own = stored(classes.join(sizes, "label").select(
+    grouped = classes.join(groups.select(F.col("node").alias("cid"), "label"), "cid")
+    sizes = grouped.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
+    own = stored(grouped.join(sizes, "label").select(
         "cid", "label", "copies", "mark", "tiles", F.pmod(F.xxhash64("cid"), "tiles").alias("tile")), "members")
     sets = own.join(_sets(read, own).withColumnRenamed("cid", "_cid"), F.col("cid") == F.col("_cid")).drop("_cid", "mark")
     dealt = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    dealt = dealt.withColumn("p", F.least("tile", "other")).withColumn("q", F.greatest("tile", "other"))
-    out = pa.schema([("cid", pa.int64()), ("linked", pa.int64())])
+    dealt = dealt.select("label", F.least("tile", "other").alias("p"), F.greatest("tile", "other").alias("q"), "tile", "cid", "copies", "items")
+    out = pa.schema([("cid", pa.int64()), ("linked", pa.int64()), ("other", pa.int64())])
 
     def count(table: pa.Table) -> pa.Table:
         cid, tile, copies = (table.column(c).to_numpy() for c in ("cid", "tile", "copies"))
-        left = np.flatnonzero(tile == table.column("p")[0].as_py())
-        right = np.flatnonzero(tile == table.column("q")[0].as_py())
+        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+        left, right = np.flatnonzero(tile == p), np.flatnonzero(tile == q)
         linked = linked_classes(table.column("items"), left, right)
-        if table.column("p")[0] == table.column("q")[0]:
+        if p == q:
             linked[np.arange(len(left)), np.arange(len(left))] = False
-            found = cid[left], linked @ copies[right]
-        else:
-            found = np.concatenate([cid[left], cid[right]]), np.concatenate([linked @ copies[right], copies[left] @ linked])
-        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], schema=out)
-
-    counted = dealt.groupBy("label", "p", "q").applyInArrow(count, "cid long, linked long")
-    return counted.groupBy("cid").agg(F.sum("linked").alias("linked"))
+        root = connected(linked, left, right, len(cid))
+        # A class of the first tile counts its links here; one of the second does where the tiles differ.
+        sums = np.zeros(len(cid), dtype=np.int64)
+        sums[left] += linked @ copies[right]
+        if p != q:
+            sums[right] += copies[left] @ linked
+        others = [None if r == k else int(cid[r]) for k, r in enumerate(root.tolist())]
+        return pa.table([pa.array(cid, pa.int64()), pa.array(sums), pa.array(others, pa.int64())], schema=out)
+
+    return dealt.groupBy("label", "p", "q").applyInArrow(count, "cid long, linked long, other long")
+
+
+def connected(linked: np.ndarray, left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` classes the first one it is connected to over the links between two tiles."""
+    root = np.arange(count)
+    while len(left) and len(right):
+        before = root.copy()
+        root[left] = np.minimum(root[left], np.where(linked, root[right][None, :], count).min(axis=1))
+        root[right] = np.minimum(root[right], np.where(linked, root[left][:, None], count).min(axis=0))
+        if (root == before).all():
+            break
+    return root
 
 
 def linked_classes(items: pa.ChunkedArray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which sets of two tiles overlap enough, as a matrix; shingles are looked at in slices of bounded number."""
-    sets = [items[int(k)].values.to_numpy() for k in np.union1d(left, right)]
+    """Which sets of two tiles overlap enough, as a matrix.
+
+    Only shingles that both tiles have can count; they are looked at in slices of bounded number.
+    """
+    if not len(left) or not len(right):  # a hash may leave a tile empty
+        return np.zeros((len(left), len(right)), dtype=bool)
+    used, same = np.union1d(left, right), np.array_equal(left, right)
+    sets = [items[int(k)].values.to_numpy() for k in used]
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     names, column = np.unique(np.concatenate(sets), return_inverse=True)
+    rows, columns = np.searchsorted(used, left), np.searchsorted(used, right)
+    on = [np.bincount(column[np.isin(used, side)[owner]], minlength=len(names)) for side in (left, right)]
+    shared = on[0] > 1 if same else (on[0] > 0) & (on[1] > 0)
+    kept = shared[column]
+    owner, column = owner[kept], (np.cumsum(shared) - 1)[column[kept]]
     order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    rows, columns = (np.searchsorted(np.union1d(left, right), side) for side in (left, right))
+    owner, column, width = owner[order], column[order], int(shared.sum())
     both = np.zeros((len(left), len(right)), dtype=np.float32)  # overlaps below 2^24 are exact
-    for first in range(0, len(names), COLUMNS):
+    for first in range(0, width, COLUMNS):
         a, b = np.searchsorted(column, [first, first + COLUMNS])
-        table = np.zeros((len(sets), min(COLUMNS, len(names) - first)), dtype=np.float32)
+        table = np.zeros((len(sets), min(COLUMNS, width - first)), dtype=np.float32)
         table[owner[a:b], column[a:b] - first] = 1
         both += table[rows] @ table[columns].T
     both = both.astype(np.int64)
+    if same:  # a set has all its own shingles, shared or not
+        both[np.arange(len(left)), np.arange(len(left))] = sizes[rows]
     union = sizes[rows][:, None] + sizes[columns][None, :] - both
     return 100 * both >= PERCENT * union

@@ -43,7 +43,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), links=True).drop("class_id")
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("class_id")
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

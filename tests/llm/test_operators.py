@@ -129,6 +129,8 @@ def test_near_duplicates_equal_brute_force(spark, odd, none, sf_dir, tile, colum
     monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "COLUMNS", columns)
     near = [" ".join(f"v{k}" if k % 97 or k == 97 * j else f"x{j}" for k in range(200)) for j in range(12)]
+    long = [" ".join(f"y{k}" for k in range(j, 4090 + 9 * j)) for j in range(6)] + [" ".join(f"y{k * 3 ** (k % 7 == 0)}" for k in range(4000))]
+    near += long  # sizes on both sides of a power of two
     more = spark.createDataFrame([(1000 + j, t) for j, t in enumerate(near)], "doc_id long, text string")
     docs = odd.select("doc_id", "text").unionAll(more).unionAll(
         spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id") + 100, "text"))
@@ -157,14 +159,14 @@ def test_near_duplicates_equal_brute_force(spark, odd, none, sf_dir, tile, colum
         if i is not None:
             least[find(k)] = min(least.get(find(k), i), i)
     want = Counter((i, len(sets[k]), least.get(find(k)), links[k]) for k, (i, _) in enumerate(rows))
-    got = jaccard.near_duplicates(docs, links=True).collect()
+    got = jaccard.near_duplicates(docs).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got) == want
     classes = {}
     for r in got:
         if r.n_shingles:
             classes.setdefault(r.class_id, set()).add(r.component_id)
     assert len(classes) == len(set(sets) - {frozenset()}) and all(len(c) == 1 for c in classes.values())
-    assert jaccard.near_duplicates(none, links=True).count() == 0
+    assert jaccard.near_duplicates(none).count() == 0
 
 
 def test_measures_and_verdicts(odd, none):
