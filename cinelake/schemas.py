@@ -7,59 +7,59 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType,
-    StringType, StructType,
+    ArrayType, BinaryType, BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType,
+    StringType, StructType, TimestampType,
 )
 
 LONG, INT, DOUBLE, TEXT, DATE = LongType(), IntegerType(), DoubleType(), StringType(), DateType()
 TEXTS, DOUBLES = ArrayType(TEXT), ArrayType(DOUBLE)
 
 
-def _struct(**columns: DataType) -> StructType:
+def struct(**columns: DataType) -> StructType:
     schema = StructType()
     for name, data_type in columns.items():
         schema.add(name, data_type)
     return schema
 
 
-MOVIES = _struct(
+MOVIES = struct(
     id=LONG, title=TEXT, vote_average=DOUBLE, vote_count=LONG, release_date=DATE, revenue=LONG,
     runtime=INT, adult=TEXT, backdrop_path=TEXT, budget=LONG, original_language=TEXT,
     original_title=TEXT, overview=TEXT, popularity=DOUBLE, poster_path=TEXT, genres=TEXT,
     production_companies=TEXT, production_countries=TEXT, spoken_languages=TEXT, keywords=TEXT)
-GENRE_TRACK = _struct(id=INT, genre_name=TEXT)
-FAVOURITES = _struct(
+GENRE_TRACK = struct(id=INT, genre_name=TEXT)
+FAVOURITES = struct(
     adult=BooleanType(), genre_ids=ArrayType(LONG), id=LONG, overview=TEXT, popularity=DOUBLE,
     release_date=TEXT, title=TEXT, vote_average=DOUBLE, vote_count=LONG)
-API_PAGE = _struct(page=INT, results=ArrayType(FAVOURITES))
-MOVIES_CLEANED = _struct(
+API_PAGE = struct(page=INT, results=ArrayType(FAVOURITES))
+MOVIES_CLEANED = struct(
     id=LONG, title=TEXT, vote_average=DOUBLE, vote_count=LONG, release_date=DATE, revenue=LONG,
     runtime=INT, adult=TEXT, budget=LONG, original_language=TEXT, original_title=TEXT,
     overview=TEXT, popularity=DOUBLE, genres=TEXT, production_companies=TEXT,
     production_countries=TEXT, keywords=TEXT)
-MOVIES_FEATURES = _struct(
+MOVIES_FEATURES = struct(
     id=LONG, popularity=DOUBLE, release_date=DATE, vote_average=DOUBLE, vote_count=LONG,
     genres=TEXTS)
-FAVOURITE_TRACK = _struct(
+FAVOURITE_TRACK = struct(
     id=LONG, title=TEXT, adult=BooleanType(), popularity=DOUBLE, overview=TEXT,
     release_date=TEXT, vote_average=DOUBLE, vote_count=LONG, genres=TEXTS)
-MY_FEATURES = _struct(
+MY_FEATURES = struct(
     id=LONG, popularity=DOUBLE, release_date=TEXT, vote_average=DOUBLE, vote_count=LONG,
     genres=TEXTS)
-MOVIES_INFOR = _struct(
+MOVIES_INFOR = struct(
     id=LONG, title=TEXT, overview=TEXT, release_date=DATE, runtime=INT, genres=TEXT)
-MOVIES_RATING = _struct(id=LONG, vote_average=DOUBLE, vote_count=LONG)
-MOVIES_GENRES = _struct(id=LONG, genres=TEXT)
-MOVIE_VECTORS = _struct(id=LONG, movie_vector=DOUBLES)
-USER_VECTOR = _struct(user_vector=DOUBLES)
-VECTOR_STATISTICS = _struct(dim=INT, n=LONG, mean=DOUBLE, m2=DOUBLE, low=DOUBLE, high=DOUBLE)
-SCORES = _struct(id=LONG, cosine_similarity=FloatType())
-INFOR_RATING = _struct(
+MOVIES_RATING = struct(id=LONG, vote_average=DOUBLE, vote_count=LONG)
+MOVIES_GENRES = struct(id=LONG, genres=TEXT)
+MOVIE_VECTORS = struct(id=LONG, movie_vector=DOUBLES)
+USER_VECTOR = struct(user_vector=DOUBLES)
+VECTOR_STATISTICS = struct(dim=INT, n=LONG, mean=DOUBLE, m2=DOUBLE, low=DOUBLE, high=DOUBLE)
+SCORES = struct(id=LONG, cosine_similarity=FloatType())
+INFOR_RATING = struct(
     id=LONG, title=TEXT, overview=TEXT, release_year=INT, runtime=INT, genres=TEXT,
     vote_average=DOUBLE)
 
-RANKING = _struct(**{f.name: f.dataType for f in INFOR_RATING}, rank=INT)
-QUALITY = _struct(checked=TEXT, rule=TEXT, column=TEXT, violations=LONG)
+RANKING = struct(**{f.name: f.dataType for f in INFOR_RATING}, rank=INT)
+QUALITY = struct(checked=TEXT, rule=TEXT, column=TEXT, violations=LONG)
 
 YEAR_COLUMN = "release_year"
 
@@ -126,14 +126,16 @@ class SchemaMismatch(ValueError):
 #: Casts that lose nothing a dataset wants to keep; a relational server's types arrive as these.
 WIDENED = {
     ("float", "double"), ("tinyint", "int"), ("smallint", "int"), ("tinyint", "bigint"),
-    ("smallint", "bigint"), ("int", "bigint"), ("timestamp", "date"), ("timestamp_ntz", "date"),
+    ("smallint", "bigint"), ("int", "bigint"), ("timestamp_ntz", "date"),
 }
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Give columns that arrive in a server's own types the types of ``schema``.
 
-    Other differences stay, for ``assert_schema`` to name.
+    A timestamp becomes the day it shows in UTC, whatever zone the session has; a reader that leaves
+    zones out (``timestamp_ntz``) keeps the server's day. Other differences stay, for
+    ``assert_schema`` to name.
     """
     wanted = {f.name: f.dataType for f in schema}
 
@@ -143,6 +145,11 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             return F.col(field.name)
         if isinstance(field.dataType, BinaryType) and target == TEXT:
             return F.decode(field.name, "UTF-8").alias(field.name)
+        if isinstance(field.dataType, TimestampType) and target == DATE:
+            zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(field.name).cast("timestamp_ntz"))
+            return zoned.cast("date").alias(field.name)
+        if isinstance(field.dataType, DecimalType) and (target == DOUBLE or (target in (LONG, INT) and field.dataType.scale == 0)):
+            return F.col(field.name).cast(target).alias(field.name)
         if (field.dataType.simpleString(), target.simpleString()) in WIDENED:
             return F.col(field.name).cast(target).alias(field.name)
         return F.col(field.name)

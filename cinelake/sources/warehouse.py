@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cinelake.operators.quality import KeyViolation, check, key_rules
 from cinelake.schemas import WAREHOUSE, assert_schema
+from cinelake.sources.declared import from_declared, to_declared
 from cinelake.sources.relational import read_table
 
 
@@ -16,7 +17,8 @@ class JdbcWarehouse:
     """Tables of a database.
 
     A load replaces a table and its definition. ``truncate`` keeps the definition, with its keys,
-    and then needs column types that the frame's own fit. ``connections`` limits how many tasks
+    and then needs column types that the frame's own fit: ``declared`` writes frames in the declared
+    types of their tables and turns them back when they are read. ``connections`` limits how many tasks
     write at once; the work before the write keeps its own tasks. ``split``, from
     ``key_range_options``, shares out the reading of a table.
     """
@@ -27,6 +29,7 @@ class JdbcWarehouse:
     connections: int | None = None
     truncate: bool = False
     split: dict[str, str] | None = None
+    declared: bool = False
 
     def write_options(self, table: str) -> dict[str, str]:
         return {
@@ -37,12 +40,15 @@ class JdbcWarehouse:
         }
 
     def save(self, df: DataFrame, table: str) -> None:
+        if self.declared:
+            df = to_declared(df, table)
         if self.connections is not None:
             df = df.repartition(self.connections)
         df.write.format("jdbc").mode("overwrite").options(**self.write_options(table)).save()
 
     def load(self, spark: SparkSession, table: str) -> DataFrame:
-        return read_table(spark, self.options, f"{self.schema}.{table}", self.split)
+        rows = read_table(spark, self.options, f"{self.schema}.{table}", self.split)
+        return from_declared(rows, table) if self.declared else rows
 
 
 @dataclass(frozen=True)

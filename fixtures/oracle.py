@@ -255,6 +255,17 @@ _PUBLISHED = " UNION ALL ".join(
         ("movies_infor", "cleaned"), ("movies_rating", "cleaned"), ("movies_genres", "cleaned"),
         ("favorite_track", "track"), ("recommendations", "complete")))
 
+_DECLARED = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, COUNT({column}) AS filled FROM {source}"
+    for table, source, columns in (
+        ("movies_infor", "cleaned", "id int, title string, overview string, release_date date, runtime int, genres array<string>"),
+        ("movies_rating", "cleaned", "id int, vote_average double, vote_count int"),
+        ("movies_genres", "cleaned", "id int, genre array<string> genres"),
+        ("favorite_track", "track", "id int, title string, adult string, popularity double, overview string, release_date date, "
+                                    "vote_average double, vote_count int, genres array<string> tags"),
+        ("recommendations", "scores", "id bigint, cosine_similarity double"))
+    for name, kind, column in ((*c.split(), c.split()[0])[:3] for c in columns.split(", ")))
+
 _SEARCH = f"""SELECT {_MODEL_COLUMNS} FROM infor_rating
   WHERE infor_rating.vote_average BETWEEN 3.0 AND 8.0 AND release_year BETWEEN 1996 AND 1999
     AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'ECONOMY') AND LIST_CONTAINS(STRING_SPLIT(genres, ','), 'PROMO')"""
@@ -296,6 +307,10 @@ ORACLES: dict[str, str] = {
            FROM (SELECT CAST(FLOOR(id / 20) AS INT) AS page FROM favourites) GROUP BY 1"""),
     "snapshot_fallback": _sql(_API_FAVOURITES),
     "warehouse_publish": _sql(_PUBLISHED),
+    "warehouse_declared": _sql(_DECLARED, _SCORES),
+    "split_predicates": _sql(
+        """SELECT 'movies' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_read_once, TRUE AS is_even FROM raw
+           UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), TRUE FROM lineitem"""),
     "model_materialisation": _sql(_VOTING),
     "drop_columns": _sql(f"SELECT {_CLEAN_COLUMNS} FROM raw"),
     "non_null_key": _sql("SELECT id, title FROM raw WHERE id IS NOT NULL"),

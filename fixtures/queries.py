@@ -7,6 +7,7 @@ vectors in long form and doubles rounded.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ from cinelake.plans import marts
 from cinelake.plans.lakehouse import Lakehouse
 from cinelake.session import scratch_folder
 from cinelake.sources import (
-    Lake, ParquetWarehouse, as_table, as_view, extract_year, extract_years, land_pages, publish, read_pages,
-    read_positional_csv, snapshot,
+    Lake, ParquetWarehouse, as_table, as_view, cut_points, cut_predicates, declared_types, extract_year, extract_years, land_pages, publish, read_pages,
+    read_positional_csv, snapshot, to_declared,
 )
 from fixtures.adapter import LAST_YEAR, REWORKED_YEAR, Inputs
 
@@ -230,6 +231,33 @@ def q_warehouse_publish(i: Inputs) -> DataFrame:
     return result
 
 
+def q_warehouse_declared(i: Inputs) -> DataFrame:
+    """Types and filled values of the five tables as their database declares them."""
+    tables = {
+        "movies_infor": marts.movies_infor(i.movies_cleaned), "movies_rating": marts.movies_rating(i.movies_cleaned),
+        "movies_genres": marts.movies_genres(i.movies_cleaned), "favorite_track": i.favorite_track, "recommendations": score(i),
+    }
+    lines = [declared_types(to_declared(df, name), name) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, lines)
+
+
+def q_split_predicates(i: Inputs) -> DataFrame:
+    """Reads split at quantiles of a key with gaps and nulls, and of one with a few heavy values."""
+    lines = []
+    for name, df, key in (("movies", i.movies_raw, "id"), ("lineitem", i.table("lineitem"), "l_linenumber")):
+        tasks = 16
+        conditions = cut_predicates(key, cut_points(df, key, tasks))
+        matched = F.array(*(F.expr(f"coalesce({c}, false)") for c in conditions))
+        hits = F.aggregate(matched, F.lit(0), lambda total, hit: total + hit.cast("int"))
+        place = F.array_position(matched, F.lit(True))
+        parts = df.groupBy(place.alias("part"), hits.alias("hits")).agg(F.count(F.lit(1)).alias("n"))
+        lines.append(parts.agg(
+            F.sum("n").alias("n_rows"), F.sum(F.when(F.col("hits") == 1, F.col("n")).otherwise(0)).alias("n_read_once"),
+            (F.max("n") <= F.sum("n") * (2 / tasks if key == "id" else 1 / 3)).alias("is_even")).select(
+            F.lit(name).alias("table_name"), "*"))
+    return lines[0].unionByName(lines[1])
+
+
 def q_model_materialisation(i: Inputs) -> DataFrame:
     """A model stored as a bucketed table, and a dashboard view on top of it."""
     model = marts.infor_rating(
@@ -522,6 +550,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "api_pages_damaged": q_api_pages_damaged,
     "snapshot_fallback": q_snapshot_fallback,
     "warehouse_publish": q_warehouse_publish,
+    "warehouse_declared": q_warehouse_declared,
+    "split_predicates": q_split_predicates,
     "model_materialisation": q_model_materialisation,
     "drop_columns": q_drop_columns,
     "non_null_key": q_non_null_key,

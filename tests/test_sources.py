@@ -3,15 +3,19 @@ import json
 import random
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from cinelake import schemas
+from cinelake.plans import marts
+from cinelake.sources import declared
 from cinelake.sources import (
-    JdbcWarehouse, extract_year, extract_years, jdbc_options, key_range_options, land_pages, read_pages, read_positional_csv,
-    snapshot, year_predicates,
+    JdbcWarehouse, cut_points, cut_points_query, cut_predicates, extract_year, extract_years, jdbc_options, key_range_options, land_pages, read_pages, read_positional_csv,
+    from_declared, snapshot, to_declared, year_predicates,
 )
+from fixtures.adapter import Inputs
 from tests.conftest import formatted_plan
 
 PAIR = StructType().add("id", LongType()).add("name", StringType())
@@ -129,12 +133,17 @@ def test_partition_domain_starts_in_1920(spark):
     assert {r.id for r in extract_years(df, 2020).collect()} == {2}
 
 
+def matches(conditions):
+    """How many conditions a row meets, as a flat expression."""
+    return F.size(F.filter(F.array(*map(F.expr, conditions)), lambda met: met))
+
+
 def test_split_years_cover_every_row_once(spark):
     rows = [(i, dt.date(1999, 1, 1) + dt.timedelta(i)) for i in range(730)]
     df = spark.createDataFrame(rows, "id bigint, release_date date")
     for splits in (1, 3, 500):
         parts = [df.where(p) for p in year_predicates(1999, 2000, splits=splits)]
-        counted = df.select(sum(F.expr(f"CAST({p} AS int)") for p in year_predicates(1999, 2000, splits=splits)).alias("n"))
+        counted = df.select(matches(year_predicates(1999, 2000, splits=splits)).alias("n"))
         assert {r.n for r in counted.collect()} == {1} and len(parts) <= 2 * splits
 
 
@@ -239,3 +248,73 @@ def test_schema_differences_are_named(spark):
     df = spark.createDataFrame([(1, 2)], "id int, extra int")
     with pytest.raises(schemas.SchemaMismatch, match="missing.*name.*unexpected.*extra.*id: int"):
         schemas.assert_schema(df, PAIR)
+
+
+def test_declared_tables_and_back(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    infor = marts.movies_infor(i.movies_cleaned)
+    odd = spark.createDataFrame([(1, None, "", None, None, "nan"), (2, "t", "o", None, 1, None), (3, "t", "o", None, 1, "a, b,")], schemas.MOVIES_INFOR)
+    track = i.favorite_track
+    for table, df in (("movies_infor", infor.unionAll(odd)), ("movies_genres", marts.movies_genres(i.movies_cleaned)), ("favorite_track", track)):
+        mapped = to_declared(df, table)
+        assert mapped.schema.simpleString() == declared.DECLARED[table].simpleString()
+        back = from_declared(mapped, table)
+        schemas.assert_schema(back, schemas.WAREHOUSE[table])
+        assert Counter(map(str, back.collect())) == Counter(map(str, df.select(back.columns).collect()))
+    assert to_declared(odd, "movies_infor").where("id = 1").first().genres == []
+    blank = track.limit(1).withColumn("release_date", F.lit(" "))
+    assert to_declared(blank, "favorite_track").first().release_date is None
+    for column, value in (("release_date", F.lit("soon")), ("id", F.lit(2 ** 40))):
+        with pytest.raises(Exception, match="CAST"):
+            to_declared(track.limit(1).withColumn(column, value), "favorite_track").collect()
+
+
+def test_a_declared_warehouse_maps_both_ways(spark, sf_dir, monkeypatch):
+    """The JDBC calls are replaced by a frame that keeps what was written."""
+    warehouse = JdbcWarehouse(jdbc_options("jdbc:x://h/d"), truncate=True, declared=True)
+    rating = marts.movies_rating(Inputs(spark, sf_dir).movies_cleaned)
+    mapped = to_declared(rating, "movies_rating")
+    monkeypatch.setattr("cinelake.sources.warehouse.read_table", lambda *_: mapped)
+    back = warehouse.load(spark, "movies_rating")
+    schemas.assert_schema(back, schemas.MOVIES_RATING)
+    assert back.count() == rating.count()
+    assert warehouse.write_options("movies_rating")["truncate"] == "true"
+
+
+@pytest.mark.parametrize("keys", [
+    [None, 1, 2, 3], [5] * 90 + list(range(10)), list(range(100)) + [10 ** 9] * 3, [], [None, None], [7]])
+def test_split_reads_cover_every_row_once(spark, keys):
+    """The statement for the cuts runs in another database; the conditions there and here."""
+    database = duckdb.connect()
+    database.execute("CREATE TABLE t (k BIGINT, s VARCHAR)")
+    if keys:
+        database.executemany("INSERT INTO t VALUES (?, ?)", [(k, None if k is None else f"it's {k:09d}") for k in keys])
+    df = spark.createDataFrame([(k, None if k is None else f"it's {k:09d}") for k in keys], "k long, s string")
+    for key in ("k", "s"):
+        for tasks in (1, 2, 4, 200):
+            found = [r[0] for r in database.execute(cut_points_query("t", key, tasks)).fetchall()]
+            conditions = cut_predicates(key, found[1:])
+            assert len(conditions) <= tasks
+            counts = [database.execute(f"SELECT COUNT(*) FROM t WHERE {c}").fetchone()[0] for c in conditions]
+            assert sum(counts) == len(keys)
+            hits = df.select(matches(conditions).alias("n"))
+            assert {r.n for r in hits.collect()} <= {1}
+            distinct = len(set(keys) - {None})
+            if distinct == len(keys) and tasks <= len(keys):
+                assert max(counts) <= -(-len(keys) // tasks) + 1
+    assert cut_points(df, "k", 1) == []
+    assert len(cut_predicates("k", cut_points(df, "k", 4))) <= 4
+
+
+def test_server_dates_do_not_follow_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = "SELECT timestamp'2001-02-03 00:00:00 UTC' AS release_date, CAST(1.25 AS DECIMAL(9, 3)) AS popularity, CAST(7 AS DECIMAL(20, 0)) AS id"
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            row = schemas.conform(spark.sql(rows), schemas.MOVIES).first()
+            assert (str(row.release_date), row.popularity, row.id) == ("2001-02-03", 1.25, 7)
+            local = spark.sql("SELECT timestamp_ntz'2001-02-03 00:00:00' AS release_date")
+            assert str(schemas.conform(local, schemas.MOVIES).first().release_date) == "2001-02-03"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
