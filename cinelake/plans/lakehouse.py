@@ -17,6 +17,7 @@ from cinelake import schemas
 from cinelake.operators import clean, features, quality, recommend, sparse, tracks
 from cinelake.operators.features import DEFAULT, VectorSpec
 from cinelake.plans import marts
+from cinelake.plans.views import publish_views
 from cinelake.sources import Lake, Profile, Warehouse, as_view, extract_years, publish
 
 Years = Iterable[int] | None
@@ -27,9 +28,11 @@ class Lakehouse:
         self, spark: SparkSession, root: str, warehouse: Warehouse, last_year: int,
         first_year: int = K.FIRST_YEAR, spec: VectorSpec = DEFAULT, trim_tags: bool = False,
         fit_by_year: bool = True, shared_space: bool = False, exclude_seen: bool = False,
+        dashboards: str | None = None,
     ) -> None:
         """``fit_by_year=False`` fits all years together, ``shared_space`` gives the profile the
-        statistics of the whole catalogue, and ``exclude_seen`` leaves favourites unscored."""
+        statistics of the whole catalogue, and ``exclude_seen`` leaves favourites unscored.
+        ``dashboards`` names a catalogue database whose views outlive the session."""
         self.spark = spark
         self.lake = Lake(spark, root)
         self.warehouse = warehouse
@@ -39,6 +42,7 @@ class Lakehouse:
         self.fit_by_year = fit_by_year
         self.shared_space = shared_space
         self.exclude_seen = exclude_seen
+        self.dashboards = dashboards
 
     # Bronze: sources as they are.
 
@@ -53,6 +57,43 @@ class Lakehouse:
             films = films.where(F.col(schemas.YEAR_COLUMN).isin(years))
         return self.lake.write(films, "bronze.movies")
 
+    def bronze_movies_moved(self, movies: DataFrame, years: Iterable[int]) -> tuple[Profile, list[int]]:
+        """Load ``years`` and take their films out of the years they were in before.
+
+        A film whose year was corrected arrives in its new year, while a load of that year alone
+        leaves the old copy where it is. The stored index of ids and years names the older
+        partitions that hold such copies; only those are read and written again. Returns the
+        profile of the load and every year whose later datasets need to be reworked.
+        """
+        stored = self.lake.years("bronze.movies")
+        profile = self.bronze_movies(movies, years)
+        loaded = sorted(set(years) & set(self.lake.years("bronze.movies")))
+        arrived = self.lake.read("bronze.movies", loaded).where("id IS NOT NULL").select("id").distinct()
+        known = self._film_years(sorted(set(stored) - set(loaded)))
+        # One row per year at most.
+        older = sorted(r[0] for r in known.join(arrived, "id", "left_semi").select(schemas.YEAR_COLUMN).distinct().collect())
+        if older:
+            kept = self.lake.read("bronze.movies", older).join(arrived, "id", "left_anti")
+            left = {r[0] for r in kept.select(schemas.YEAR_COLUMN).distinct().collect()}
+            self.lake.write(kept, "bronze.movies")
+            self.lake.drop_years("bronze.movies", set(older) - left)
+        self.bronze_movie_years(sorted({*loaded, *older}))
+        return profile, sorted({*loaded, *older})
+
+    def _film_years(self, years: list[int]) -> DataFrame:
+        """The index of ``years``, first worked out for those that were loaded without it."""
+        missing = sorted(set(years) - set(self.lake.years("bronze.movie_years")))
+        if missing:
+            self.bronze_movie_years(missing)
+        return self.lake.read("bronze.movie_years", years)
+
+    def bronze_movie_years(self, years: Iterable[int]) -> Profile:
+        """The index of ids, yearly like the films: two narrow columns of them."""
+        present = set(self.lake.years("bronze.movies"))
+        self.lake.drop_years("bronze.movie_years", set(years) - present)
+        films = self.lake.read("bronze.movies", sorted(set(years) & present))
+        return self.lake.write(films.select("id", schemas.YEAR_COLUMN), "bronze.movie_years", arrives_by_year=True)
+
     def bronze_genre_track(self, genre_track: DataFrame) -> Profile:
         return self.lake.write(schemas.conform(genre_track, schemas.GENRE_TRACK), "bronze.genre_track")
 
@@ -153,6 +194,8 @@ class Lakehouse:
     def dashboard_views(self) -> None:
         as_view(self.voting_distribution(), "voting_distribution")
         as_view(self.monthly_release_movies(), "monthly_release_movies")
+        if self.dashboards:
+            publish_views(self.lake, self.dashboards)
 
     def infor_rating(self) -> DataFrame:
         return self.lake.read("marts.infor_rating")

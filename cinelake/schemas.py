@@ -27,6 +27,7 @@ MOVIES = struct(
     runtime=INT, adult=TEXT, backdrop_path=TEXT, budget=LONG, original_language=TEXT,
     original_title=TEXT, overview=TEXT, popularity=DOUBLE, poster_path=TEXT, genres=TEXT,
     production_companies=TEXT, production_countries=TEXT, spoken_languages=TEXT, keywords=TEXT)
+MOVIE_YEARS = struct(id=LONG)
 GENRE_TRACK = struct(id=INT, genre_name=TEXT)
 FAVOURITES = struct(
     adult=BooleanType(), genre_ids=ArrayType(LONG), id=LONG, overview=TEXT, popularity=DOUBLE,
@@ -89,6 +90,7 @@ DATASETS = {
     f"{d.layer}.{d.table}": d
     for d in (
         Dataset("bronze", "movies", MOVIES, by_year=True),
+        Dataset("bronze", "movie_years", MOVIE_YEARS, by_year=True),
         Dataset("bronze", "genre_track", GENRE_TRACK),
         Dataset("bronze", "favorite_movies", FAVOURITES),
         Dataset("silver", "movies_cleaned", MOVIES_CLEANED, by_year=True),

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -40,6 +41,17 @@ def measured(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def observed(counted: Observation) -> dict:
+    """What was counted while a frame was written; empty if Spark found out on the way that it has no rows.
+
+    Adaptive execution then replaces the whole plan, its counters included.
+    """
+    try:
+        return counted.get
+    except Py4JJavaError:
+        return {}
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

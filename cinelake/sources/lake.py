@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cinelake.functions import interleaved
 from cinelake.schemas import DATASETS, YEAR_COLUMN, assert_schema
+from cinelake.session import observed
 
 POINTER = "_current-"
 
@@ -83,7 +84,7 @@ class Lake:
             # A dynamic overwrite of no rows touches no partition.
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 YEAR_COLUMN).parquet(self.path(name))
-            n = counted.get["rows"]
+            n = observed(counted).get("rows", 0)
             return Profile(name, n, columns, written=n > 0)
         versions = self._numbered(self.path(name), POINTER)
         number = max(versions, default=0) + 1
@@ -94,7 +95,7 @@ class Lake:
         except Exception:
             self._delete(path)
             raise
-        n = counted.get["rows"]
+        n = observed(counted).get("rows", 0)
         written = n > 0 or not dataset.keeps_last
         if written:
             self._point(self.path(name), number, staged)
@@ -112,15 +113,17 @@ class Lake:
         where, files = self._files(path)
         files.delete(where, True)
 
-    def _numbered(self, path: str, prefix: str) -> dict[int, str]:
-        """Number and name of the entries of a folder that begin with ``prefix`` and eight digits."""
+    def _entries(self, path: str, prefix: str) -> list[str]:
+        """What follows ``prefix`` in the names of a folder that begin with it."""
         where, files = self._files(path)
         if not files.exists(where):
-            return {}
+            return []
         names = [entry.getPath().getName() for entry in files.listStatus(where)]
-        return {
-            int(name[len(prefix):len(prefix) + 8]): name for name in names
-            if name.startswith(prefix) and name[len(prefix):len(prefix) + 8].isdigit()}
+        return [name[len(prefix):] for name in names if name.startswith(prefix)]
+
+    def _numbered(self, path: str, prefix: str) -> dict[int, str]:
+        """Number and name of the entries of a folder that begin with ``prefix`` and eight digits."""
+        return {int(rest[:8]): prefix + rest for rest in self._entries(path, prefix) if rest[:8].isdigit()}
 
     def _point(self, path: str, number: int, version: str) -> None:
         """Make ``version`` the current one: a finished pointer file takes a name that is still free."""
@@ -154,6 +157,16 @@ class Lake:
             return f"{path}/{version}"
         return path
 
+    def years(self, name: str) -> list[int]:
+        """The years a yearly dataset holds, from its folders."""
+        return sorted(map(int, self._entries(self.path(name), f"{YEAR_COLUMN}=")))
+
+    def drop_years(self, name: str, years: Iterable[int]) -> None:
+        """Remove whole years, for which an overwrite has no rows to bring."""
+        for year in years:
+            self._delete(f"{self.path(name)}/{YEAR_COLUMN}={year}")
+        self.spark.catalog.refreshByPath(self.path(name))
+
     def read(self, name: str, years: Iterable[int] | None = None) -> DataFrame:
         """A dataset, cut to ``years`` by partition pruning when they are given."""
         dataset = DATASETS[name]

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from cinelake import constants as K
 from cinelake import schemas
+from cinelake.session import observed
 
 CORRUPT = "_corrupt"
 MALFORMED = "is not the API's JSON"
@@ -96,10 +97,11 @@ def land_pages(
     stored.observe(
         counted, F.count_if(~F.col("damaged")).alias("good"), F.count_if("damaged").alias("bad")
     ).write.mode("overwrite").partitionBy("damaged").parquet(folder)
+    found = observed(counted)
     kept = spark.read.schema(stored.schema).parquet(folder)
     return LandedPages(
         page_results(kept.where(~F.col("damaged")), page),
-        kept.where("damaged").select("file", "body", "damage"), counted.get["good"], counted.get["bad"])
+        kept.where("damaged").select("file", "body", "damage"), found.get("good", 0), found.get("bad", 0))
 
 
 def snapshot(df: DataFrame, backup: str) -> DataFrame:

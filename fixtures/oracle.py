@@ -312,6 +312,9 @@ ORACLES: dict[str, str] = {
         """SELECT 'movies' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_read_once, TRUE AS is_even FROM raw
            UNION ALL SELECT 'lineitem', COUNT(*), COUNT(*), TRUE FROM lineitem"""),
     "model_materialisation": _sql(_VOTING),
+    "catalogue_views": _sql(_VOTING),
+    "moved_film": _sql(
+        "SELECT title, id, CAST(CASE WHEN id % 10 = 3 THEN 1998 ELSE release_year END AS INT) AS release_year FROM raw"),
     "drop_columns": _sql(f"SELECT {_CLEAN_COLUMNS} FROM raw"),
     "non_null_key": _sql("SELECT id, title FROM raw WHERE id IS NOT NULL"),
     "mean_impute_by_year": _sql(

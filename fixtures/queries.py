@@ -22,6 +22,7 @@ from cinelake.operators import clean, features, quality, recommend, sparse, trac
 from cinelake.operators.dedupe import first_per_key
 from cinelake.plans import marts
 from cinelake.plans.lakehouse import Lakehouse
+from cinelake.plans.views import publish_views
 from cinelake.session import scratch_folder
 from cinelake.sources import (
     Lake, ParquetWarehouse, as_table, as_view, cut_points, cut_predicates, declared_types, extract_year, extract_years, land_pages, publish, read_pages,
@@ -270,6 +271,30 @@ def q_model_materialisation(i: Inputs) -> DataFrame:
     return i.spark.table(view)
 
 
+def q_catalogue_views(i: Inputs) -> DataFrame:
+    """Views of the catalogue, defined over one version of the model and read after the next, by another session."""
+    folder = scratch_folder(i.spark, "dashboards")
+    lake, database = Lake(i.spark, f"{folder}/lake"), "dashboards_" + folder.rsplit("-", 1)[1]
+    infor = marts.movies_infor(i.movies_cleaned)
+    model = marts.infor_rating(infor, marts.movies_rating(i.movies_cleaned))
+    lake.write(infor, "gold.movies_infor")
+    lake.write(model.limit(10), "marts.infor_rating")
+    publish_views(lake, database)
+    lake.write(model, "marts.infor_rating")
+    publish_views(lake, database)
+    return i.spark.newSession().table(f"{database}.voting_distribution")
+
+
+def q_moved_film(i: Inputs) -> DataFrame:
+    """All years are loaded, then one year is loaded again with films that came from others."""
+    house = Lakehouse(
+        i.spark, scratch_folder(i.spark, "moved"), ParquetWarehouse("unused"), last_year=LAST_YEAR)
+    house.bronze_movies(i.movies_raw)
+    day = F.when(F.col("id") % 10 == 3, F.lit(f"{REWRITTEN_YEAR}-06-15").cast("date")).otherwise(F.col("release_date"))
+    house.bronze_movies_moved(i.movies_raw.withColumn("release_date", day), [REWRITTEN_YEAR])
+    return house.lake.read("bronze.movies").select("title", "id", "release_year")
+
+
 # Cleaning
 
 def q_drop_columns(i: Inputs) -> DataFrame:
@@ -553,6 +578,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "warehouse_declared": q_warehouse_declared,
     "split_predicates": q_split_predicates,
     "model_materialisation": q_model_materialisation,
+    "catalogue_views": q_catalogue_views,
+    "moved_film": q_moved_film,
     "drop_columns": q_drop_columns,
     "non_null_key": q_non_null_key,
     "mean_impute_by_year": q_mean_impute,

@@ -88,6 +88,15 @@ def test_empty_frames_are_not_written(spark, tmp_path):
     assert [p.name for p in (tmp_path / "bronze").iterdir() if "genre" in p.name] == ["genre_track"]
 
 
+def test_a_frame_that_turns_out_empty_is_counted_as_such(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    genres = spark.createDataFrame([(1, "a")], schemas.GENRE_TRACK)
+    lake.write(genres, "bronze.genre_track")
+    nothing = genres.join(lake.read("bronze.genre_track").select("id"), "id", "left_anti")
+    profile = lake.write(nothing, "bronze.genre_track")
+    assert (profile.row_count, profile.written) == (0, False)
+
+
 def test_a_failed_write_keeps_the_old_data(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     genres = spark.createDataFrame([(1, "a")], schemas.GENRE_TRACK)
@@ -377,3 +386,48 @@ def test_lakehouse_options(spark, sf_dir, tmp_path):
     before = vectors()
     house.gold_movies_vector(years=[1998])  # an unchanged year changes nothing
     assert vectors() == before
+
+
+def test_views_outlive_a_session_and_follow_a_reload(spark, sf_dir, tmp_path):
+    i = Inputs(spark, sf_dir)
+    house = Lakehouse(
+        spark, f"{tmp_path}/lake", ParquetWarehouse(f"{tmp_path}/wh"), last_year=LAST_YEAR, dashboards="dash_test")
+    house.run(i.movies_raw, i.genre_track, i.favourites)
+    other = spark.newSession()
+    try:
+        for view, frame in (("voting_distribution", house.voting_distribution()), ("monthly_release_movies", house.monthly_release_movies())):
+            assert not [t for t in other.catalog.listTables() if t.name == view and t.isTemporary]
+            rows = [tuple(r) for r in frame.collect()]
+            assert [tuple(r) for r in other.table(f"dash_test.{view}").collect()] == rows and rows
+        kept = house.infor_rating().where("release_year = 1996")
+        house.lake.write(kept, "marts.infor_rating")
+        house.dashboard_views()
+        other.catalog.refreshTable("dash_test.infor_rating")
+        for session in (other, spark.newSession()):
+            assert {r.release_year for r in session.table("dash_test.voting_distribution").collect()} == {1996}
+    finally:
+        spark.sql("DROP DATABASE dash_test CASCADE")
+
+
+def test_a_film_that_changes_its_year_is_in_one_place(spark, tmp_path):
+    house = Lakehouse(spark, str(tmp_path), ParquetWarehouse("unused"), first_year=1980, last_year=2000)
+    movies = some_films(spark).drop("release_year")
+
+    def places():
+        return {(r.id, r.release_year) for r in house.lake.read("bronze.movies").collect()}
+
+    house.bronze_movies(movies)
+    moved = movies.where("year(release_date) = 1992 OR id = 4").withColumn("release_date", F.lit(dt.date(1992, 3, 1)))
+    profile, years = house.bronze_movies_moved(moved, [1992])
+    assert (profile.row_count, years) == (11, [1991, 1992])
+    assert places() == {(n, 1992 if n == 4 else 1990 + n % 3) for n in range(30)}
+    assert {(r.id, r.release_year) for r in house.lake.read("bronze.movie_years").collect()} == places()
+    # Every film of a year leaves it; a film without id, and one of a year outside the load, change nothing.
+    rest = movies.where("year(release_date) = 1990").withColumn("release_date", F.lit(dt.date(1985, 1, 1)))
+    odd = movies.where("id = 1").withColumn("id", F.lit(None).cast("long")).withColumn("release_date", F.lit(dt.date(1985, 1, 1)))
+    assert house.bronze_movies_moved(rest.unionAll(odd).unionAll(movies.where("id = 2")), [1985])[1] == [1985, 1990]
+    assert house.lake.years("bronze.movies") == [1985, 1991, 1992] == house.lake.years("bronze.movie_years")
+    assert {y for n, y in places() if n is not None and n % 3 == 0} == {1985}
+    assert len(places()) == 31
+    assert house.bronze_movies_moved(movies.where("false"), [1991])[1] == [1991]
+    assert len(places()) == 31
