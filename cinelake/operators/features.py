@@ -1,8 +1,8 @@
 """Feature vectors: scaled numbers followed by TF-IDF of hashed tags.
 
 All years are fitted in one job. A narrow aggregate, combined on the map side, yields one row of
-statistics per year. They are computed first, so that Spark knows their size and broadcasts them as
-long as they are few; every film is turned into its vector by plain column arithmetic.
+statistics per year, which meets the films of its year without moving them; every film is turned
+into its vector by plain column arithmetic.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake.functions import calendar_year, elements, product, split_tags
+from cinelake.operators.clean import per_year
 from cinelake.schemas import MOVIES_FEATURES, MY_FEATURES, YEAR_COLUMN
-from cinelake.session import measured
 
 INPUTS = "inputs"
 FACTORS = "factors"
@@ -138,14 +138,14 @@ def fit(hashed: DataFrame, by: str | None = YEAR_COLUMN, spec: VectorSpec = DEFA
 
 def transform(
     hashed: DataFrame, stats: DataFrame, by: str | None = YEAR_COLUMN,
-    output: str = "movie_vector",
+    output: str = "movie_vector", width: int = DEFAULT.width,
 ) -> DataFrame:
-    """``(id, release_year, vector)``: inputs times the factors of their group."""
+    """``(id, release_year, vector)``: inputs times the factors, ``width`` of them, of their group."""
     if by is None:
         fitted = hashed.withColumn(FACTORS, stats.select(FACTORS).scalar())
         fitted = fitted.where(F.col(FACTORS).isNotNull())
     else:
-        fitted = hashed.join(measured(stats.select(by, FACTORS), "factors"), by)
+        fitted = hashed.join(per_year(stats.select(by, FACTORS), by, width), by)
     return fitted.select(
         "id", YEAR_COLUMN, product(F.col(INPUTS), F.col(FACTORS)).alias(output))
 
@@ -156,7 +156,7 @@ def fit_vectors(
 ) -> DataFrame:
     """Vectors of all complete films, fitted within ``by`` (``None``: over all films at once)."""
     hashed = hashed_features(features, spec)
-    return transform(hashed, fit(hashed, by, spec), by, output)
+    return transform(hashed, fit(hashed, by, spec), by, output, spec.width)
 
 
 def _means(column: str, width: int) -> Column:

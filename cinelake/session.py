@@ -30,17 +30,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-def measured(df: DataFrame, purpose: str) -> DataFrame:
-    """Statistics of groups, computed once into the shared scratch folder.
-
-    Spark then knows how large they are when it plans the join that brings them back to their rows:
-    few groups are broadcast and the rows stay where they are, very many are joined by shuffle.
-    """
-    folder = scratch_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def observed(counted: Observation) -> dict:
     """What was counted while a frame was written; empty if Spark found out on the way that it has no rows.
 
