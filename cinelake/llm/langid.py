@@ -28,7 +28,8 @@ TRAINING_ROWS = 6000
 INDEPENDENT = 60
 #: Weight of the level above in smoothing, in pages.
 SMOOTHING = 4.0
-HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+RAW = re.compile(r"(script|style)\b", re.I)
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 
@@ -44,6 +45,39 @@ class Trigrams(dict):
         return value
 
 
+def visible(markup: str | None) -> str:
+    """The text of a page with a blank for every tag, comment, script and style sheet.
+
+    One scan: what has no end anywhere behind is looked for once. A comment, script or style sheet
+    without end hides its opening mark alone, and a mark that is never closed is text.
+    """
+    if not markup:
+        return ""
+    out, at, endless = [], 0, set()
+
+    def end(name: str, find) -> int:
+        place = -1 if name in endless else find()
+        if place < 0:
+            endless.add(name)
+        return place
+
+    while True:
+        begin = markup.find("<", at)
+        if begin < 0 or (shut := end(">", lambda: markup.find(">", begin))) < 0:
+            out.append(markup[at:])
+            return "".join(out)
+        out.append(markup[at:begin])
+        out.append(" ")
+        past = shut + 1
+        if raw := RAW.match(markup, begin + 1):
+            name = raw[1].lower()
+            found = None if name in endless else CLOSING[name].search(markup, past)
+            past = past if end(name, lambda: found.end() if found else -1) < 0 else found.end()
+        elif markup.startswith("!--", begin + 1) and (place := end("-->", lambda: markup.find("-->", begin + 4))) >= 0:
+            past = place + 3
+        at = past
+
+
 def trigram_counts(text: str | None, cache: Trigrams) -> np.ndarray:
     found = [b for w in (text or "").lower().split() for b in cache[w]]
     return np.array(found, dtype=np.int64)
@@ -85,7 +119,7 @@ def evidence(pages: DataFrame, names: list[str], rates: np.ndarray, id: str, url
 
         def rows():
             for key, address, markup in table_rows(parts, "id", "url", "html"):
-                found = trigram_counts(HIDDEN.sub(" ", markup or ""), cache)
+                found = trigram_counts(visible(markup), cache)
                 logs = np.zeros(len(names))
                 if len(found):
                     logs = shared.value[:, found].mean(axis=1) * min(len(found), INDEPENDENT)

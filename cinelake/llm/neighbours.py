@@ -60,6 +60,12 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def ranged(vectors: np.ndarray) -> np.ndarray:
+    """Rows brought by a power of two to where squares neither vanish nor overflow: cosines keep every bit."""
+    exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))[1]
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def centres(sample: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means of unit vectors."""
     draw = np.random.default_rng(SEED)
@@ -204,6 +210,7 @@ def nearest(vectors: DataFrame, every: int, k: int = 5, id: str = "vec_id", vect
         turned = rotation(held.shape[1])
         codes, length, inner = encode(unit(held), centre, turned)
         floors = right.column("floor").to_numpy()
+        held, asking = ranged(held), ranged(asking)
         norm_held, norm_asking = np.sqrt((held * held).sum(axis=1)), np.sqrt((asking * asking).sum(axis=1))
         found = []
         for low in range(0, len(own), 256):

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -311,6 +312,42 @@ def test_groups_of_queries_and_rows_are_bounded(spark, tmp_path, monkeypatch):
         assert got[q] == np.argsort(-score)[:5].tolist()
 
 
+def test_scores_of_tiny_and_huge_vectors(spark, tmp_path):
+    draw = np.random.default_rng(4)
+    rows = draw.normal(size=(400, 6)) * 10.0 ** draw.integers(-200, 200, 400)[:, None]
+    rows[:3] = [[1, 50, 0, 0, 0, 0], [1e-200, 1e-200, 0, 0, 0, 0], [1e300, -1e300, 1e-300, 0, 0, 0]]
+    pq.write_table(pa.table({"vec_id": pa.array(range(400)), "embedding": pa.array(list(rows), pa.list_(pa.float64()))}), str(tmp_path / "v.parquet"))
+    got = {}
+    for r in neighbours.nearest(spark.read.parquet(str(tmp_path / "v.parquet")), every=10).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert -1.0000001 <= r.score <= 1.0000001
+    fine = rows / np.abs(rows).max(axis=1, keepdims=True)
+    fine /= np.sqrt((fine ** 2).sum(axis=1, keepdims=True))
+    for q, found in got.items():
+        score = fine @ fine[q]
+        score[q] = -2
+        want = np.argsort(-score, kind="stable")[:5]
+        assert [i for i, _ in found] == want.tolist()
+        np.testing.assert_allclose([x for _, x in found], score[want], atol=1e-12)
+
+
+@pytest.mark.parametrize("markup, text", [
+    ("<p>a</p>b", " a b"), ("a<script>x<b>y</b></script >c", "a c"), ("a<STYLE q=1>x</style>b<!-- <i> -->c", "a b c"),
+    ("a<!-- never <b>ends", "a ends"), ("a<script>var x", "a var x"), ("a < b", "a < b"), ("", ""), (None, ""), ("<scripted>x</scripted>", " x "),
+    ("a<!-->b-->c", "a c"), ("<script>a</style></script>b", " b"),
+])
+def test_visible_text(markup, text):
+    assert langid.visible(markup) == text
+
+
+@pytest.mark.parametrize("piece", ["<", "<script>", "<!--", "<a>", "<style><!--", "< >", "<script"])
+def test_a_page_of_marks_takes_seconds(piece):
+    page = piece * (5_000_000 // len(piece))
+    begin = time.monotonic()
+    langid.visible(page)
+    assert time.monotonic() - begin < 10
+
+
 def test_language_of_pages(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
