@@ -39,8 +39,9 @@ def budgets(leaves: DataFrame, total: Column, weights: DataFrame | None = None,
     """``leaves`` (levels..., ``tokens``) with a ``budget`` each, down from ``total`` tokens.
 
     ``weights`` has one row per leaf with a column ``<level>_weight`` per level; siblings weigh
-    alike without it. All rows here are per leaf, few beside the documents; siblings are filled in the order of
-    supply per weight, the closed form of raising a common level until the budget is used.
+    alike without it, and a leaf without a row weighs 1. All rows here are per leaf, few beside the documents; siblings are
+    filled in the order of supply per weight, the closed form of raising a common level until the budget is used. Budgets
+    are whole tokens and add up to the total, or to all there is to supply.
     """
     own = leaves.withColumn("supply", F.col("tokens") * epochs)
     if weights is not None:
@@ -67,16 +68,37 @@ def budgets(leaves: DataFrame, total: Column, weights: DataFrame | None = None,
         raised = raised.withColumn("_common", F.min(F.when(~F.col("_limited"), F.struct(F.col("supply") / F.col("w"), F.col(level), F.col("_level").alias("at")))).over(every).getField("at"))
         granted = raised.select(*path, F.when(F.col("_common").isNull(), F.col("supply").cast("double")).otherwise(
             F.least(F.col("supply").cast("double"), F.col("_common") * F.col("w"))).alias("granted"))
-    return leaves.join(granted.select(*levels, F.floor(F.col("granted") + 1e-6).cast("long").alias("budget")), list(levels))
+    # Whole tokens first; those that the fractions add up to go to the largest fractions, one each. One task ranks all
+    # leaves here, as one takes all siblings of a node above: both are bounded by leaves, never by documents.
+    cut = leaves.join(granted, list(levels)).withColumn("_floor", F.floor(F.col("granted") + 1e-6).cast("long"))
+    every = Window.partitionBy(F.lit(0))
+    goal = F.least(total.cast("long"), F.sum(F.col("tokens") * epochs).over(every))
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy((F.col("granted") - F.col("_floor")).desc(), *levels))
+    cut = cut.withColumn("_left", goal - F.sum("_floor").over(every)).withColumn("_place", place)
+    more = (F.col("_place") <= F.col("_left")) & (F.col("_floor") < F.col("tokens") * epochs)
+    return cut.select(*leaves.columns, (F.col("_floor") + more.cast("long")).alias("budget"))
+
+
+def tempered(leaves: DataFrame, alpha: float, levels: tuple[str, ...] = LEVELS) -> DataFrame:
+    """Target weights of every node: its tokens to the power of ``alpha``.
+
+    At 1 every node keeps its share, at 0 siblings weigh alike; between, small ones are raised.
+    """
+    out = leaves.select(*levels, "tokens")
+    for depth, level in enumerate(levels):
+        own = F.sum("tokens").over(Window.partitionBy(*levels[:depth + 1]))
+        out = out.withColumn(f"{level}_weight", F.pow(own.cast("double"), F.lit(alpha)))
+    return out.drop("tokens")
 
 
 def mix(docs: DataFrame, total: int | None = None, weights: DataFrame | None = None, domain: Column | None = None,
         tokens: Column | None = None, id: str = "doc_id", text: str = "text", lang: str = "lang",
-        source: str = "source", epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
+        source: str = "source", epochs: int = EPOCHS, seed: str = SEED, alpha: float | None = None) -> DataFrame:
     """(doc_id, epoch, domain, lang, source, content, n_tokens, taken): every document and epoch that is chosen.
 
     ``content`` is a hash of the text, which tells texts under one id apart.
-    ``total`` is the token budget, all tokens there are by default. ``taken`` tokens of the document
+    ``total`` is the token budget, all tokens there are by default. ``weights`` are target weights as in ``budgets``;
+    without them ``alpha`` derives some by ``tempered``. ``taken`` tokens of the document
     count for the budget, fewer than it has for the one document per leaf that the budget cuts.
     Null languages and sources form leaves of their own, under the empty name. A text without
     tokens is not chosen. Repeated rows are chosen independently of their number of copies: rows equal in id and text
@@ -91,6 +113,8 @@ def mix(docs: DataFrame, total: int | None = None, weights: DataFrame | None = N
     rows = stored(rows, "mix")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     goal = F.lit(total if total is not None else (leaves.agg(F.sum("tokens")).first()[0] or 0))
+    if weights is None and alpha is not None:
+        weights = tempered(leaves, alpha)
     plan = stored(budgets(leaves, goal, weights, LEVELS, epochs), "budgets").withColumn(
         "whole", F.least(F.floor(F.col("budget") / F.col("tokens")), F.lit(epochs)).cast("int"))
     plan = plan.withColumn("rest", F.when(F.col("whole") < epochs, F.col("budget") - F.col("whole") * F.col("tokens")).otherwise(0))

@@ -39,7 +39,8 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    """Target weights by the square root of each node's tokens, domain, language and source alike."""
+    return mixing.mix(table(spark, sf_dir, "documents"), alpha=0.5)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -218,6 +219,80 @@ def test_mixing_keeps_budgets_and_moves_shortages_to_siblings(spark, odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def shared_out(tree, total, supply, weight):
+    """Budgets by plain recursion: a level is raised until the budget is used, nobody gets more than its supply."""
+    def below(path):
+        return [leaf for leaf in tree if leaf[:len(path)] == path]
+
+    out = {}
+
+    def give(path, grant):
+        if len(path) == 3:
+            out[path] = grant
+            return
+        children = sorted({leaf[:len(path) + 1] for leaf in below(path)})
+        room = {c: sum(supply[leaf] for leaf in below(c)) for c in children}
+        open_, left, got = set(children), grant, {}
+        while open_:
+            level = left / sum(weight(c) for c in open_)
+            full = [c for c in open_ if room[c] <= level * weight(c)]
+            if not full:
+                got.update({c: level * weight(c) for c in open_})
+                break
+            for c in full:
+                got[c] = room[c]
+                left -= room[c]
+                open_.remove(c)
+        for c in children:
+            give(c, min(got[c], room[c]))
+
+    give((), min(total, sum(supply.values())))
+    whole = {leaf: int(np.floor(x + 1e-6)) for leaf, x in out.items()}
+    left = min(total, sum(supply.values())) - sum(whole.values())
+    for leaf in sorted(out, key=lambda leaf: (-(out[leaf] - whole[leaf]), leaf))[:left]:
+        whole[leaf] += whole[leaf] < supply[leaf]
+    return whole
+
+
+@pytest.mark.parametrize("alpha, share", [(None, 1.0), (0.5, 1.0), (0.3, 0.37), (1.0, 2.2), (0.5, 99.0)])
+def test_mixing_equals_brute_force(spark, alpha, share):
+    draw = np.random.default_rng(11)
+    rows = []
+    for k in range(400):
+        size = int(draw.integers(0, 30) ** 1.5)
+        rows.append((None if k % 41 == 0 else k // 2, " ".join(draw.choice(["x", "y", "z"], size)) if k % 37 else None,
+                     str(draw.choice(["en", "fr", "de"], p=[0.8, 0.15, 0.05])), None if k % 29 == 0 else f"s{int(draw.integers(0, 9) ** 2 // 9)}"))
+    rows += rows[:7] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    found = mixing.mix(docs, total=int(share * sum(len(split(t)) for _, t, _, _ in rows)), alpha=alpha).collect()
+    leaf = lambda lang, source: (f"domain{zlib.crc32((source or '').encode()) % 4}", lang, source or "")
+    members = {}
+    for i, t, lang, source in rows:
+        if split(t):
+            members.setdefault(leaf(lang, source), []).append((i, t))
+    tokens = {k: sum(len(split(t)) for _, t in v) for k, v in members.items()}
+    total = int(share * sum(tokens.values()))
+    weight = (lambda c: 1.0) if alpha is None else (lambda c: sum(t for k, t in tokens.items() if k[:len(c)] == c) ** alpha)
+    want = shared_out(sorted(members), total, {k: 4 * t for k, t in tokens.items()}, weight)
+    got = Counter()
+    for r in found:
+        got[r.domain, r.lang, r.source] += r.taken
+    assert dict(got) == {k: n for k, n in want.items() if n}
+    assert sum(got.values()) == min(total, 4 * sum(tokens.values()))
+    # Whole epochs take every row; the last one takes rows in the seeded order until the budget ends.
+    hashes = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    for k, own in members.items():
+        epochs, rest = min(want[k] // tokens[k], 4), want[k] - min(want[k] // tokens[k], 4) * tokens[k]
+        taken = Counter((r.epoch, r.doc_id, r.content, r.taken) for r in found if (r.domain, r.lang, r.source) == k)
+        expected = Counter((e, i, hashes[t], len(split(t))) for e in range(epochs) for i, t in own)
+        place = lambda d: hashlib.md5(f"mix-1|{epochs}|{'' if d[0] is None else d[0]}|{hashes[d[1]]}".encode()).hexdigest()
+        for i, t in sorted(own, key=lambda d: (int(place(d)[:8], 16) % mixing.SLICES, place(d))):
+            if rest > 0 and epochs < 4:
+                expected[epochs, i, hashes[t], min(rest, len(split(t)))] += 1
+                rest -= len(split(t))
+        assert taken == expected
+
+
 def test_neighbours_equal_brute_force(spark):
     draw = np.random.default_rng(3)
     rows = [(i, [float(x) for x in draw.normal(size=8)]) for i in range(300)]
