@@ -31,29 +31,60 @@ TEXT_AGREE = 0.07
 TEXT_CHANGE = 0.12
 #: Size of a bin of the logarithm of p-values; the correction works on bins of all candidates.
 BIN = 0.25
+#: Places, and code points, of one block of a long text.
+BLOCK = 256
+PIECE = 1024
 #: Bins there are; the last holds all smaller p-values, which pass against any number of candidates.
 BINS = 4096
 
 
+def _blocks(count: Column) -> Column:
+    """Number of blocks of ``BLOCK`` places."""
+    return F.ceil(count / BLOCK).cast("int")
+
+
+def _every(count: Column, of) -> Column:
+    """An array of ``of(0)`` to ``of(count - 1)``."""
+    some = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))
+    return F.transform(F.slice(some, 1, count), of)
+
+
+def running(values: Column, start: Column, add) -> Column:
+    """For every place, ``add`` over ``start`` and all values before it, for associative ``add``.
+
+    Arrays cannot grow without being copied, so places are added up per block, blocks among
+    themselves, and each place within its block: work of 1.5 powers of the length, not two.
+    """
+    def from_blocks(values, blocks):
+        return let(_every(F.size(blocks), lambda b: F.aggregate(F.slice(blocks, 1, b), start, add)), lambda before: F.transform(
+            values, lambda _, k: F.aggregate(
+                F.slice(values, k - k % BLOCK + 1, k % BLOCK), F.get(before, F.floor(k / BLOCK).cast("int")), add)))
+
+    return let(values, lambda v: let(_every(_blocks(F.size(v)), lambda b: F.aggregate(
+        F.slice(v, b * BLOCK + 1, F.lit(BLOCK)), start, add)), lambda blocks: from_blocks(v, blocks)))
+
+
 def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
     """(start, end, kind) of all matches, left to right, whose group has at least ``least`` characters.
 
     The pieces between the matches and the matches themselves add up to the places of the matches.
     """
-    found = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("all"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
-        F.slice(F.split(text, pattern, -1), 1, F.size(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))).alias("gap"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:int,part:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,kind:int,part:string>>")
 
-    def step(a, m):
-        begin = a.at + F.length(m["gap"])
-        end = begin + F.length(m["all"])
-        own = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), m["part"].alias("part"))
-        return F.struct(end.alias("at"), F.concat(a.out, F.array(own)).alias("out"))
+    def placed(found, gaps):
+        lengths = F.zip_with(found, gaps, lambda m, gap: F.length(m["all"]) + F.length(gap))
 
-    kept = F.filter(F.aggregate(found, start, step, lambda a: a.out), lambda s: F.length(s.part) >= least)
-    return F.when(text.rlike(pattern), kept).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,part:string>>"))
+        def of(found, before):
+            return F.transform(found, lambda m, k: let(F.get(before, k) + F.length(F.get(gaps, k)), lambda begin: F.struct(
+                begin.alias("start"), (begin + F.length(m["all"])).alias("end"), F.lit(kind).alias("kind"), m["part"].alias("part"))))
+
+        return let(running(lengths, F.lit(0), lambda a, b: a + b), lambda before: of(found, before))
+
+    found = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("all"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"))
+    every = let(found, lambda m: let(F.slice(F.split(text, pattern, -1), 1, F.size(m)), lambda gaps: placed(m, gaps)))
+    return F.when(text.rlike(pattern), F.filter(every, lambda s: F.length(s.part) >= least)).otherwise(none)
 
 
 def _log_tail(z: Column) -> Column:
@@ -75,19 +106,22 @@ def tested(token: Column) -> Column:
     """
     size = F.when(token.rlike("^[0-9a-f]+$|^[0-9A-F]+$"), 16.0).when(token.rlike("^[A-Z2-7]+$"), 32.0).otherwise(64.0)
 
-    def of(chars, k):
+    def of(chars, codes, mean, k):
         n = F.size(chars).cast("double")
         squares = F.aggregate(F.transform(F.array_distinct(chars), lambda d: F.size(F.filter(chars, lambda c: c == d)).cast("double")),
                               F.lit(0.0), lambda s, c: s + c * c)
         chi = k / n * squares - n
         kinds = F.transform(chars, lambda c: F.when(c.between("0", "9"), 1).when(c.between("a", "z"), 2).when(c.between("A", "Z"), 3).otherwise(4))
-        changes = F.aggregate(F.zip_with(kinds, F.slice(kinds, 2, F.greatest(F.size(kinds) - 1, F.lit(0))), lambda a, b: (a != b).cast("int")),
-                              F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0)))
-        codes = F.transform(chars, lambda c: F.ascii(c).cast("double"))
-        mean = F.aggregate(codes, F.lit(0.0), lambda s, x: s + x) / n
+        changes = let(kinds, lambda own: F.aggregate(
+            F.zip_with(own, F.slice(own, 2, F.greatest(F.size(own) - 1, F.lit(0))), lambda a, b: (a != b).cast("int")),
+            F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0))))
         spread = F.aggregate(codes, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
         product = F.aggregate(F.zip_with(codes, F.slice(codes, 2, F.greatest(F.size(codes) - 1, F.lit(0))), lambda a, b: (a - mean) * (b - mean)),
                               F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
+        return let(F.struct(chi.alias("chi"), changes.alias("changes"), spread.alias("spread"), product.alias("product")),
+                   lambda m: judged(n, k, m["chi"], m["changes"], m["spread"], m["product"]))
+
+    def judged(n, k, chi, changes, spread, product):
         change = F.when(k == 16, 0.469).when(k == 32, 0.305).otherwise(0.635)
         uniform_z = (chi - (k - 1)) / F.sqrt(2 * (k - 1))
         runs_z = (changes - (n - 1) * change) / F.sqrt((n - 1) * change * (1 - change))
@@ -100,7 +134,13 @@ def tested(token: Column) -> Column:
         log_q = _log_tail(text_chi) + _log_tail(text_runs)
         return F.struct(random.alias("random"), ((log_q + F.log(1 - log_q)) / math.log(10)).alias("log_p"))
 
-    return let(F.split(token, ""), lambda chars: of(F.filter(chars, lambda c: c != ""), size))
+    def summed(codes):
+        return F.aggregate(codes, F.lit(0.0), lambda s, x: s + x)
+
+    # Each array is worked out once per token: its elements are looked at many times.
+    return let(F.filter(F.split(token, ""), lambda c: c != ""), lambda chars: let(size, lambda k: let(
+        F.transform(chars, lambda c: F.ascii(c).cast("double")), lambda codes: let(
+            summed(codes) / F.size(chars), lambda mean: of(chars, codes, mean, k)))))
 
 
 def _candidates(text: Column) -> Column:
@@ -159,13 +199,26 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
     limit = threshold(docs, text)
     own = f"c{names.index(text)}"
     df = with_spans(docs.toDF(*(f"c{k}" for k in range(len(names)))), own, limit, "_base", "_spans")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a, s):
-        fresh = s.start >= a.at
-        gap = F.when(fresh, F.concat(F.substring(F.col(own), a.at + 1, s.start - a.at), F.lit(mark))).otherwise("")
-        return F.struct(F.greatest(a.at, s.end).alias("at"), F.concat(a.out, gap).alias("out"))
-
-    clean = F.aggregate("_spans", begin, step, lambda a: F.concat(a.out, F.substring(F.col(own), a.at + 1, F.length(own))))
+    clean = let(F.regexp_extract_all(F.col(own), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda pieces: _marked(pieces, F.col("_spans"), mark))
     return df.withColumn("_clean", F.when(F.size("_spans") > 0, clean).otherwise(F.col(own))).select(
         *(F.col("_clean" if name == text else f"c{k}").alias(name) for k, name in enumerate(names)))
+
+
+def _marked(pieces: Column, spans: Column, mark: str) -> Column:
+    """The text of ``pieces``, of ``PIECE`` code points each but the last, with marks for spans sorted by start.
+
+    Every gap is cut from the pieces that it touches, so a long text is not walked through once per span.
+    """
+    def cut(begin: Column, end: Column | None) -> Column:
+        first = F.floor(begin / PIECE).cast("int")
+        count = F.size(pieces) - first if end is None else F.floor((end - 1) / PIECE).cast("int") - first + 1
+        touched = F.array_join(F.slice(pieces, first + 1, F.greatest(count, F.lit(0))), "")
+        return F.substring(touched, begin - first * PIECE + 1, F.length(touched) if end is None else end - begin)
+
+    def joined(before: Column) -> Column:
+        gaps = F.transform(spans, lambda s, k: F.when(s.start >= F.get(before, k), F.concat(
+            F.when(s.start > F.get(before, k), cut(F.get(before, k), s.start)).otherwise(""), F.lit(mark))).otherwise(""))
+        last = F.aggregate(spans, F.lit(0), lambda a, s: F.greatest(a, s.end))
+        return let(last, lambda at: F.concat(F.array_join(gaps, ""), cut(at, None)))
+
+    return let(running(F.transform(spans, lambda s: s.end), F.lit(0), lambda a, b: F.greatest(a, b)), joined)

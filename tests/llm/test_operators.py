@@ -196,6 +196,52 @@ def test_base_spans_and_redaction(odd, none):
     assert secret_scan.scan(none).count() == 0
 
 
+BASE_PATTERNS = (
+    ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, re.I),
+    ("access", "AKIA[A-Z0-9]+", 0, 20, 0), ("hex", "[0-9a-f]+", 0, 24, 0))
+
+
+def base_spans(text):
+    found = [(m.start(), k, m.end()) for k, (_, p, g, least, flags) in enumerate(BASE_PATTERNS)
+             for m in re.finditer(p, text or "", flags) if len(m[g]) >= least]
+    return ",".join(f"{BASE_PATTERNS[k][0]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+@pytest.mark.parametrize("block, piece", [(256, 1024), (3, 5)])
+def test_spans_equal_brute_force(spark, odd, block, piece, monkeypatch):
+    monkeypatch.setattr(secret_scan, "BLOCK", block)
+    monkeypatch.setattr(secret_scan, "PIECE", piece)
+    draw = np.random.default_rng(6)
+    parts = ["token=", "abc123DEF", " ", "\n", "é🙂", "password: '", "0123456789abcdef" * 2, "AKIA" + "B7" * 9, "x", "SECRET=", "漢", "api_key:", "ffffff"]
+    texts = ["".join(draw.choice(parts, draw.integers(0, 60))) for _ in range(300)]
+    docs = odd.select("doc_id", "text").unionAll(spark.createDataFrame([(100 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    rows = {r.doc_id: r.text for r in docs.where("doc_id is not null").collect()}
+    scanned = {r.doc_id: r for r in secret_scan.scan(docs).where("doc_id is not null").collect()}
+    for i, text in rows.items():
+        want = base_spans(text)
+        assert scanned[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        assert set(filter(None, want.split(","))) <= set(scanned[i].spans.split(","))
+        counts = [want.count(k) for k, *_ in BASE_PATTERNS]
+        assert [scanned[i].n_assign, scanned[i].n_access, scanned[i].n_hex] == counts
+    for r in secret_scan.redact(docs).where("doc_id is not null").collect():
+        text, out, at = rows[r.doc_id], "", 0
+        for span in sorted(tuple(map(int, s.split(":")[1:])) for s in filter(None, scanned[r.doc_id].spans.split(","))):
+            out += (text[at:span[0]] + "[secret]") if span[0] >= at else ""
+            at = max(at, span[1])
+        assert r.text == (text if text is None else out + text[at:])
+
+
+def test_a_text_of_many_keys_takes_seconds(spark):
+    draw = np.random.default_rng(3)
+    text = " ".join("words between " + "".join(draw.choice(list("0123456789abcdef"), 32)) + " and on and on and on and on and on" for _ in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for run, column in ((secret_scan.scan, "spans"), (secret_scan.redact, "text")):
+        begin = time.monotonic()
+        row = run(docs).first()
+        assert row[column].count("hex:" if column == "spans" else "[secret]") == 50_000
+        assert time.monotonic() - begin < 60
+
+
 def test_long_random_tokens_are_secrets(spark):
     alphabet = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
     sizes = (40, 683, 2000)
