@@ -21,8 +21,13 @@ from cinelake.llm.text import CACHED_WORDS, batches, inputs, table_rows, words
 BUCKETS = 1 << 20
 #: Labelled rows the machine is fitted on at most, chosen by a hash of their id.
 TRAINING_ROWS = 12_000
-#: Terms kept by the fit: those whose rate differs most between the two labels.
+#: Terms kept by the fit for what they say alone: those whose rate differs most between the two labels.
 KEPT_TERMS = 1024
+#: Terms whose pairs are looked at besides: the most frequent of the sample that so many rows have, and the standard
+#: errors by which the labels must differ on a pair: far more than chance gives, since copies in the sample repeat pairs.
+PAIR_TERMS = 2048
+LEAST_ROWS = 30
+PAIR_Z = 16.0
 FACTORS = 8
 EPOCHS = 60
 #: Share of rows, by the checksum of their id, that no fit ever sees: one in five.
@@ -66,6 +71,43 @@ class Machine:
         return 1.0 / (1.0 + float(np.exp(-np.clip(total, -30, 30))))
 
 
+def paired(rows: list[np.ndarray], positive: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Terms that some other term changes the meaning of, whatever they say alone.
+
+    For every pair of the ``PAIR_TERMS`` most frequent terms, how much more often than by chance
+    the two meet is compared between the labels; a term is kept if that differs with any partner by
+    ``PAIR_Z`` standard errors.
+    """
+    common = np.argsort(-counts, kind="stable")[:PAIR_TERMS]
+    common = np.sort(common[counts[common] >= LEAST_ROWS])
+    size = len(common)
+    if size < 2:
+        return common[:0]
+    together = np.zeros((2, size, size), dtype=np.float32)
+    alone = np.zeros((2, size))
+    for first in range(0, len(rows), 1024):  # bounds the matrix held at a time
+        some, labels = rows[first:first + 1024], positive[first:first + 1024]
+        x = np.zeros((len(some), size), dtype=np.float32)
+        for k, r in enumerate(some):
+            x[k, np.flatnonzero(np.isin(common, r, assume_unique=True))] = 1
+        for y in (0, 1):
+            own = x[labels == y]
+            together[y] += own.T @ own
+            alone[y] += own.sum(axis=0)
+    n = np.array([len(rows) - positive.sum(), positive.sum()], dtype=float)
+    differ, error = np.zeros((size, size)), np.zeros((size, size))
+    for y, sign in ((0, -1), (1, 1)):
+        rate = alone[y] / n[y]
+        chance = np.outer(rate, rate)
+        differ += sign * (together[y] / n[y] - chance)
+        error += chance * np.outer(1 - rate, 1 - rate) / n[y]
+    pooled = (alone.sum(axis=0) + 1) / (n.sum() + 2)
+    floor = np.outer(pooled, pooled) * np.outer(1 - pooled, 1 - pooled) * (1 / n).sum()
+    z = np.abs(differ) / np.sqrt(np.maximum(error, floor))
+    np.fill_diagonal(z, 0)
+    return common[z.max(axis=1) > PAIR_Z]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     """Fit on term sets and 0/1 labels: logistic loss, classes weighted alike, adaptive steps."""
     positive = labels == 1
@@ -81,8 +123,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     pooled = both / n
     z = np.abs(p1 - p0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / (n - n1)) + 1e-12)
     z[both < 3] = 0
-    kept = np.sort(np.argsort(-z, kind="stable")[:KEPT_TERMS])
-    kept = kept[z[kept] > 2.0].astype(np.int32)
+    kept = np.argsort(-z, kind="stable")[:KEPT_TERMS]
+    kept = np.union1d(kept[z[kept] > 2.0], paired(rows, positive, both)).astype(np.int32)
     matrix = np.zeros((n, len(kept)))
     for k, r in enumerate(rows):
         matrix[k, np.flatnonzero(np.isin(kept, r, assume_unique=True))] = 1
@@ -119,12 +161,15 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     """Fit on at most ``training_rows`` labelled rows outside the held-out fold.
 
     The rows are those with the smallest hash of their id; their number bounds the side that is
-    broadcast and the term sets that reach the driver. Rows without id or label are passed over.
+    broadcast and the term sets that reach the driver. Of rows that share an id, the one whose text
+    has the least hash is fitted on, and toxic wins over not. Rows without id or label are passed
+    over; without any, every text scores one half.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(F.col(id))).select(
         F.col(id).cast("long").alias("id"), F.col(label).cast("int").alias("label"))
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(training_rows)
-    wanted = inputs(docs, id=id, text=text).join(F.broadcast(chosen), "id")
+    wanted = inputs(docs, id=id, text=text).join(F.broadcast(chosen), "id").groupBy("id", "label").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
     out = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("terms", pa.binary())])
 
     def collect(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -488,6 +488,34 @@ def test_toxicity_on_rows_no_fit_has_seen(spark):
     assert right >= 0.95 * len(scored) and all(0 <= r.score <= 1 for r in scored)
 
 
+def test_toxicity_of_pairs_that_single_terms_do_not_show(spark):
+    """The label is 1 if both or neither of two terms stand in the text, so that each alone says nothing."""
+    draw = np.random.default_rng(1)
+    rows = []
+    for i in range(6000):
+        a, b = draw.random(2) < 0.5
+        found = [f"w{k}" for k in draw.zipf(1.3, 20) % 400] + ["alpha"] * int(a) + ["beta"] * int(b)
+        draw.shuffle(found)
+        rows.append((i, " ".join(found), int(a == b)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    scored = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").where("held_out").collect()
+    assert len(scored) > 1000
+    assert sum(r.predicted == r.toxic for r in scored) >= 0.95 * len(scored)
+
+
+def test_toxicity_is_fitted_on_one_row_per_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 40, f"w{i % 7} bad" if i % 2 else f"w{i % 7}") for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    sizes = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, y: sizes.append(len(rows)) or fit(rows, y))
+    model = toxicity.train(docs, labels)
+    assert sizes[0] <= 40
+    assert toxicity.train(docs, labels.where("false")).score(np.array([1, 2])) == 0.5
+    assert toxicity.score(docs, model).count() == 4000
+
+
 def test_toxicity_of_odd_and_empty_tables(spark, odd, none):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
