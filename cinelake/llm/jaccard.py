@@ -115,12 +115,13 @@ def keys(found: np.ndarray, sketch: np.ndarray, small: int) -> np.ndarray:
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``class_id`` and ``n_links``, one row per row of ``docs``.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``class_id``, ``n_links``, ``group_id`` and ``content``, one row per row.
 
     ``component_id`` is the smallest id reachable over links, null only if no id of the component is
     known. Rows of equal sets share a ``class_id``, and ``n_links`` is the number of other rows that
-    a row is linked with; counting them is quadratic in the classes of one group of near copies. A
-    null text or one without words has no shingles, is linked with nothing and keeps its own id.
+    a row is linked with; counting them is quadratic in the classes of one group of near copies.
+    ``group_id`` tells components apart, those without any id included, and ``content`` is a hash of
+    the text, which tells texts under one id apart. A null text or one without words has no shingles, is linked with nothing and keeps its own id.
     Repeated rows give a row each and share their component; an empty table gives none. Sets are
     told apart by 64-bit hashes of their shingles and of themselves.
     """
@@ -135,11 +136,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     classes = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").join(counted, "cid", "left").select(
         "cid", "least", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), F.coalesce("label", "cid").alias("label"))
     whole = classes.groupBy("label").agg(F.min("least").alias("component"))
-    of_class = classes.join(whole, "label").select("cid", "component", "links")
+    of_class = classes.join(whole, "label").select("cid", "label", "component", "links")
     some = F.col("n") > 0
     return info.join(of_class, "cid", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(some, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(some, F.col("cid")).alias("class_id"), F.when(some, F.col("links")).otherwise(0).alias("n_links"))
+        F.when(some, F.col("cid")).alias("class_id"), F.when(some, F.col("links")).otherwise(0).alias("n_links"),
+        F.when(some, F.col("label")).alias("group_id"), F.col("mark").alias("content"))
 
 
 def _seen(read: DataFrame) -> DataFrame:

@@ -44,7 +44,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("class_id")
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,11 +17,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that share it, one."""
+    """One document of each group: the one with the smallest id, rows without id last, then by a hash of the text.
+
+    A text is told from others under its id by that hash, and rows equal in id and text count as
+    one. Documents without words are linked with nothing and stay.
+    """
     groups = jaccard.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(kept.where("doc_id is not null"), "doc_id", "left_semi").unionAll(docs.where("doc_id is null"))
-    return kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")).alias("first")
+    leaders = groups.where("n_shingles > 0").groupBy("group_id").agg(first).select("first.doc_id", "first.content")
+    kept = leaders.unionAll(groups.where("n_shingles = 0").select("doc_id", "content")).distinct()
+    rows = docs.withColumn("_content", F.xxhash64("text")).alias("d").join(
+        kept.alias("k"), F.expr("d.doc_id <=> k.doc_id and d._content = k.content"), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

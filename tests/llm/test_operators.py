@@ -539,6 +539,17 @@ def test_every_stage_takes_odd_and_empty_tables(odd, none, spark, sf_dir):
             assert docs is odd or rows == []
 
 
+def test_one_document_of_each_group_stays(spark, sf_dir):
+    near = PASSAGE.replace("w30", "other")
+    rows = [(7, PASSAGE), (7, PASSAGE), (7, near), (3, near), (None, PASSAGE), (None, near), (8, "ten other words " * 4), (8, PASSAGE),
+            (None, "alone without id and long enough"), (None, "alone without id and long enough"), (None, "another one without any id here"),
+            (5, None), (5, ""), (5, ""), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0, 0) for i, t in rows], SCHEMA)
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect())
+    assert kept == Counter([(3, near), (8, "ten other words " * 4), (None, "alone without id and long enough"),
+                            (None, "another one without any id here"), (5, None), (5, ""), (None, " ")])
+
+
 def test_chosen_documents_fetch_their_own_text(spark, sf_dir):
     rows = [(1, "a b c", "en", "s", 5, 0, 0), (1, "d e f", "en", "s", 5, 0, 0), (1, "d e f", "fr", None, 5, 0, 0)]
     out = corpus_pipeline.mixing_weights(spark, spark.createDataFrame(rows, SCHEMA), sf_dir)
