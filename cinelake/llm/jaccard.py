@@ -215,13 +215,14 @@ def _lists(read: DataFrame, seen: DataFrame) -> DataFrame:
 
     # Both sides read the same columns of the same rows, so they share one exchange.
     posted = read.select("text", "mark").mapInArrow(run, "key long, cid long, n long").where("key is not null").repartition("key")
+    # Tasks that met copies of one class have posted the same keys: they go before anything is joined.
+    posted = posted.distinct()
     own = F.xxhash64("cid")
     lists = posted.groupBy("key").agg(
         F.min("cid").alias("low"), F.max("cid").alias("high"), F.max("n").alias("most"), F.count(F.lit(1)).alias("c"),
         F.sum(own.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"), F.sum(F.shiftrightunsigned(own, 32)).alias("y"))
-    # A text's keys are posted together however often it is, so equal lists have equal sums, repeated entries included.
     kept = lists.where("low <> high and most > 0").groupBy("c", "x", "y").agg(F.min("key").alias("key")).select("key")
-    return posted.join(kept, "key").distinct()
+    return posted.join(kept, "key")
 
 
 def _sets(read: DataFrame, wanted: DataFrame) -> DataFrame:
