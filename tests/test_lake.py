@@ -431,3 +431,18 @@ def test_a_film_that_changes_its_year_is_in_one_place(spark, tmp_path):
     assert len(places()) == 31
     assert house.bronze_movies_moved(movies.where("false"), [1991])[1] == [1991]
     assert len(places()) == 31
+
+
+def test_published_tables_do_not_go_back_to_the_sources(spark, sf_dir, monkeypatch):
+    read = {}
+
+    def recorded(df, table, warehouse):
+        read[table] = df.inputFiles()
+        return publish(df, table, warehouse)
+
+    from cinelake.sources import publish
+    from fixtures import queries
+
+    monkeypatch.setattr(queries, "publish", recorded)
+    queries.registered()["warehouse_publish"](spark, sf_dir)
+    assert len(read) == 5 and not any("lineitem" in f for files in read.values() for f in files)
