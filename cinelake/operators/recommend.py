@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cinelake import constants as K
 from cinelake.functions import cosine, unit
+from cinelake.operators.features import DEFAULT
 
 SCORE = "cosine_similarity"
 
@@ -26,7 +27,7 @@ def score_films(
     if exclude is not None:
         vectors = vectors.join(exclude.select("id").distinct(), "id", "left_anti")
     direction = user.select(unit(F.col("user_vector"))).scalar()
-    score = cosine(F.col("movie_vector"), F.col("_direction"))
+    score = cosine(F.col("movie_vector"), F.col("_direction"), DEFAULT.width)
     return (
         vectors.select("id", "movie_vector", direction.alias("_direction"))
         .where(F.col("_direction").isNotNull())

@@ -6,7 +6,7 @@ them can be run again on its own; the yearly ones take ``years`` to rework only
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -230,14 +230,20 @@ class Lakehouse:
         return marts.search_films(self.infor_rating(), **filters)
 
     def run(
-        self, movies: DataFrame, genre_track: DataFrame, favourites: DataFrame,
+        self, movies: DataFrame, genre_track: DataFrame,
+        favourites: DataFrame | Callable[[DataFrame], DataFrame],
     ) -> list[Profile]:
-        """Build every dataset, warehouse table and model; returns the write profiles."""
-        profiles = [
-            self.bronze_movies(movies),
+        """Build every dataset, warehouse table and model; returns the write profiles.
+
+        Favourites that are chosen from the catalogue are given as a function of its cleaned films:
+        it gets the stored ones, so that the sources are gone through once.
+        """
+        profiles = [self.bronze_movies(movies), self.silver_movies_cleaned()]
+        if not isinstance(favourites, DataFrame):
+            favourites = favourites(self.lake.read("silver.movies_cleaned"))
+        profiles += [
             self.bronze_genre_track(genre_track),
             self.bronze_favorite_movies(favourites),
-            self.silver_movies_cleaned(),
             self.silver_movies_vectors(),
             self.silver_favorite_track(),
             self.silver_my_vector(),

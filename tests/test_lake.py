@@ -446,3 +446,19 @@ def test_published_tables_do_not_go_back_to_the_sources(spark, sf_dir, monkeypat
     monkeypatch.setattr(queries, "publish", recorded)
     queries.registered()["warehouse_publish"](spark, sf_dir)
     assert len(read) == 5 and not any("lineitem" in f for files in read.values() for f in files)
+
+
+def test_favourites_of_a_run_come_from_the_stored_films(spark, sf_dir, monkeypatch):
+    read = []
+
+    def recorded(self, favourites):
+        read.extend(favourites.inputFiles())
+        return write(self, favourites)
+
+    from cinelake.plans.lakehouse import Lakehouse
+    from fixtures import queries
+
+    write = Lakehouse.bronze_favorite_movies
+    monkeypatch.setattr(Lakehouse, "bronze_favorite_movies", recorded)
+    queries.registered()["pipeline_quality"](spark, sf_dir)
+    assert read and not any("lineitem" in f for f in read)
